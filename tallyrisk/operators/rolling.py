@@ -17,6 +17,10 @@ share their results, so the work is done on that grain instead:
 4. results are joined back to the rows on (entity, second), where the adaptive
    skew join can split any hot second.
 
+Differences of running totals lose digits when a frame is small beside what came
+before it.  Each addend is therefore split in a high part, whose sums are exact
+in double arithmetic, and a small rest; squares are taken around the chunk mean.
+
 Distinct counts become running totals too: an (entity, partner) occurrence
 adds 1 from its second until the partner's next occurrence or the frame's end,
 whichever is first.
@@ -37,6 +41,7 @@ SECOND = "_epoch_s"
 _CHUNK = "_chunk"
 HOUR_S = 3600
 DAY_S = 86400
+_ROUNDING = 1e-14
 
 
 @dataclass(frozen=True)
@@ -124,6 +129,32 @@ def _distinct_steps(
     )
 
 
+def _centred(parts: DataFrame, measures: Sequence[str], by_chunk) -> DataFrame:
+    """First and second moments of each partial around the mean of its (entity, chunk)."""
+    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = F.lit(0)
+    parts = parts.withColumns(
+        {f"_mid_{m}": F.sum(f"_s_{m}").over(whole) / F.nullif(F.sum(f"_n_{m}").over(whole), zero) for m in measures}
+    )
+    for m in measures:
+        n, off = F.col(f"_n_{m}"), F.col(f"_s_{m}") - F.col(f"_n_{m}") * F.col(f"_mid_{m}")
+        second = F.col(f"_m2_{m}") + off * off / F.nullif(n, zero)
+        parts = parts.withColumns({f"_c1_{m}": off, f"_c2_{m}": second})
+    return parts
+
+
+def _split(parts: DataFrame, columns: Sequence[str], by_chunk) -> DataFrame:
+    """Each addend as ``_high`` (a multiple of one fixed step, so sums are exact) and ``_rest``."""
+    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    steps = {}
+    for c in columns:
+        size = F.nullif(F.sum(F.abs(c)).over(whole), F.lit(0.0))
+        steps[f"_step{c}"] = F.pow(F.lit(2.0), F.ceil(F.log2(F.coalesce(size, F.lit(1.0)))) + 1)
+    parts = parts.withColumns(steps)
+    high = {f"{c}_high": (F.col(c) + F.col(f"_step{c}")) - F.col(f"_step{c}") for c in columns}
+    return parts.withColumns(high).withColumns({f"{c}_rest": F.col(c) - F.col(f"{c}_high") for c in columns})
+
+
 def rolling_by_second(
     df: DataFrame,
     entity: str,
@@ -146,22 +177,13 @@ def rolling_by_second(
             parts = parts.unionByName(steps, allowMissingColumns=True)
 
     by_chunk = Window.partitionBy(entity, _CHUNK).orderBy(SECOND)
-    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Squares are taken around the chunk's mean to keep their digits.
-    centred = {}
-    for m in sorted(_squared(specs)):
-        centre = F.sum(f"_s_{m}").over(whole) / F.nullif(F.sum(f"_n_{m}").over(whole), F.lit(0))
-        centred[f"_mid_{m}"] = centre
-    if centred:
-        parts = parts.withColumns(centred)
-        for m in sorted(_squared(specs)):
-            n, off = F.col(f"_n_{m}"), F.col(f"_s_{m}") - F.col(f"_n_{m}") * F.col(f"_mid_{m}")
-            parts = parts.withColumns(
-                {f"_c1_{m}": off, f"_c2_{m}": F.col(f"_m2_{m}") + off * off / F.nullif(n, F.lit(0))}
-            )
-
-    last = 0 if include_current else -1
-    upto = by_chunk.rangeBetween(Window.unboundedPreceding, last)
+    floating = [m for m in _measures(specs) if f"_hi_{m}" in parts.columns]
+    parts = _centred(parts, sorted(_squared(specs)), by_chunk)
+    addends = [f"_s_{m}" for m in floating if any(s.fn in ("sum", "mean") and s.column == m for s in specs)]
+    addends += [f"_{c}_{m}" for m in sorted(_squared(specs)) for c in ("c1", "c2")]
+    parts = _split(parts, addends, by_chunk)
+
+    upto = by_chunk.rangeBetween(Window.unboundedPreceding, 0 if include_current else -1)
 
     def frame(column: str, seconds: int) -> Column:
         zero = F.lit(0)
@@ -175,9 +197,11 @@ def rolling_by_second(
     needed: dict[str, Column] = {}
 
     def part(column: str, seconds: int) -> Column:
-        name = f"_f{column}_{seconds}"
-        needed.setdefault(name, frame(column, seconds))
-        return F.col(name)
+        pieces = [f"{column}_high", f"{column}_rest"] if column in addends else [column]
+        for piece in pieces:
+            needed.setdefault(f"_f{piece}_{seconds}", frame(piece, seconds))
+        high, *rest = [F.col(f"_f{piece}_{seconds}") for piece in pieces]
+        return high + rest[0] if rest else high
 
     outputs = []
     for s in specs:
@@ -191,7 +215,7 @@ def rolling_by_second(
             ).otherwise(F.sum(timed).over(upto))
             out = F.coalesce(F.col(name), F.lit(0))
         else:
-            out = _from_parts(s, part, floating=f"_hi_{s.column}" in parts.columns)
+            out = _from_parts(s, part, floating=s.column in floating)
         outputs.append(out.alias(s.name))
 
     return (
@@ -203,17 +227,19 @@ def rolling_by_second(
 
 def _from_parts(spec: Rolling, part, floating: bool) -> Column:
     m, seconds = spec.column, spec.seconds
-    n, total = part(f"_n_{m}", seconds), part(f"_s_{m}", seconds)
+    n = part(f"_n_{m}", seconds)
     none = n == 0
     if spec.fn == "std":
         c1, c2 = part(f"_c1_{m}", seconds), part(f"_c2_{m}", seconds)
-        var = (c2 - c1 * c1 / F.nullif(n, F.lit(0))) / F.nullif(n - 1, F.lit(0))
-        value = F.sqrt(F.greatest(var, F.lit(0.0)))
+        spread = c2 - c1 * c1 / F.nullif(n, F.lit(0))
+        # Below the rounding of its two terms the spread is zero.
+        spread = F.when(spread > c2 * _ROUNDING, spread).otherwise(F.lit(0.0))
+        value = F.sqrt(spread / F.nullif(n - 1, F.lit(0)))
         none = n < 2
     elif spec.fn == "mean":
-        value = total / F.nullif(n, F.lit(0))
+        value = part(f"_s_{m}", seconds) / F.nullif(n, F.lit(0))
     else:
-        value = total
+        value = part(f"_s_{m}", seconds)
     if floating:
         high, low = part(f"_hi_{m}", seconds) > 0, part(f"_lo_{m}", seconds) > 0
         nan = F.lit(float("nan"))
