@@ -169,7 +169,7 @@ def _(spark, sf):
 
 @query(
     "decode_offset_seconds",
-    sql(f"""SELECT "TransactionID", {text_ts_sql('to_timestamp("TransactionDT" + 1512000000)')} AS ts FROM cards""", "cards"),
+    sql(f"""SELECT "TransactionID", {text_ts_sql('make_timestamp(("TransactionDT" + 1512000000) * 1000000)')} AS ts FROM cards""", "cards"),
 )
 def _(spark, sf):
     return cards(spark, sf).select(
@@ -180,7 +180,7 @@ def _(spark, sf):
 @query(
     "decode_step_hours",
     sql(
-        f"""SELECT "nameOrig", step, {text_ts_sql('to_timestamp(step::bigint * 3600 + 1483228800)')} AS ts FROM transfers""",
+        f"""SELECT "nameOrig", step, {text_ts_sql('make_timestamp((step::bigint * 3600 + 1483228800) * 1000000)')} AS ts FROM transfers""",
         "transfers",
     ),
 )
@@ -211,7 +211,7 @@ def _(spark, sf):
 
 CONFORM_A_SQL = f"""SELECT cast("TransactionID" AS varchar) AS transaction_id, cast(card1 AS varchar) AS customer_id,
   'merchant_' || "ProductCD" AS merchant_id,
-  {text_ts_sql('to_timestamp("TransactionDT" + 1512000000)')} AS transaction_ts, "TransactionAmt" AS amount_usd,
+  {text_ts_sql('make_timestamp(("TransactionDT" + 1512000000) * 1000000)')} AS transaction_ts, "TransactionAmt" AS amount_usd,
   'USD' AS currency, 'card' AS channel, "ProductCD" AS merchant_category, card6 AS card_type, "isFraud" AS is_fraud,
   'ieee_cis' AS data_source, {text_ts_sql('ingest')} AS _ingest_ts, '2024-02-01 00:00:00.000000' AS _silver_ts"""
 
@@ -229,7 +229,7 @@ def _(spark, sf):
 
 CONFORM_B_SQL = f"""SELECT 'PS_' || sha256("nameOrig" || '~' || step || '~' || cast(amount AS decimal(20, 2)))
   AS transaction_id, "nameOrig" AS customer_id, "nameDest" AS merchant_id,
-  {text_ts_sql('to_timestamp(step::bigint * 3600 + 1483228800)')} AS transaction_ts, amount AS amount_usd,
+  {text_ts_sql('make_timestamp((step::bigint * 3600 + 1483228800) * 1000000)')} AS transaction_ts, amount AS amount_usd,
   'USD' AS currency, CASE WHEN type IN ('PAYMENT', 'DEBIT') THEN 'pos' WHEN type = 'TRANSFER' THEN 'transfer'
   WHEN type IN ('CASH_OUT', 'CASH_IN') THEN 'atm' ELSE 'other' END AS channel, type AS merchant_category,
   'transfer' AS card_type, "isFraud" AS is_fraud, 'paysim' AS data_source,
