@@ -21,9 +21,10 @@ Differences of running totals lose digits when a frame is small beside what came
 before it.  Each addend is therefore split in a high part, whose sums are exact
 in double arithmetic, and a small rest; squares are taken around the chunk mean.
 
-Distinct counts become running totals too: an (entity, partner) occurrence
-adds 1 from its second until the partner's next occurrence or the frame's end,
-whichever is first.
+Distinct counts are running totals too.  An occurrence of an (entity, partner)
+pair opens a run if the pair did not occur within N seconds before it, and closes
+one if the pair does not occur within N seconds after it.  The partners in a frame
+are the runs opened up to its end less the runs closed before its start.
 """
 
 from __future__ import annotations
@@ -31,17 +32,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tallyrisk.functions.timestamps import epoch_seconds
 
 SECOND = "_epoch_s"
-_CHUNK = "_chunk"
 HOUR_S = 3600
 DAY_S = 86400
-_ROUNDING = 1e-14
+_ROUNDING = "1e-14D"
+_HIGH = str(2**32)
+_UNBOUNDED = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
 @dataclass(frozen=True)
@@ -54,105 +56,154 @@ class Rolling:
     column: str | None = None
 
 
-def _chunk_of(second: Column, length: int) -> Column:
+def _chunk_of(second: str, length: int) -> str:
     # A null second keeps its own place: first in chunk 0.
-    return F.coalesce(F.floor(second / F.lit(length)).cast("long"), F.lit(0).cast("long"))
+    return f"coalesce(floor({second} / {length}), 0L)"
 
 
-def _finite(value: Column) -> Column:
-    return ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
+def _measures(specs: Sequence[Rolling], *fns: str) -> list[str]:
+    return list(dict.fromkeys(s.column for s in specs if s.fn in fns))
 
 
-def _partials(df: DataFrame, entity: str, specs: Sequence[Rolling]) -> DataFrame:
-    """One row per (entity, second): counts, sums and centred squares per measure."""
-    kinds = {f.name: f.dataType for f in df.schema}
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for m in _measures(specs):
-        value = F.col(m)
-        aggs.append(F.count(value).alias(f"_n_{m}"))
-        if not isinstance(kinds[m], (DoubleType, FloatType)):
-            aggs.append(F.sum(value.cast("long")).alias(f"_s_{m}"))
-        else:
-            # NaN counts on both sides, so that two counters tell all cases apart.
-            inf = F.lit(float("inf"))
-            aggs += [
-                F.sum(F.when(_finite(value), value)).alias(f"_s_{m}"),
-                F.count_if(F.isnan(value) | (value == inf)).alias(f"_hi_{m}"),
-                F.count_if(F.isnan(value) | (value == -inf)).alias(f"_lo_{m}"),
-            ]
-        if m in _squared(specs):
-            value = value.cast("double")
-            kept = F.when(_finite(value), value)
-            aggs.append((F.var_pop(kept) * F.count(kept)).alias(f"_m2_{m}"))
-    return df.groupBy(entity, SECOND).agg(*aggs)
-
-
-def _measures(specs: Sequence[Rolling]) -> list[str]:
-    return list(dict.fromkeys(s.column for s in specs if s.fn in ("sum", "mean", "std")))
-
-
-def _squared(specs: Sequence[Rolling]) -> set[str]:
-    return {s.column for s in specs if s.fn == "std"}
-
-
-def _spread(df: DataFrame, length: int, second: str = SECOND) -> DataFrame:
-    """Each row in its own chunk and, as look-back, in the next one."""
-    own = _chunk_of(F.col(second), length)
-    return df.withColumn(_CHUNK, F.explode(F.array(own, own + 1)))
+def _runs(rows: DataFrame, entity: str, spec: Rolling, length: int, gap: int) -> DataFrame:
+    """Per pair occurrence: does it open a run (``_u``; ``_w`` if time began with its chunk), or close one (``_v``).
 
-
-def _distinct_steps(
-    df: DataFrame, entity: str, spec: Rolling, length: int, include_current: bool
-) -> DataFrame:
-    """Steps (+1, -1) of the distinct count of ``spec.column``, per (entity, chunk, second)."""
-    partner, n = spec.column, spec.seconds
-    seen = df.filter(F.col(partner).isNotNull()).select(entity, partner, SECOND).distinct()
-    # The next occurrence only matters within the frame, so one chunk of look-ahead is enough.
-    own = _chunk_of(F.col(SECOND), length)
-    ahead = seen.withColumn(_CHUNK, F.explode(F.array(own, own - 1)))
-    nxt = F.lead(SECOND).over(Window.partitionBy(entity, partner, _CHUNK).orderBy(SECOND))
-    spans = ahead.withColumn("_next", nxt).filter(F.col(_CHUNK) == own)
-    second = F.col(SECOND)
-    if include_current:
-        start, end = second, F.least(F.col("_next"), second + (n + 1))
-    else:
-        start, end = second + 1, F.least(F.col("_next"), second + n) + 1
-    # Rows without a time only see each other; they never end.
-    end = F.when(second.isNotNull(), end)
-    up = F.struct(start.alias("at"), F.lit(1).alias("by"))
-    down = F.struct(end.alias("at"), F.when(end.isNotNull(), -1).otherwise(0).alias("by"))
+    Each occurrence stands in its own chunk, where its predecessor is found, and
+    as look-back in the next one, where its successor is.
+    """
+    name, own = spec.name, _chunk_of(SECOND, length)
+    by_pair = f"OVER (PARTITION BY `{entity}`, `{spec.column}`, _chunk ORDER BY {SECOND})"
+    follows = f"coalesce({SECOND} - _before <= {gap}, false)"
+    followed = f"coalesce(_after - {SECOND} <= {gap}, false)"
     return (
-        _spread(spans, length)
-        .select(entity, _CHUNK, F.explode(F.array(up, down)).alias("_step"))
-        .groupBy(entity, _CHUNK, F.col("_step.at").alias(SECOND))
-        .agg(F.sum("_step.by").alias(f"_d_{spec.name}"))
+        rows.where(f"`{spec.column}` IS NOT NULL")
+        .select(entity, spec.column, SECOND)
+        .distinct()
+        .selectExpr("*", f"explode(array({own}, {own} + 1)) AS _chunk")
+        .selectExpr(
+            f"`{entity}`",
+            SECOND,
+            f"_chunk = {own} AS _own",
+            f"lag({SECOND}) {by_pair} AS _before",
+            f"lead({SECOND}) {by_pair} AS _after",
+        )
+        .selectExpr(
+            f"`{entity}`",
+            SECOND,
+            f"if(_own, if({follows}, 0L, 1L), null) AS _u_{name}",
+            f"if(_own, if({follows} AND {_chunk_of('_before', length)} = {own}, 0L, 1L), null) AS _w_{name}",
+            f"if(_own, null, if({followed}, 0L, 1L)) AS _v_{name}",
+        )
     )
 
 
-def _centred(parts: DataFrame, measures: Sequence[str], by_chunk) -> DataFrame:
+def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], length: int, back: int) -> DataFrame:
+    """One row per (entity, second): counts, sums and centred squares per measure, run counts per distinct."""
+    kinds = {f.name: f.dataType for f in rows.schema}
+    aggs = ["count(_row) AS _n"]
+    for m in _measures(specs, "sum", "mean", "std"):
+        aggs.append(f"count(`{m}`) AS _n_{m}")
+        if not isinstance(kinds[m], (DoubleType, FloatType)):
+            aggs.append(f"sum(bigint(`{m}`)) AS _s_{m}")
+            continue
+        # Whether +inf (or NaN) and -inf (or NaN) occur: two counters in one number,
+        # each at most two chunks of seconds.
+        high = f"isnan(`{m}`) OR `{m}` = double('inf')"
+        low = f"isnan(`{m}`) OR `{m}` = double('-inf')"
+        finite = f"FILTER (WHERE NOT ({high} OR {low}))"
+        aggs.append(f"sum(`{m}`) {finite} AS _s_{m}")
+        aggs.append(f"{_HIGH}L * int(coalesce(bool_or({high}), false)) + int(coalesce(bool_or({low}), false)) AS _odd_{m}")
+        if m in _measures(specs, "std"):
+            aggs.append(f"var_pop(`{m}`) {finite} * count(`{m}`) {finite} AS _m2_{m}")
+    for spec in specs:
+        if spec.fn == "distinct":
+            runs = _runs(rows, entity, spec, length, spec.seconds - back)
+            aggs += [f"sum({c}_{spec.name}) AS {c}_{spec.name}" for c in ("_u", "_w", "_v")]
+            rows = rows.unionByName(runs, allowMissingColumns=True)
+    return rows.groupBy(entity, SECOND).agg(*[F.expr(a) for a in aggs])
+
+
+def _centred(parts: DataFrame, measures: Sequence[str], window: str) -> DataFrame:
     """First and second moments of each partial around the mean of its (entity, chunk)."""
-    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    zero = F.lit(0)
-    parts = parts.withColumns(
-        {f"_mid_{m}": F.sum(f"_s_{m}").over(whole) / F.nullif(F.sum(f"_n_{m}").over(whole), zero) for m in measures}
-    )
+    if not measures:
+        return parts
+    whole = f"OVER ({window} {_UNBOUNDED})"
+    mids, moments = [], []
     for m in measures:
-        n, off = F.col(f"_n_{m}"), F.col(f"_s_{m}") - F.col(f"_n_{m}") * F.col(f"_mid_{m}")
-        second = F.col(f"_m2_{m}") + off * off / F.nullif(n, zero)
-        parts = parts.withColumns({f"_c1_{m}": off, f"_c2_{m}": second})
-    return parts
+        mids.append(f"sum(_s_{m}) {whole} / nullif(sum(_n_{m}) {whole}, 0) AS _mid_{m}")
+        off = f"(_s_{m} - _n_{m} * _mid_{m})"
+        moments += [f"{off} AS _c1_{m}", f"_m2_{m} + {off} * {off} / nullif(_n_{m}, 0) AS _c2_{m}"]
+    return parts.selectExpr("*", *mids).selectExpr("*", *moments)
 
 
-def _split(parts: DataFrame, columns: Sequence[str], by_chunk) -> DataFrame:
+def _split(parts: DataFrame, columns: Sequence[str], window: str) -> DataFrame:
     """Each addend as ``_high`` (a multiple of one fixed step, so sums are exact) and ``_rest``."""
-    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    steps = {}
+    if not columns:
+        return parts
+    steps, highs, rests = [], [], []
     for c in columns:
-        size = F.nullif(F.sum(F.abs(c)).over(whole), F.lit(0.0))
-        steps[f"_step{c}"] = F.pow(F.lit(2.0), F.ceil(F.log2(F.coalesce(size, F.lit(1.0)))) + 1)
-    parts = parts.withColumns(steps)
-    high = {f"{c}_high": (F.col(c) + F.col(f"_step{c}")) - F.col(f"_step{c}") for c in columns}
-    return parts.withColumns(high).withColumns({f"{c}_rest": F.col(c) - F.col(f"{c}_high") for c in columns})
+        size = f"nullif(sum(abs({c})) OVER ({window} {_UNBOUNDED}), 0D)"
+        steps.append(f"pow(2D, ceil(log2(coalesce({size}, 1D))) + 1) AS _step{c}")
+        highs.append(f"({c} + _step{c}) - _step{c} AS {c}_high")
+        rests.append(f"{c} - {c}_high AS {c}_rest")
+    return parts.selectExpr("*", *steps).selectExpr("*", *highs).selectExpr("*", *rests)
+
+
+class _Frames:
+    """The growing frames a set of outputs needs, and their differences, as SQL expressions."""
+
+    def __init__(self, window: str, split: Sequence[str], back: int):
+        self.window, self.split, self.back = window, split, back
+        self.sums: dict[str, str] = {}
+        self.totals: dict[str, str] = {}
+
+    def _sum(self, column: str, behind: int) -> str:
+        """The column's total over all seconds up to ``behind`` seconds ago."""
+        name = f"_to{behind}{column}"
+        end = f"{behind} PRECEDING" if behind else "CURRENT ROW"
+        frame = f"RANGE BETWEEN UNBOUNDED PRECEDING AND {end}"
+        self.sums.setdefault(name, f"sum({column}) OVER ({self.window} {frame}) AS {name}")
+        return f"coalesce({name}, 0)"
+
+    def total(self, column: str, seconds: int, gone: str | None = None) -> str:
+        """Sum of ``column`` up to the frame's end less the sum of ``gone`` before its start."""
+        name = f"_t{seconds}{column}"
+        if name not in self.totals:
+            pieces = [f"{column}_high", f"{column}_rest"] if column in self.split else [column]
+            upto = [self._sum(p, self.back) for p in pieces]
+            before = [self._sum(gone or p, seconds + 1) for p in pieces]
+            # Rows without a time are peers of each other only.
+            parts = [f"({u} - if({SECOND} IS NULL, 0, {b}))" for u, b in zip(upto, before)]
+            self.totals[name] = f"{' + '.join(parts)} AS {name}"
+        return name
+
+    def output(self, spec: Rolling, floating: bool) -> str:
+        m, seconds = spec.column, spec.seconds
+        if spec.fn == "count":
+            return self.total("_n", seconds)
+        if spec.fn == "distinct":
+            return self.total(f"_u_{spec.name}", seconds, gone=f"_v_{spec.name}")
+        n = self.total(f"_n_{m}", seconds)
+        enough = f"{n} > 0"
+        if spec.fn == "std":
+            enough = f"{n} > 1"
+            c1, c2 = self.total(f"_c1_{m}", seconds), self.total(f"_c2_{m}", seconds)
+            # Below the rounding of its two terms the spread is zero.
+            spread = f"({c2} - {c1} * {c1} / nullif({n}, 0))"
+            spread = f"if({spread} > {c2} * {_ROUNDING}, {spread}, 0D)"
+            value = f"sqrt({spread} / nullif({n} - 1, 0))"
+        else:
+            value = self.total(f"_s_{m}", seconds)
+            if spec.fn == "mean":
+                value = f"{value} / nullif({n}, 0)"
+        if floating:
+            odd = self.total(f"_odd_{m}", seconds)
+            inf = "NaN" if spec.fn == "std" else "inf"
+            value = (
+                f"CASE WHEN {odd} = 0 THEN {value} WHEN {odd} >= {_HIGH} AND {odd} % {_HIGH} > 0 THEN double('NaN') "
+                f"WHEN {odd} >= {_HIGH} THEN double('{inf}') ELSE -double('{inf}') END"
+            )
+        return f"if({enough}, {value}, null)"
 
 
 def rolling_by_second(
@@ -166,92 +217,36 @@ def rolling_by_second(
 
     ``include_current=False`` ends the frame one second before the row.
     """
+    back = 0 if include_current else 1
     length = max(s.seconds for s in specs)
-    columns = list(dict.fromkeys(s.column for s in specs if s.column))
-    base = df.select(entity, epoch_seconds(F.col(ts)).alias(SECOND), *[c for c in columns if c != entity])
-
-    parts = _spread(_partials(base, entity, specs), length)
-    for spec in specs:
-        if spec.fn == "distinct":
-            steps = _distinct_steps(base, entity, spec, length, include_current)
-            parts = parts.unionByName(steps, allowMissingColumns=True)
-
-    by_chunk = Window.partitionBy(entity, _CHUNK).orderBy(SECOND)
-    floating = [m for m in _measures(specs) if f"_hi_{m}" in parts.columns]
-    parts = _centred(parts, sorted(_squared(specs)), by_chunk)
-    addends = [f"_s_{m}" for m in floating if any(s.fn in ("sum", "mean") and s.column == m for s in specs)]
-    addends += [f"_{c}_{m}" for m in sorted(_squared(specs)) for c in ("c1", "c2")]
-    parts = _split(parts, addends, by_chunk)
-
-    upto = by_chunk.rangeBetween(Window.unboundedPreceding, 0 if include_current else -1)
-
-    def frame(column: str, seconds: int) -> Column:
-        zero = F.lit(0)
-        total = F.coalesce(F.sum(column).over(upto), zero)
-        before = by_chunk.rangeBetween(Window.unboundedPreceding, -(seconds + 1))
-        # Rows without a time are peers of each other only.
-        return F.when(F.col(SECOND).isNull(), total).otherwise(
-            total - F.coalesce(F.sum(column).over(before), zero)
-        )
-
-    needed: dict[str, Column] = {}
-
-    def part(column: str, seconds: int) -> Column:
-        pieces = [f"{column}_high", f"{column}_rest"] if column in addends else [column]
-        for piece in pieces:
-            needed.setdefault(f"_f{piece}_{seconds}", frame(piece, seconds))
-        high, *rest = [F.col(f"_f{piece}_{seconds}") for piece in pieces]
-        return high + rest[0] if rest else high
-
-    outputs = []
-    for s in specs:
-        if s.fn == "count":
-            out = part("_n", s.seconds)
-        elif s.fn == "distinct":
-            name = f"_f_d_{s.name}"
-            timed = F.when(F.col(SECOND).isNotNull(), F.col(f"_d_{s.name}"))
-            needed[name] = F.when(
-                F.col(SECOND).isNull(), F.sum(f"_d_{s.name}").over(upto)
-            ).otherwise(F.sum(timed).over(upto))
-            out = F.coalesce(F.col(name), F.lit(0))
-        else:
-            out = _from_parts(s, part, floating=s.column in floating)
-        outputs.append(out.alias(s.name))
-
+    columns = [c for c in dict.fromkeys(s.column for s in specs if s.column) if c != entity]
+    rows = df.select(entity, epoch_seconds(F.col(ts)).alias(SECOND), *columns, F.lit(1).alias("_row"))
+    parts = _per_second(rows, entity, specs, length, back)
+
+    # Each partial in its own chunk and, as look-back, in the next one.
+    own = _chunk_of(SECOND, length)
+    parts = parts.selectExpr("*", f"explode(array({own}, {own} + 1)) AS _chunk")
+    opened = [s.name for s in specs if s.fn == "distinct"]
+    if opened:
+        parts = parts.withColumns({f"_u_{n}": F.expr(f"if(_chunk = {own}, _u_{n}, _w_{n})") for n in opened})
+
+    window = f"PARTITION BY `{entity}`, _chunk ORDER BY {SECOND}"
+    squared = _measures(specs, "std")
+    floating = [m for m in _measures(specs, "sum", "mean", "std") if f"_odd_{m}" in parts.columns]
+    addends = [f"_s_{m}" for m in _measures(specs, "sum", "mean") if m in floating]
+    addends += [f"{c}_{m}" for m in squared for c in ("_c1", "_c2")]
+    parts = _split(_centred(parts, squared, window), addends, window)
+
+    frames = _Frames(window, addends, back)
+    outputs = [f"{frames.output(s, s.column in floating)} AS `{s.name}`" for s in specs]
     return (
-        parts.withColumns(needed)
-        .filter((F.col("_n") > 0) & (F.col(_CHUNK) == _chunk_of(F.col(SECOND), length)))
-        .select(entity, SECOND, *outputs)
+        parts.selectExpr(f"`{entity}`", SECOND, f"_chunk = {own} AS _own", *frames.sums.values())
+        .where("_own")
+        .selectExpr(f"`{entity}`", SECOND, *frames.totals.values())
+        .selectExpr(f"`{entity}`", SECOND, *outputs)
     )
 
 
-def _from_parts(spec: Rolling, part, floating: bool) -> Column:
-    m, seconds = spec.column, spec.seconds
-    n = part(f"_n_{m}", seconds)
-    none = n == 0
-    if spec.fn == "std":
-        c1, c2 = part(f"_c1_{m}", seconds), part(f"_c2_{m}", seconds)
-        spread = c2 - c1 * c1 / F.nullif(n, F.lit(0))
-        # Below the rounding of its two terms the spread is zero.
-        spread = F.when(spread > c2 * _ROUNDING, spread).otherwise(F.lit(0.0))
-        value = F.sqrt(spread / F.nullif(n - 1, F.lit(0)))
-        none = n < 2
-    elif spec.fn == "mean":
-        value = part(f"_s_{m}", seconds) / F.nullif(n, F.lit(0))
-    else:
-        value = part(f"_s_{m}", seconds)
-    if floating:
-        high, low = part(f"_hi_{m}", seconds) > 0, part(f"_lo_{m}", seconds) > 0
-        nan = F.lit(float("nan"))
-        value = (
-            F.when(high & low, nan)
-            .when(high, nan if spec.fn == "std" else F.lit(float("inf")))
-            .when(low, nan if spec.fn == "std" else F.lit(float("-inf")))
-            .otherwise(value)
-        )
-    return F.when(~none, value)
-
-
 def rolling(
     df: DataFrame,
     entity: str,
