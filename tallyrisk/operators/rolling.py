@@ -9,9 +9,10 @@ entity that holds a large share of the table.  Rows of one entity and second
 share their results, so the work is done on that grain instead:
 
 1. partial aggregates per (entity, second), combined before the shuffle;
-2. time is cut in chunks as long as the longest frame; each partial also goes
-   to the next chunk as look-back, so a window partition is (entity, chunk) and
-   holds at most two chunks of seconds, whatever the entity's row count;
+2. time is cut in chunks at least as long as the longest frame; partials near a
+   chunk's end also go to the next chunk as look-back, so a window partition is
+   (entity, chunk) and holds a bounded number of seconds, whatever the entity's
+   row count;
 3. a frame is the running total up to the row minus the running total up to
    the row before the frame: two growing frames, linear in the partition;
 4. results are joined back to the rows on (entity, second), where the adaptive
@@ -56,48 +57,69 @@ class Rolling:
     column: str | None = None
 
 
-def _chunk_of(second: str, length: int) -> str:
-    # A null second keeps its own place: first in chunk 0.
-    return f"coalesce(floor({second} / {length}), 0L)"
+@dataclass(frozen=True)
+class _Chunks:
+    """How time is cut: chunk length and look-back, in seconds, as SQL expressions."""
+
+    longest: int
+
+    @property
+    def length(self) -> int:
+        # Longer chunks copy fewer rows; about a month bounds a partition's seconds.
+        return max(self.longest, min(4 * self.longest, 32 * DAY_S))
+
+    @property
+    def own(self) -> str:
+        # A null second keeps its own place: first in chunk 0.
+        return f"coalesce(floor({SECOND} / {self.length}), 0L)"
+
+    @property
+    def copied(self) -> str:
+        """Whether the row is look-back of the next chunk."""
+        return f"coalesce({SECOND} - {self.own} * {self.length} >= {self.length - self.longest}, false)"
+
+    @property
+    def place(self) -> str:
+        return f"explode(if({self.copied}, array({self.own}, {self.own} + 1), array({self.own}))) AS _chunk"
 
 
 def _measures(specs: Sequence[Rolling], *fns: str) -> list[str]:
     return list(dict.fromkeys(s.column for s in specs if s.fn in fns))
 
 
-def _runs(rows: DataFrame, entity: str, spec: Rolling, length: int, gap: int) -> DataFrame:
-    """Per pair occurrence: does it open a run (``_u``; ``_w`` if time began with its chunk), or close one (``_v``).
+def _runs(rows: DataFrame, entity: str, spec: Rolling, chunks: _Chunks, gap: int) -> DataFrame:
+    """Per pair occurrence: does it open a run (``_u``, and ``_w`` seen from the next chunk), or close one (``_v``).
 
-    Each occurrence stands in its own chunk, where its predecessor is found, and
-    as look-back in the next one, where its successor is.
+    Each occurrence stands where its partials will stand.  Its predecessor is
+    found in the same chunk, its successor in the last chunk it stands in.
     """
-    name, own = spec.name, _chunk_of(SECOND, length)
+    name = spec.name
     by_pair = f"OVER (PARTITION BY `{entity}`, `{spec.column}`, _chunk ORDER BY {SECOND})"
-    follows = f"coalesce({SECOND} - _before <= {gap}, false)"
-    followed = f"coalesce(_after - {SECOND} <= {gap}, false)"
+    opens = f"if(coalesce(_since <= {gap}, false), 0L, 1L)"
+    closes = f"if(coalesce(_until <= {gap}, false), 0L, 1L)"
     return (
         rows.where(f"`{spec.column}` IS NOT NULL")
         .select(entity, spec.column, SECOND)
         .distinct()
-        .selectExpr("*", f"explode(array({own}, {own} + 1)) AS _chunk")
+        .selectExpr("*", chunks.place)
         .selectExpr(
             f"`{entity}`",
             SECOND,
-            f"_chunk = {own} AS _own",
-            f"lag({SECOND}) {by_pair} AS _before",
-            f"lead({SECOND}) {by_pair} AS _after",
+            f"_chunk = {chunks.own} AS _own",
+            f"{SECOND} - lag({SECOND}) {by_pair} AS _since",
+            f"lead({SECOND}) {by_pair} - {SECOND} AS _until",
         )
         .selectExpr(
             f"`{entity}`",
             SECOND,
-            f"if(_own, if({follows}, 0L, 1L), null) AS _u_{name}",
-            f"if(_own, if({follows} AND {_chunk_of('_before', length)} = {own}, 0L, 1L), null) AS _w_{name}",
-            f"if(_own, null, if({followed}, 0L, 1L)) AS _v_{name}",
+            f"if(_own, {opens}, null) AS _u_{name}",
+            f"if(_own, null, {opens}) AS _w_{name}",
+            f"if(_own AND {chunks.copied}, null, {closes}) AS _v_{name}",
         )
     )
 
 
-def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], length: int, back: int) -> DataFrame:
+def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], chunks: _Chunks, back: int) -> DataFrame:
     """One row per (entity, second): counts, sums and centred squares per measure, run counts per distinct."""
     kinds = {f.name: f.dataType for f in rows.schema}
     aggs = ["count(_row) AS _n"]
@@ -107,7 +129,7 @@ def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], length:
             aggs.append(f"sum(bigint(`{m}`)) AS _s_{m}")
             continue
         # Whether +inf (or NaN) and -inf (or NaN) occur: two counters in one number,
-        # each at most two chunks of seconds.
+        # each at most the seconds of a window partition.
         high = f"isnan(`{m}`) OR `{m}` = double('inf')"
         low = f"isnan(`{m}`) OR `{m}` = double('-inf')"
         finite = f"FILTER (WHERE NOT ({high} OR {low}))"
@@ -117,7 +139,7 @@ def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], length:
             aggs.append(f"var_pop(`{m}`) {finite} * count(`{m}`) {finite} AS _m2_{m}")
     for spec in specs:
         if spec.fn == "distinct":
-            runs = _runs(rows, entity, spec, length, spec.seconds - back)
+            runs = _runs(rows, entity, spec, chunks, spec.seconds - back)
             aggs += [f"sum({c}_{spec.name}) AS {c}_{spec.name}" for c in ("_u", "_w", "_v")]
             rows = rows.unionByName(runs, allowMissingColumns=True)
     return rows.groupBy(entity, SECOND).agg(*[F.expr(a) for a in aggs])
@@ -218,17 +240,13 @@ def rolling_by_second(
     ``include_current=False`` ends the frame one second before the row.
     """
     back = 0 if include_current else 1
-    length = max(s.seconds for s in specs)
+    chunks = _Chunks(max(s.seconds for s in specs))
     columns = [c for c in dict.fromkeys(s.column for s in specs if s.column) if c != entity]
     rows = df.select(entity, epoch_seconds(F.col(ts)).alias(SECOND), *columns, F.lit(1).alias("_row"))
-    parts = _per_second(rows, entity, specs, length, back)
-
-    # Each partial in its own chunk and, as look-back, in the next one.
-    own = _chunk_of(SECOND, length)
-    parts = parts.selectExpr("*", f"explode(array({own}, {own} + 1)) AS _chunk")
+    parts = _per_second(rows, entity, specs, chunks, back).selectExpr("*", chunks.place)
     opened = [s.name for s in specs if s.fn == "distinct"]
     if opened:
-        parts = parts.withColumns({f"_u_{n}": F.expr(f"if(_chunk = {own}, _u_{n}, _w_{n})") for n in opened})
+        parts = parts.withColumns({f"_u_{n}": F.expr(f"if(_chunk = {chunks.own}, _u_{n}, _w_{n})") for n in opened})
 
     window = f"PARTITION BY `{entity}`, _chunk ORDER BY {SECOND}"
     squared = _measures(specs, "std")
@@ -240,7 +258,7 @@ def rolling_by_second(
     frames = _Frames(window, addends, back)
     outputs = [f"{frames.output(s, s.column in floating)} AS `{s.name}`" for s in specs]
     return (
-        parts.selectExpr(f"`{entity}`", SECOND, f"_chunk = {own} AS _own", *frames.sums.values())
+        parts.selectExpr(f"`{entity}`", SECOND, f"_chunk = {chunks.own} AS _own", *frames.sums.values())
         .where("_own")
         .selectExpr(f"`{entity}`", SECOND, *frames.totals.values())
         .selectExpr(f"`{entity}`", SECOND, *outputs)

@@ -88,8 +88,14 @@ def same(a, b):
 
 
 @pytest.mark.parametrize("include_current", [True, False])
-def test_rolling_equals_brute_force(spark, include_current):
-    data = rows()
+@pytest.mark.parametrize("month", [32 * DAY_S, DAY_S, 3 * DAY_S])
+def test_rolling_equals_brute_force(spark, monkeypatch, month, include_current):
+    """Chunks of 8, 2 and 3 days: few, all and some rows are copied."""
+    monkeypatch.setattr(
+        "tallyrisk.operators.rolling._Chunks.length",
+        property(lambda self: max(self.longest, min(4 * self.longest, month))),
+    )
+    data = rows(seed=month)
     df = spark.createDataFrame(data, "id int, user string, ts timestamp, amount double, label int, shop string")
     got = rolling(df, "user", "ts", SPECS, include_current).collect()
     want = brute(data, include_current)
