@@ -13,12 +13,13 @@ RANGES = 256
 
 def _range_of(df: DataFrame, column: str, splits: DataFrame) -> DataFrame:
     """Column ``_range``: how many split points lie below the value (binary search)."""
-    df = df.withColumn("_splits", splits.scalar()).withColumn("_range", F.lit(0))
+    df = df.select("*", splits.scalar().alias("_splits"), F.lit(0).alias("_range"))
+    kept = [f"`{c}`" for c in df.columns if c != "_range"]
     step = RANGES // 2
     while step >= 1:
         # A probe beyond the array is null and leaves the position as it is.
-        probe = F.try_element_at("_splits", F.col("_range") + step)
-        df = df.withColumn("_range", F.col("_range") + F.when(probe < F.col(column), step).otherwise(0))
+        probe = f"try_element_at(_splits, _range + {step}) < `{column}`"
+        df = df.selectExpr(*kept, f"_range + if({probe}, {step}, 0) AS _range")
         step //= 2
     return df.drop("_splits")
 
@@ -75,40 +76,34 @@ def floor_percentiles(df: DataFrame, column: str, quantiles: Sequence[float]) ->
 def pick_by_hash(
     df: DataFrame,
     id_col: str,
-    wanted: DataFrame,
+    k: Column,
     by: Sequence[str] = (),
     seed: str = "",
 ) -> DataFrame:
-    """All rows with ``picked``: exactly ``wanted.k`` rows per stratum, those of smallest hash.
+    """All rows with ``picked``: exactly ``k`` rows per stratum, those of smallest hash.
 
-    ``wanted`` holds one row per stratum (``by`` columns and ``k``; without
-    ``by`` one row).  Rows are ordered by (md5 of seed and id, id).  Counts per
-    hash prefix tell which prefix a stratum's limit falls in; only the rows of
-    that one prefix are ranked, all others are decided by comparing prefixes.
+    ``k`` is the same for all rows of a stratum.  Rows are ordered by (md5 of
+    seed and id, id).  Counts per hash prefix tell which prefix a stratum's
+    limit falls in; only the rows of that one prefix are ranked, all others are
+    decided by comparing prefixes.
     """
     by = list(by)
     digest = F.md5(F.concat(F.lit(seed), F.col(id_col).cast("string")))
-    hashed = df.withColumn("_h", digest).withColumn("_p", F.substring("_h", 1, 4))
-    counts = hashed.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    hashed = df.withColumns({"_k": k.cast("long"), "_h": digest}).withColumn("_p", F.substring("_h", 1, 4))
     # At most 65,536 prefixes per stratum.
+    counts = hashed.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_c"), F.max("_k").alias("_k"))
     through = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn("_through", F.sum("_c").over(through))
-    wanted = wanted.select(*by, F.col("k").cast("long").alias("_k"))
-    counts = counts.join(wanted, by) if by else counts.withColumn("_k", wanted.scalar())
-    cut = counts.filter((F.col("_through") >= F.col("_k")) & (F.col("_through") - F.col("_c") < F.col("_k")))
-    cut = cut.select(
-        *by, F.col("_p").alias("_cut"), (F.col("_k") - (F.col("_through") - F.col("_c"))).alias("_left")
+    before = F.col("_through") - F.col("_c")
+    cut = (
+        counts.withColumn("_through", F.sum("_c").over(through))
+        .filter((F.col("_through") >= F.col("_k")) & (before < F.col("_k")))
+        .select(*by, F.col("_p").alias("_cut"), (F.col("_k") - before).alias("_left"))
     )
     if by:
-        limits = wanted.join(cut, by, "left")
-        placed = hashed.join(limits, by, "left")
+        placed = hashed.join(cut, by, "left")
     else:
-        limit = cut.select(F.struct("_cut", "_left")).scalar()
-        placed = (
-            hashed.withColumn("_limit", limit)
-            .withColumns({"_cut": F.col("_limit._cut"), "_left": F.col("_limit._left"), "_k": wanted.scalar()})
-            .drop("_limit")
-        )
+        one = cut.select(F.struct("_cut", "_left")).scalar()
+        placed = hashed.withColumn("_limit", one).select("*", "_limit._cut", "_limit._left").drop("_limit")
     at_cut = F.coalesce(F.col("_p") == F.col("_cut"), F.lit(False))
     # No cut means the stratum has fewer rows than wanted (all are picked), or none is wanted.
     clear = F.when(F.col("_cut").isNull(), F.coalesce(F.col("_k") > 0, F.lit(False))).otherwise(
@@ -136,14 +131,14 @@ def top_fraction_flag(
     border = (
         totals.withColumn("_top", F.greatest(F.lit(1).cast("long"), F.floor(n * F.lit(fraction)).cast("long")))
         .filter((F.col("cum_k") >= F.col("_top")) & (F.col("cum_k") - F.col("k") < F.col("_top")))
-        .select(F.struct(F.col(score).alias("at"), (F.col("_top") - (F.col("cum_k") - F.col("k"))).alias("k")).alias("b"))
+        .select(F.struct(F.col(score).alias("at"), (F.col("_top") - (F.col("cum_k") - F.col("k"))).alias("k")))
     )
     at = F.col("_border.at")
     placed = df.withColumn("_border", border.scalar())
     clear = placed.filter(~F.coalesce(F.col(score) == at, F.lit(False)))
     clear = clear.withColumn("picked", F.coalesce(F.col(score) > at, F.lit(False)))
     ties = placed.filter(F.col(score) == at)
-    ties = pick_by_hash(ties, id_col, border.select(F.col("b.k").alias("k")))
+    ties = pick_by_hash(ties, id_col, F.col("_border.k"))
     return (
         clear.unionByName(ties)
         .withColumn(flag, F.col("picked").cast("int"))

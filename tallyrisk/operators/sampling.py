@@ -22,7 +22,7 @@ def balanced_sample(
     df: DataFrame, label: str = "is_fraud", ratio: int = 5, seed: str = "42", id_col: str = "transaction_id"
 ) -> DataFrame:
     """All positives and ``ratio`` times as many negatives, chosen by hash."""
-    wanted = df.agg((F.count_if(F.col(label) == 1) * ratio).alias("k"))
+    wanted = df.agg(F.count_if(F.col(label) == 1) * ratio).scalar()
     negatives = pick_by_hash(df.filter(F.col(label) == 0), id_col, wanted, seed=seed)
     return df.filter(F.col(label) == 1).unionByName(negatives.filter("picked").drop("picked"))
 
@@ -36,6 +36,7 @@ def stratified_split(
 ) -> DataFrame:
     """Column ``split``: exactly the rounded fraction of each class is "test", chosen by hash."""
     size = F.floor(F.count(F.lit(1)) * F.lit(float(test_fraction)) + F.lit(0.5)).cast("long")
-    wanted = df.groupBy(label).agg(size.alias("k"))
-    picked = pick_by_hash(df, id_col, wanted, by=[label], seed=seed)
-    return picked.withColumn("split", F.when(F.col("picked"), "test").otherwise("train")).drop("picked")
+    # One row per class.
+    sized = df.join(df.groupBy(label).agg(size.alias("_size")), label, "left")
+    picked = pick_by_hash(sized, id_col, F.col("_size"), by=[label], seed=seed)
+    return picked.withColumn("split", F.when(F.col("picked"), "test").otherwise("train")).drop("picked", "_size")
