@@ -97,6 +97,16 @@ def enrich(df: DataFrame, side: DataFrame, key: str, columns: Sequence[str]) ->
     return df.join(side.select(key, *columns), key, "left")
 
 
+def entity_means(df: DataFrame, entity: str = "customer_id", amount: str = "amount_usd") -> DataFrame:
+    """Mean amount per (non-null) entity, as ``_entity_mean``."""
+    return df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.mean(amount).alias("_entity_mean"))
+
+
+def mean_ratio(amount: str = "amount_usd", default: float = 100.0, eps: float = 1e-6) -> Column:
+    """Amount over ``_entity_mean``; an entity without a mean has the default."""
+    return F.col(amount) / (F.coalesce(F.col("_entity_mean"), F.lit(default)) + F.lit(eps))
+
+
 def ratio_to_entity_mean(
     df: DataFrame,
     entity: str = "customer_id",
@@ -110,11 +120,9 @@ def ratio_to_entity_mean(
 
     The means grow with the entities, so no broadcast is forced.
     """
-    source = df if history is None else history
-    means = source.groupBy(F.col(entity).alias("_entity")).agg(F.mean(amount).alias("_mean"))
-    joined = df.join(means, F.col(entity) == F.col("_entity"), "left")
-    ratio = F.col(amount) / (F.coalesce(F.col("_mean"), F.lit(default)) + F.lit(eps))
-    return joined.withColumn(name, ratio).drop("_entity", "_mean")
+    means = entity_means(df if history is None else history, entity, amount)
+    joined = df.join(means, entity, "left")
+    return joined.withColumn(name, mean_ratio(amount, default, eps)).drop("_entity_mean")
 
 
 def new_pair_flag(

@@ -271,9 +271,16 @@ def rolling(
     ts: str,
     specs: Sequence[Rolling],
     include_current: bool = True,
+    per_entity: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows of ``df`` with one more column per spec; null entities form one group."""
+    """The rows of ``df`` with one more column per spec; null entities form one group.
+
+    ``per_entity`` may hold more columns, one row per entity.  They are joined
+    to the narrow per-second table, so that the wide rows are joined only once.
+    """
     per_second = rolling_by_second(df, entity, ts, specs, include_current)
+    if per_entity is not None:
+        per_second = per_second.join(per_entity, entity, "left")
     per_second = per_second.withColumnsRenamed({entity: "_r_entity", SECOND: "_r_second"})
     rows = df.withColumn(SECOND, epoch_seconds(F.col(ts)))
     same = rows[entity].eqNullSafe(per_second["_r_entity"]) & rows[SECOND].eqNullSafe(per_second["_r_second"])
@@ -287,10 +294,11 @@ def velocity(
     amount: str = "amount_usd",
     hours: Sequence[int] = (1, 6, 24),
     include_current: bool = True,
+    per_entity: DataFrame | None = None,
 ) -> DataFrame:
     """Count and amount sum of the entity over the last k hours, for each k."""
     specs = []
     for h in hours:
         specs.append(Rolling(f"customer_tx_count_{h}h", "count", h * HOUR_S))
         specs.append(Rolling(f"customer_tx_amount_sum_{h}h", "sum", h * HOUR_S, amount))
-    return rolling(df, entity, ts, specs, include_current)
+    return rolling(df, entity, ts, specs, include_current, per_entity)

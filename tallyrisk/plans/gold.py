@@ -14,7 +14,7 @@ from tallyrisk.functions.events import (
     velocity_spike,
     weekend,
 )
-from tallyrisk.operators.cleaning import new_pair_flag, ratio_to_entity_mean
+from tallyrisk.operators.cleaning import entity_means, mean_ratio, new_pair_flag
 from tallyrisk.operators.reports import amount_zscore
 from tallyrisk.operators.rolling import DAY_S, HOUR_S, SECOND, Rolling, rolling, rolling_by_second, velocity
 
@@ -91,12 +91,13 @@ def batch_transforms(
     amount_col: str = "amount_usd",
     history: DataFrame | None = None,
     hours: Sequence[int] = (1, 6, 24),
+    per_entity: DataFrame | None = None,
 ) -> DataFrame:
     """Temporal, amount, z-score, velocity (if the entity column exists) and risk flags."""
     out = amount_features(temporal_features(df, ts_col), amount_col)
     out = amount_zscore(out, amount_col)
     if entity_col in df.columns:
-        out = velocity(out, entity_col, ts_col, amount_col, hours)
+        out = velocity(out, entity_col, ts_col, amount_col, hours, per_entity=per_entity)
     return risk_flags(out, history)
 
 
@@ -124,9 +125,8 @@ def transaction_features(
     silver: DataFrame, as_of: Column, history: DataFrame | None = None
 ) -> DataFrame:
     """One row per transaction: all batch transforms and the ratio to the customer's mean."""
-    df = batch_transforms(silver.select(*TRANSACTION_INPUTS), history=history)
-    df = ratio_to_entity_mean(df, history=silver)
-    return df.withColumn("feature_date", as_of)
+    df = batch_transforms(silver.select(*TRANSACTION_INPUTS), history=history, per_entity=entity_means(silver))
+    return df.withColumns({"amount_vs_customer_mean_ratio": mean_ratio(), "feature_date": as_of}).drop("_entity_mean")
 
 
 def fraud_labels(silver: DataFrame, as_of: Column) -> DataFrame:
@@ -152,8 +152,7 @@ def model_inputs(
     ``include_current=False`` keeps a row's own second, and so its own label,
     out of the rolling features; ``mean_history`` limits the customer means.
     """
-    df = amount_features(temporal_features(silver.select(*TRANSACTION_INPUTS)))
-    df = rolling(amount_zscore(df), "customer_id", "transaction_ts", MODEL_ROLLING, include_current)
-    df = velocity_spike(df)
-    history = silver if mean_history is None else mean_history
-    return ratio_to_entity_mean(df, name="amount_vs_mean_ratio", history=history)
+    df = amount_zscore(amount_features(temporal_features(silver.select(*TRANSACTION_INPUTS))))
+    means = entity_means(silver if mean_history is None else mean_history)
+    df = rolling(df, "customer_id", "transaction_ts", MODEL_ROLLING, include_current, means)
+    return velocity_spike(df).withColumn("amount_vs_mean_ratio", mean_ratio()).drop("_entity_mean")

@@ -64,7 +64,6 @@ def land_csv(
 def build_silver(
     spark: SparkSession,
     card_path: str,
-    identity_path: str,
     transfer_path: str,
     out: str,
     silver_ts: datetime,
@@ -72,12 +71,18 @@ def build_silver(
 ) -> int:
     """Clean both sources into the transaction table, partitioned by source."""
     at = F.lit(silver_ts).cast("timestamp")
-    cards = silver.clean_cards(read_table(spark, card_path), read_table(spark, identity_path), at)
+    cards = silver.clean_cards(read_table(spark, card_path), at)
     transfers = silver.clean_transfers(read_table(spark, transfer_path), at)
     table = silver.silver_table(cards, transfers)
     return _write_measured(spark, table, out, "overwrite", ["data_source"], "silver", metrics_path)
 
 
+def build_wide_cards(spark: SparkSession, card_path: str, identity_path: str, out: str) -> None:
+    """The enriched, imputed card table with all its columns."""
+    wide = silver.prepare_cards(read_table(spark, card_path), read_table(spark, identity_path))
+    write_table(wide, out, "overwrite")
+
+
 def build_gold(
     spark: SparkSession,
     silver_path: str,

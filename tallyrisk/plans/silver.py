@@ -52,22 +52,25 @@ def conform_cards(df: DataFrame, silver_ts: Column) -> DataFrame:
     )
 
 
-def clean_cards(
-    tx: DataFrame,
-    side: DataFrame,
-    silver_ts: Column,
-    epoch: int = CARD_EPOCH,
-    accuracy: int = MEDIAN_ACCURACY,
+def prepare_cards(
+    tx: DataFrame, side: DataFrame, epoch: int = CARD_EPOCH, accuracy: int = MEDIAN_ACCURACY
 ) -> DataFrame:
-    """Card source end to end: enrich, impute (before deduplication), decode, keep first, conform.
+    """The wide card table: enriched, then imputed (before any deduplication), with decoded time."""
+    df = impute_cards(enrich(tx, side, "TransactionID", SIDE_COLS), accuracy)
+    return df.withColumn("transaction_ts", from_offset_seconds(F.col("TransactionDT"), epoch))
+
+
+def clean_cards(tx: DataFrame, silver_ts: Column, epoch: int = CARD_EPOCH) -> DataFrame:
+    """Card source in silver columns: fill, decode, keep the first row per id, conform.
 
-    Only columns that reach the silver table are carried through the shuffle;
-    copies of a key with equal time are ordered by their other values.
+    Neither the side table nor the V and D columns reach the silver schema, and
+    rows the side table would repeat are copies that deduplication removes.  So
+    their join and medians (``prepare_cards``) are left out of this path.
+    Copies of a key with equal time are ordered by their other values.
     """
-    df = impute_cards(enrich(tx, side, "TransactionID", SIDE_COLS), accuracy)
-    df = df.withColumn("transaction_ts", from_offset_seconds(F.col("TransactionDT"), epoch))
     kept = ["TransactionAmt", "ProductCD", "card1", "card6", "isFraud", "_ingest_ts"]
-    df = df.select("TransactionID", "transaction_ts", *kept)
+    df = fill_constants(tx.select("TransactionID", "TransactionDT", *kept), {c: CATEGORY_FILL for c in CATEGORY_COLS})
+    df = df.withColumn("transaction_ts", from_offset_seconds(F.col("TransactionDT"), epoch))
     return conform_cards(dedup_first(df, ["TransactionID"], ["transaction_ts", *kept]), silver_ts)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from tallyrisk.session import configure  # noqa: E402
 
@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config(
             "spark.sql.streaming.stateStore.providerClass",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyrisk.operators.rolling import velocity
 from tallyrisk.plans import jobs
 from tallyrisk.plans.gold import merchant_features, transaction_features
-from tallyrisk.plans.silver import clean_cards
+from tallyrisk.plans.silver import clean_cards, impute_cards, prepare_cards
 from tallyrisk.schemas import (
     CARD_IDENTITY,
     CARD_TRANSACTIONS,
@@ -58,7 +58,7 @@ def test_all_batch_jobs(spark, tmp_path):
     assert land("absent", TRANSFERS) == 0
 
     silver_path = str(tmp_path / "silver")
-    paths = [str(raw / n) for n in ("cards", "identity", "transfers")]
+    paths = [str(raw / n) for n in ("cards", "transfers")]
     assert jobs.build_silver(spark, *paths, silver_path, AT, metrics) == 150
     table = spark.read.parquet(silver_path)
     assert not conforms(table.schema, SILVER)
@@ -66,6 +66,12 @@ def test_all_batch_jobs(spark, tmp_path):
     assert table.filter("transaction_id = '1'").first()["transaction_ts"] == datetime(2017, 11, 30)
     assert table.select("transaction_id").distinct().count() == 150
 
+    jobs.build_wide_cards(spark, str(raw / "cards"), str(raw / "identity"), str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    assert wide.count() == 105
+    assert wide.filter("V1 IS NULL OR V2 <> 0.0 OR C1 <> -999.0 OR card4 <> 'UNKNOWN'").count() == 0
+    assert {r["DeviceType"] for r in wide.filter("TransactionID < 3").collect()} == {"mobile", "UNKNOWN"}
+
     counts = jobs.build_gold(spark, silver_path, str(tmp_path / "gold"), AT, metrics)
     assert counts == {"customer_features": 57, "merchant_features": 51, "transaction_features": 150}
     wanted = {
@@ -93,13 +99,12 @@ def test_median_is_taken_before_deduplication(spark):
         "TransactionID long, isFraud int, TransactionDT long, TransactionAmt double, ProductCD string, card1 int, "
         "card6 string, V1 double"
     )
-    from tallyrisk.plans.silver import impute_cards
-
     df = spark.createDataFrame(rows, schema)
     assert impute_cards(df).filter("TransactionID = 3").first()["V1"] == 1.0
     side = spark.createDataFrame([(1, "d", "i"), (1, "d2", "i")], "TransactionID long, DeviceType string, DeviceInfo string")
+    assert prepare_cards(df, side).count() == 8
     stamped = df.withColumn("_ingest_ts", F.lit(AT).cast("timestamp"))
-    out = clean_cards(stamped, side, F.lit(AT).cast("timestamp"))
+    out = clean_cards(stamped, F.lit(AT).cast("timestamp"))
     assert out.count() == 3
     assert out.filter("transaction_id = '1'").first()["transaction_ts"] == datetime(2017, 11, 30)
 
