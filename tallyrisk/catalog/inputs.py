@@ -23,8 +23,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as the cleaned transaction table."""
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream."""
+    return spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parq*")
+
+
+def silver(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """Events (given or the table) as the cleaned transaction table."""
     label = (
         F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("int"))
         .when(F.col("event_id") % 20 == 0, F.lit(1))
@@ -32,7 +37,7 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     )
     ts = F.col("ts").cast("timestamp")
     return conform(
-        table(spark, sf, "events"),
+        table(spark, sf, "events") if events is None else events,
         {
             "transaction_id": F.col("event_id").cast("string"),
             "customer_id": F.col("user_id").cast("string"),
@@ -188,8 +193,8 @@ cte(
 )
 
 
-def payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as JSON payloads; some malformed, some without an id, some invalid."""
+def payloads(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """Events (given or the table) as JSON payloads; some malformed, some without an id, some invalid."""
     e = F.col("event_id")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     body = F.to_json(
@@ -206,7 +211,7 @@ def payloads(spark: SparkSession, sf: str) -> DataFrame:
             F.when(e % 20 == 0, 1).otherwise(0).alias("is_fraud"),
         )
     )
-    return table(spark, sf, "events").select(
+    return (table(spark, sf, "events") if events is None else events).select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(e % 31 == 0, F.concat(F.lit("{broken "), e.cast("string"))).otherwise(body).alias("value"),
     )

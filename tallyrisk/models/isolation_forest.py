@@ -96,7 +96,8 @@ def fit_isolation_forest(
         out.insert(0, "tree", tree)
         return out
 
-    rows = tree_samples(df, columns, id_col, trees, sample, seed)
+    # A fixed number of tasks: the samples are small, but growing trees is not cheap.
+    rows = tree_samples(df, columns, id_col, trees, sample, seed).repartition(-(-trees // 4), "_tree")
     return rows.groupBy("_tree").applyInPandas(grow, NODE_SCHEMA)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Number of value ranges a global order is cut in (a power of two).
-RANGES = 256
+RANGES = 1024
 
 
 def _range_of(df: DataFrame, column: str, splits: DataFrame) -> DataFrame:

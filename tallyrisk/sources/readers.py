@@ -111,22 +111,16 @@ def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -
     Malformed JSON and events without ``transaction_id`` are rejected, with the
     payload kept for a quarantine table.
     """
-    corrupt = "_corrupt"
+    corrupt, payload = "_corrupt", F.col(value_col).cast("string")
     with_corrupt = StructType(list(schema.fields)).add(corrupt, "string")
-    parsed = raw.select(
-        F.col(value_col).cast("string").alias("_payload"),
-        F.from_json(
-            F.col(value_col).cast("string"),
-            with_corrupt,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
-        ).alias("data"),
-    )
-    usable = F.col("data.transaction_id").isNotNull() & F.col(f"data.{corrupt}").isNull()
-    good = parsed.filter(usable).select("data.*").drop(corrupt)
-    bad = parsed.filter(~F.coalesce(usable, F.lit(False))).select(
+    struct = F.from_json(payload, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    # A generator, unlike a projection, parses once whatever is asked of the fields.
+    parsed = raw.select(payload.alias("_payload"), F.inline(F.array(struct)))
+    malformed = F.col(corrupt).isNotNull() | F.col("_payload").isNull()
+    usable = ~malformed & F.col("transaction_id").isNotNull()
+    good = parsed.filter(usable).drop("_payload", corrupt)
+    bad = parsed.filter(~usable).select(
         F.col("_payload").alias("payload"),
-        F.when(F.col(f"data.{corrupt}").isNotNull() | F.col("data").isNull(), "malformed")
-        .otherwise("transaction_id missing")
-        .alias("reason"),
+        F.when(malformed, "malformed").otherwise("transaction_id missing").alias("reason"),
     )
     return good, bad
