@@ -13,15 +13,14 @@ RANGES = 1024
 
 def _range_of(df: DataFrame, column: str, splits: DataFrame) -> DataFrame:
     """Column ``_range``: how many split points lie below the value (binary search)."""
-    df = df.select("*", splits.scalar().alias("_splits"), F.lit(0).alias("_range"))
-    kept = [f"`{c}`" for c in df.columns if c != "_range"]
-    step = RANGES // 2
+    steps, step = [], RANGES // 2
     while step >= 1:
-        # A probe beyond the array is null and leaves the position as it is.
-        probe = f"try_element_at(_splits, _range + {step}) < `{column}`"
-        df = df.selectExpr(*kept, f"_range + if({probe}, {step}, 0) AS _range")
+        steps.append(str(step))
         step //= 2
-    return df.drop("_splits")
+    # A probe beyond the array is null and leaves the position as it is.
+    move = f"_at + if(try_element_at(_splits, _at + _step) < `{column}`, _step, 0)"
+    found = f"aggregate(array({', '.join(steps)}), 0, (_at, _step) -> {move})"
+    return df.withColumn("_splits", splits.scalar()).withColumn("_range", F.expr(found)).drop("_splits")
 
 
 def running_totals(df: DataFrame, value: str, sums: dict[str, Column], descending: bool = False) -> DataFrame:

@@ -15,12 +15,18 @@ def write_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     replace_schema: bool = False,
+    only_partitions: bool = False,
 ) -> None:
-    """Write a table.  ``replace_schema`` replaces the whole table, columns included."""
+    """Write a table.
+
+    An overwrite drops everything the new data lacks; with ``only_partitions``
+    it replaces just the partitions the new data has.  ``replace_schema``
+    replaces the whole table, columns included.
+    """
     writer = df.write.format(fmt).mode("overwrite" if replace_schema else mode)
     if replace_schema or mode == "overwrite":
-        # A full overwrite also drops partitions that the new data lacks.
-        writer = writer.option("partitionOverwriteMode", "static").option("overwriteSchema", replace_schema)
+        kept = "dynamic" if only_partitions and not replace_schema else "static"
+        writer = writer.option("partitionOverwriteMode", kept).option("overwriteSchema", replace_schema)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

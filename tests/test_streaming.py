@@ -1,6 +1,7 @@
 """Streams against their batch twins."""
 
 import json
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -118,6 +119,30 @@ def test_velocity_state_with_peers_gaps_and_a_busy_second(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, velocity(base).select(*names).collect()))
 
 
+def test_velocity_state_with_expiry_runs_on_a_timed_trigger(spark, tmp_path):
+    rows = [(str(i), "c", datetime(2024, 1, 1, 0, i, tzinfo=timezone.utc)) for i in range(5)]
+    base = spark.createDataFrame(rows, "transaction_id string, customer_id string, transaction_ts timestamp")
+    base.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(base.schema).parquet(str(tmp_path / "in"))
+    query = (
+        velocity_stream(stream, hours=(1,))
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(processingTime="1 second")
+        .start()
+    )
+    try:
+        # Batches go on without data, so wait for the progress report of the rows.
+        deadline = time.monotonic() + 90
+        while sum(p["numInputRows"] for p in query.recentProgress) < 5 and time.monotonic() < deadline:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("transaction_ts").collect()
+    assert [r["customer_tx_count_1h"] for r in got] == [1, 2, 3, 4, 5]
+
+
 def test_windowed_rate_and_latency_streams(spark, sf, tmp_path):
     base = silver(spark, sf).select(
         "transaction_ts", "merchant_id", (F.col("transaction_id").cast("long") % 900).alias("latency_ms")

@@ -37,6 +37,9 @@ def test_overwrite_replaces_everything(spark, tmp_path):
     writers.write_table(spark.range(4).selectExpr("id", "id % 2 AS p"), path, "overwrite", ["p"])
     writers.write_table(spark.range(1).selectExpr("id", "7 AS p"), path, "overwrite", ["p"])
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(0, 7)]
+    more = spark.range(2).selectExpr("id", "8 AS p")
+    writers.write_table(more, path, "overwrite", ["p"], only_partitions=True)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(0, 7), (0, 8), (1, 8)]
     writers.write_table(spark.range(2).selectExpr("'x' AS name"), path, replace_schema=True)
     assert spark.read.parquet(path).columns == ["name"]
     assert writers.row_count(spark, path) == 2
