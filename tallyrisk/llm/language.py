@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model, columns: list[str], text: str = "text
             yield *left, name, min(1.0, found.get(name, 0.0)), list(found.items())
 
     return mapped(
-        kept.withColumn("_body", docs[text]), run, f"{kinds}, lang_pred string, score double, languages map<string,double>"
+        docs.select(*columns, F.col(text).alias("_body")), run, f"{kinds}, lang_pred string, score double, languages map<string,double>"
     )
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyrisk.session import shared_dir
 
@@ -46,8 +47,7 @@ def mapped(
     partition, and yields tuples in the order of ``schema``.  Binary and text
     come as ``bytes`` and ``str``.
     """
-    spark = df.sparkSession
-    target = spark.createDataFrame([], schema).schema
+    target = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
