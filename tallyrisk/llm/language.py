@@ -126,18 +126,27 @@ class Guesser:
 
     def __init__(self, model: Model, limit: int = 300_000):
         self.model, self.limit = model, limit
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, int] = {}
+        self.table = np.empty((limit, len(model.names)), np.float32)
 
     def scores(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > self.limit:
+            known.clear()
+            new = words
+        if len(new) > self.limit:
+            return self.fresh(new).astype(np.float64)
         if new:
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-                new = list(words)
-            at, starts = grams(new, len(self.model.logs))
-            sums = np.add.reduceat(self.model.logs[at[starts[0] :]], starts - starts[0], axis=0)
-            self.known.update(zip(new, sums))
-        return np.array([self.known[w] for w in words], np.float64)
+            at = len(known)
+            self.table[at : at + len(new)] = self.fresh(new)
+            known.update(zip(new, range(at, at + len(new))))
+        return self.table[[known[w] for w in words]].astype(np.float64)
+
+    def fresh(self, words: list[str]) -> np.ndarray:
+        """Log likelihood of each word in each language."""
+        at, starts = grams(words, len(self.model.logs))
+        return np.add.reduceat(self.model.logs[at[starts[0] :]], starts - starts[0], axis=0)
 
     def shares(self, text: str | None, penalty: float = 1.0, rounds: int = 12) -> dict[str, float]:
         """The chosen languages of a text with their proportions, largest first."""
