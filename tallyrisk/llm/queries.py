@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, language, minhash, rules
+from tallyrisk.llm import bpe, language, minhash, pii, rules
 from tallyrisk.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
     model = language.train(docs.where(~F.col("held_out")))
     return language.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query
+def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
