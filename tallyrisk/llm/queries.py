@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, language, minhash, pii, rules
+from tallyrisk.llm import bpe, language, licence, minhash, pii, rules
 from tallyrisk.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_licence_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence.matches(table(spark, sf_dir, "documents"))
