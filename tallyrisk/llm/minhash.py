@@ -9,9 +9,13 @@ pair is dropped once that is below the chosen miss probability.  Survivors are
 confirmed on their full shingle sets, so no wrong link is made.
 
 No bucket is expanded into all its pairs.  First each member of a bucket is
-compared with the bucket's smallest class only.  Components are formed, and a
+compared with one hub only, the member that shares most buckets with others.  Components are formed, and a
 second step compares just those members of a bucket that are still in different
-components, because a link inside a component changes nothing.
+components, because a link inside a component changes nothing.  Classes with the
+same main hub are a family; a large family of texts that are alike, but not alike
+enough, is compared in blocks of longer signatures, so only pairs that survive
+the test are ever emitted.  Pairs of a bucket across families are few and are
+tested one by one.
 
 With ``bands`` of ``rows`` values, a pair at similarity 0.75 misses all bands
 with probability (1 - 0.75 ** rows) ** bands, 2e-5 at the defaults, and is
@@ -25,9 +29,9 @@ texts form one component; rows with a null id get a null component and are kept.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import xxhash
@@ -122,8 +126,8 @@ def signed(docs: DataFrame, columns: list[str], text: str, size: int, rows: int,
     return mapped(kept, run, f"{kinds}n_shingles long, class binary, signature binary, bands array<long>")
 
 
-def links(pairs: DataFrame, classes: DataFrame, bodies: DataFrame, size: int, threshold: float, batch: int, miss: float) -> DataFrame:
-    """The pairs (a, b) of classes that pass the sequential test and the exact check."""
+def likely_pairs(pairs: DataFrame, classes: DataFrame, threshold: float, batch: int, miss: float) -> DataFrame:
+    """The pairs (a, b) of classes that pass the sequential test."""
     sig = classes.select("class", "signature")
     both = pairs.join(sig.select(F.col("class").alias("b"), F.col("signature").alias("sb")), "b").join(
         sig.select(F.col("class").alias("a"), F.col("signature").alias("sa")), "a"
@@ -142,10 +146,93 @@ def links(pairs: DataFrame, classes: DataFrame, bodies: DataFrame, size: int, th
             else:
                 yield a, b
 
-    likely = stored(mapped(both.select("a", "b", "sa", "sb"), prune, "a binary, b binary"), "likely")
+    return mapped(both.select("a", "b", "sa", "sb"), prune, "a binary, b binary")
+
+
+def surviving(left: np.ndarray, right: np.ndarray, apart: np.ndarray, bound: list[int], batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (left, right) allowed by ``apart`` that pass the sequential test, batch after batch."""
+    out_i, out_j = [], []
+    for at in range(0, len(left), 64):
+        part = left[at : at + 64]
+        same = np.zeros((len(part), len(right)), np.int32)
+        for k in range(batch):
+            same += part[:, k, None] == right[None, :, k]
+        i, j = np.nonzero((same >= bound[0]) & apart[at : at + 64])
+        seen = same[i, j]
+        for k, least in enumerate(bound[1:], 1):
+            cut = slice(k * batch, (k + 1) * batch)
+            seen = seen + (part[i, cut] == right[j, cut]).sum(1)
+            ok = seen >= least
+            i, j, seen = i[ok], j[ok], seen[ok]
+        out_i.append(i + at)
+        out_j.append(j)
+    return np.concatenate(out_i), np.concatenate(out_j)
+
+
+def family_pairs(members: DataFrame, threshold: float, batch: int, miss: float, block: int = 1024) -> DataFrame:
+    """Surviving pairs (a, b) across components within families.
+
+    ``members`` has family, class, component and signature, one row per class.
+    A family is cut into blocks; a group holds two blocks, so it stays small.
+    """
+    sizes = (
+        members.groupBy("family")
+        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low != high")
+        .select("family", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    )
+    dealt = (
+        members.join(sizes, "family")
+        .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "component", "signature")
+    )
+
+    def compare(given: Iterator[tuple]) -> Iterator[tuple]:
+        bound: list[int] = []
+        for (_, lo, hi), group in groupby(given, key=lambda r: r[:3]):
+            rows = list(group)
+            bound = bound or least_matches(threshold, miss, batch, len(rows[0][6]))
+            x = [r for r in rows if r[3] == lo]
+            y = x if lo == hi else [r for r in rows if r[3] == hi]
+            if not x or not y:
+                continue
+            code: dict[bytes, int] = {}
+            cx, cy = (np.array([code.setdefault(r[5], len(code)) for r in side]) for side in (x, y))
+            apart = cx[:, None] != cy[None, :]
+            if lo == hi:
+                apart = np.triu(apart)
+            sx, sy = (np.frombuffer(b"".join(r[6] for r in side), np.uint8).reshape(len(side), -1) for side in (x, y))
+            for i, j in zip(*surviving(sx, sy, apart, bound, batch)):
+                yield min(x[i][4], y[j][4]), max(x[i][4], y[j][4])
+
+    keys = ["family", "lo", "hi"]
+    return mapped(dealt.repartition(*keys).sortWithinPartitions(*keys), compare, "a binary, b binary")
+
+
+def bodies_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class, _body) of ``classes`` (class, head); a repeated id may bring a wrong text along, told by its digest."""
+    return docs.select(F.col("doc_id").alias("head"), F.col("_t").alias("_body")).join(classes, "head").select("class", "_body")
+
+
+def long_signatures(classes: DataFrame, docs: DataFrame, size: int, count: int) -> DataFrame:
+    """(class, signature) with ``count`` one-byte MinHash values."""
+
+    def run(given: Iterator[tuple]) -> Iterator[tuple]:
+        hashes = WordHashes()
+        for name, body in given:
+            values = shingles(hashes.of(utf8(body).lower().split()), size)
+            if digest(values) == name:
+                yield name, signature(values, count).astype(np.uint8).tobytes()
+
+    return mapped(bodies_of(classes, docs), run, "class binary, signature binary").groupBy("class").agg(F.min("signature").alias("signature"))
+
+
+def links(likely: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) that hold on their full shingle sets."""
+    likely = stored(likely.distinct(), "likely")
     needed = likely.select(F.col("a").alias("class")).unionByName(likely.select(F.col("b").alias("class"))).distinct()
-    heads = needed.join(classes.select("class", "head"), "class")
-    texts = stored(bodies.join(heads, "head").select("class", "_body"), "texts")
+    texts = stored(bodies_of(needed.join(classes.select("class", "head"), "class"), docs), "texts")
     full = likely.join(texts.select(F.col("class").alias("b"), F.col("_body").alias("tb")), "b").join(
         texts.select(F.col("class").alias("a"), F.col("_body").alias("ta")), "a"
     )
@@ -175,36 +262,56 @@ def near_duplicates(
     rows: int = ROWS,
     bands: int = BANDS,
     batch: int = BATCH,
-    miss: float = 1e-6,
+    longer: int = 800,
+    miss: float = 1e-5,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable) and kept."""
-    own = stored(signed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), ["doc_id"], "_t", size, rows, bands), "signed")
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t"))
+    own = stored(signed(docs, ["doc_id"], "_t", size, rows, bands), "signed")
     valid = own.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     # Equal sets have equal signatures; the smallest id stands for the class.
     heads = valid.groupBy("class").agg(F.min(F.struct("doc_id", "signature", "bands")).alias("h"))
     classes = stored(heads.select("class", F.col("h.doc_id").alias("head"), "h.signature", "h.bands"), "classes")
-    bodies = docs.select(F.col(doc_id).alias("head"), F.col(text).alias("_body"))
     members = classes.select("class", F.posexplode("bands").alias("band", "key"))
-    hubs = members.groupBy("band", "key").agg(F.min("class").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    crowded = stored(members.join(hubs, ["band", "key"]), "crowded")
-    stars = crowded.where("class != a").select("a", F.col("class").alias("b")).distinct()
-    first = links(stars, classes, bodies, size, threshold, batch, miss)
+    full = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(members.join(full, ["band", "key"]), "shared")
+    # The text that the others were copied from shares buckets with the most classes.
+    weight = shared.groupBy("class").agg(F.sum("n").alias("weight"))
+    hubs = shared.join(weight, "class").groupBy("band", "key").agg(F.max(F.struct("weight", "class")).alias("hub"))
+    crowded = stored(shared.join(hubs, ["band", "key"]).select("band", "key", "class", "hub"), "crowded")
+    stars = crowded.where("class != hub.class").select(F.col("hub.class").alias("a"), F.col("class").alias("b")).distinct()
+    first = links(likely_pairs(stars, classes, threshold, batch, miss), classes, docs, size, threshold)
     group = components(first)
 
-    placed = crowded.join(group.withColumnRenamed("node", "class"), "class", "left").select(
-        "band", "key", "a", "class", F.coalesce("component", "class").alias("component")
+    family = crowded.groupBy("class").agg(F.max("hub").alias("main")).select("class", F.col("main.class").alias("family"))
+    state = stored(
+        family.join(group.withColumnRenamed("node", "class"), "class", "left").select(
+            "class", "family", F.coalesce("component", "class").alias("component")
+        ),
+        "state",
     )
+    placed = crowded.select("band", "key", "class").join(state, "class")
     # Only buckets that still hold several components, and only pairs across them.
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     open_ = stored(placed.join(mixed.select("band", "key"), ["band", "key"]), "open")
     x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
-        .where((F.col("x.class") != F.col("x.a")) & (F.col("y.class") != F.col("y.a")))
+    across = (
+        x.join(
+            y,
+            (F.col("x.band") == F.col("y.band"))
+            & (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.family") < F.col("y.family"))
+            & (F.col("x.component") != F.col("y.component")),
+        )
         .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
         .distinct()
     )
-    second = links(rest, classes, bodies, size, threshold, batch, miss)
+    loose = open_.select("class").distinct().join(state, "class")
+    names = loose.select("class").join(classes.select("class", "head"), "class")
+    inside = family_pairs(loose.join(long_signatures(names, docs, size, longer), "class"), threshold, batch, miss)
+    second = links(
+        likely_pairs(across, classes, threshold, batch, miss).unionByName(inside), classes, docs, size, threshold
+    )
     group = components(first.unionByName(second))
     least = (
         classes.select(F.col("class").alias("node"), "head")
