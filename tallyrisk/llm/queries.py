@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, language, leaks, licence, minhash, pii, rules
+from tallyrisk.llm import bpe, language, leaks, licence, minhash, pii, recompress, rules
 from tallyrisk.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op6_licence_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.digests(table(spark, sf_dir, "documents"))
