@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts become sequences of 16-bit word ids.  Passages are runs of ``2 * half``
-words, overlapping by half.  Document frequencies over all texts weight the
+Texts become sequences of 16-bit word ids.  Passages are 32 words, overlapping by
+half; for items of up to 32 words also 16 words.  Document frequencies over all texts weight the
 terms (TF-IDF over 2 ** 14 term buckets; those in more than ``common`` of the
 texts weigh nothing, like stop words), and a distributed randomised SVD finds
 the leading right singular vectors: every task multiplies its passages with a
@@ -26,37 +26,54 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrisk.llm.text import mapped, stored
+from tallyrisk.llm.recompress import powers
+from tallyrisk.llm.text import mapped, mix, stored
 
 TERMS = 1 << 14
+RUN = 8  # passages are two or four runs of so many words
 BLOCK = 256  # terms per block of the summed matrix
-EDGE = b".,;:!?\"'()[]{}|#*$%&<>=-_"
+#: ASCII letters, digits and all bytes of other characters are parts of words.
+IN_WORD = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
+VALUES = np.random.default_rng(313).integers(0, 1 << 64, 256, dtype=np.uint64)
+BASE = 0xD1342543DE82EF95
 
 
-class WordIds(dict):
-    """16-bit ids of words without punctuation at their ends; 0 for tokens without a word."""
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(BASE, size)
 
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        word = token.strip(EDGE)
-        value = self[token] = xxhash.xxh3_64_intdigest(word) % 65535 + 1 if word else 0
-        return value
+def word_ids(texts: list[str | None]) -> list[np.ndarray]:
+    """16-bit ids of the lower-cased words of each text; texts are hashed together, byte by byte."""
+    bodies = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+    raw = np.frombuffer(b"\n".join([b"", *bodies, b""]), np.uint8)
+    inside = IN_WORD[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edges[::2], edges[1::2]
+    up, down = _powers(1 << max(20, len(raw).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[raw] * up[: len(raw)], dtype=np.uint64)])
+    ids = (mix((sums[end] - sums[start]) * down[start]) >> np.uint64(48)).astype(np.uint16)
+    ends = np.cumsum([len(b) + 1 for b in bodies])
+    return np.split(ids, np.searchsorted(start, ends))[: len(bodies)]
 
-    def of(self, text: str | None) -> np.ndarray:
-        tokens = (text or "").lower().encode("utf-8", "surrogatepass").split()
-        ids = np.fromiter(map(self.__getitem__, tokens), np.uint16, len(tokens))
-        return ids[ids > 0]
+
+def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """Rows of about ``most`` characters together, and the word ids of their texts."""
+    out, held = [], 0
+    for row in rows:
+        out.append(row)
+        held += len(row[text] or "") + 16
+        if held >= most:
+            yield out, word_ids([r[text] for r in out])
+            out, held = [], 0
+    if out:
+        yield out, word_ids([r[text] for r in out])
 
 
 def tokenised(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -65,11 +82,13 @@ def tokenised(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     kind = given.schema["doc_id"].dataType.simpleString()
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        words, df = WordIds(), np.zeros(TERMS, np.int64)
-        for name, body in rows:
-            ids = words.of(body)
-            df[np.unique(ids >> 2)] += 1
-            yield name, ids.tobytes(), None, None
+        df, hit = np.zeros(TERMS, np.int64), np.zeros(TERMS, bool)
+        for batch, found in in_batches(rows, 1):
+            for (name, _), ids in zip(batch, found):
+                hit[:] = False
+                hit[ids >> 2] = True
+                df += hit
+                yield name, ids.tobytes(), None, None
         for term in np.flatnonzero(df):
             yield None, None, int(term), int(df[term])
 
@@ -85,6 +104,15 @@ def cut(batch: list[tuple], width: int, rare: np.ndarray) -> tuple[np.ndarray, n
     return terms[keep], run[keep], first
 
 
+def added(rows: np.ndarray, owner: np.ndarray, ahead: int) -> np.ndarray:
+    """Each row plus the one ``ahead``, if it belongs to the same text."""
+    out = rows.copy()
+    if len(rows) > ahead:
+        same = owner[ahead:] == owner[:-ahead]
+        out[:-ahead][same] += rows[ahead:][same]
+    return out
+
+
 def summed(rows: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
     """Sums of rows whose neighbours belong to the same group."""
     out = np.zeros((count, rows.shape[1]), np.float32)
@@ -108,10 +136,10 @@ def batches(rows: Iterator[tuple], most: int = 150_000) -> Iterator[list[tuple]]
         yield out
 
 
-def vectors(tokens: DataFrame, idf: np.ndarray, rank: int, half: int, seed: int = 7) -> np.ndarray:
+def vectors(tokens: DataFrame, idf: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the passages' TF-IDF matrix."""
     shared = tokens.sparkSession.sparkContext.broadcast(idf)
-    width = 2 * half
+    width = 4 * RUN
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         weights = shared.value
@@ -176,41 +204,46 @@ class Items:
     space: np.ndarray  # terms x rank, weighted by IDF
     rare: np.ndarray  # terms that count in the space
     points: np.ndarray  # items x rank, unit length
-    half: int
     cosine: float
     share: float
     least: int
 
     def found(self, docs: list[tuple]) -> Iterator[tuple[int, int, float, float, float]]:
         """(position of the document, position of the item, cosine, LCS share, answer share) of all matches."""
-        terms, run_of, first = cut(docs, self.half, self.rare)
-        halves = summed(self.space[terms], run_of, first[-1])
+        terms, run_of, first = cut(docs, RUN, self.rare)
+        runs = summed(self.space[terms], run_of, first[-1])
         owner = np.repeat(np.arange(len(docs)), np.diff(first))
-        whole = halves.copy()
-        joined = owner[1:] == owner[:-1]
-        whole[:-1][joined] += halves[1:][joined]
-        whole /= np.maximum(np.linalg.norm(whole, axis=1, keepdims=True), 1e-12)
-        cosines = whole @ self.points.T
+        place = np.arange(len(owner)) - first[owner]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for p, i in zip(*np.nonzero(cosines >= self.cosine)):
-            d, words = int(owner[p]), self.words[i]
-            ids = docs[d][1]
-            at, m = int(p - first[d]) * self.half, len(words)
-            reach = ids[max(0, at - m) : at + 2 * self.half + m].tolist()
-            masks = self.masks[i]
-            length = common_length(masks[0], reach)
-            if length < self.least or length < self.share * m:
-                continue
-            answer = common_length(masks[1], reach) / masks[2]
-            if answer < self.share - 0.1:
-                continue
-            now = (float(cosines[p, i]), length / m, answer)
-            if now > best.get((d, int(i)), (-1.0,)):
-                best[d, int(i)] = now
+        short = added(runs, owner, 1)
+        long = added(short, owner, 2)
+        for points, which, window, begin in (
+            (self.points[self.brief], np.flatnonzero(self.brief), short, np.arange(len(owner))),
+            (self.points[self.full], np.flatnonzero(self.full), long, np.flatnonzero(place % 2 == 0)),
+        ):
+            rows = window[begin]
+            rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+            cosines = rows @ points.T
+            for p, i in zip(*np.nonzero(cosines >= self.cosine)):
+                self.check(docs, best, int(owner[begin[p]]), int(place[begin[p]]) * RUN, int(which[i]), float(cosines[p, i]))
         for (d, i), values in sorted(best.items()):
             yield d, i, *values
 
+    def check(self, docs: list[tuple], best: dict, d: int, at: int, i: int, cosine: float) -> None:
+        """Compare the words around a candidate passage with the item."""
+        m = len(self.words[i])
+        reach = docs[d][1][max(0, at - m) : at + 4 * RUN + m].tolist()
+        masks = self.masks[i]
+        length = common_length(masks[0], reach)
+        if length < self.least or length < self.share * m:
+            return
+        answer = common_length(masks[1], reach) / masks[2]
+        if answer >= self.share - 0.1 and (cosine, length / m, answer) > best.get((d, i), (-1.0,)):
+            best[d, i] = (cosine, length / m, answer)
+
     def __post_init__(self) -> None:
+        size = np.array([len(words) for words in self.words])
+        self.brief, self.full = size <= 4 * RUN, size > 2 * RUN  # those in between are looked up both ways
         self.masks = []
         for words in self.words:
             answer = words[-max(1, len(words) // 3) :]
@@ -218,7 +251,7 @@ class Items:
 
 
 def prepared(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, rank: int, half: int,
+    docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, rank: int,
     common: float, cosine: float, share: float, least: int, block: int,
 ) -> tuple[DataFrame, list[Items]]:
     """The word ids of the documents and the benchmark in blocks."""
@@ -231,18 +264,18 @@ def prepared(
         df[row["term"]] = row["df"]
     rare = df <= max(20, common * size)
     idf = np.where(rare, np.log((size + 1) / (df + 1)) + 0.05, 0).clip(0).astype(np.float32)
-    space = vectors(tokens, idf, rank, half) * idf[:, None]
-    words, out, names, bodies = WordIds(), [], [], []
+    space = vectors(tokens, idf, rank) * idf[:, None]
+    out, names, bodies = [], [], []
 
     def close() -> None:
         if names:
             points = np.stack([space[np.array(b) >> 2].sum(0) for b in bodies])
             points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
-            out.append(Items(list(names), list(bodies), space, rare, points, half, cosine, share, least))
+            out.append(Items(list(names), list(bodies), space, rare, points, cosine, share, least))
             names.clear(), bodies.clear()
 
     for row in benchmark.select(item_id, item_text).where(F.col(item_text).isNotNull()).toLocalIterator():
-        ids = words.of(row[1]).tolist()
+        ids = word_ids([row[1]])[0].tolist()
         if len(ids) >= least:
             names.append(row[0])
             bodies.append(ids)
@@ -254,11 +287,11 @@ def prepared(
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", rank: int = 64, half: int = 16, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8,
+    item_text: str = "text", rank: int = 64, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8,
     block: int = 4000,
 ) -> DataFrame:
     """Rows (doc_id, item_id, cosine, lcs, answer): documents that hold a benchmark item, and which."""
-    tokens, blocks = prepared(docs, benchmark, doc_id, text, item_id, item_text, rank, half, common, cosine, share, least, block)
+    tokens, blocks = prepared(docs, benchmark, doc_id, text, item_id, item_text, rank, common, cosine, share, least, block)
     left = tokens.schema["doc_id"].dataType.simpleString()
     right = benchmark.schema[item_id].dataType.simpleString()
     schema = f"doc_id {left}, item_id {right}, cosine double, lcs double, answer double"
@@ -278,7 +311,7 @@ def contaminated(
 
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    rank: int = 64, half: int = 16, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8, block: int = 4000,
+    rank: int = 64, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8, block: int = 4000,
 ) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; all columns stay."""
     names = [f"c{k}" for k in range(len(docs.columns))]
@@ -286,27 +319,18 @@ def decontaminated(
     body = docs.columns.index(text)
     _, blocks = prepared(
         docs.select(F.lit(0).alias("doc_id"), F.col(text).alias("_t")), benchmark, "doc_id", "_t", item_id, item_text,
-        rank, half, common, cosine, share, least, block,
+        rank, common, cosine, share, least, block,
     )
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     for items in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(rows: Iterator[tuple], shared=shared) -> Iterator[tuple]:
-            words, held, size = WordIds(), [], 0
-
-            def clean() -> Iterator[tuple]:
-                some = [r for r in held if len(r[1])]
-                bad = {id(some[d][0]) for d, *_ in shared.value.found(some)} if some else set()
-                yield from (row for row, _ in held if id(row) not in bad)
-
-            for row in rows:
-                held.append((row, words.of(row[body])))
-                size += len(held[-1][1]) + 1
-                if size >= 150_000:
-                    yield from clean()
-                    held, size = [], 0
-            yield from clean()
+            for batch, found in in_batches(rows, body):
+                some = [k for k, ids in enumerate(found) if len(ids)]
+                hits = shared.value.found([(None, found[k]) for k in some]) if some else ()
+                bad = {some[d] for d, *_ in hits}
+                yield from (row for k, row in enumerate(batch) if k not in bad)
 
         plain = mapped(plain, run, kinds)
     return plain.toDF(*docs.columns)
