@@ -49,8 +49,8 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return powers(BASE, size)
 
 
-def word_ids(texts: list[str | None]) -> list[np.ndarray]:
-    """16-bit ids of the lower-cased words of each text; texts are hashed together, byte by byte."""
+def word_ids(texts: list[str | None], bits: int = 16) -> list[np.ndarray]:
+    """Ids of ``bits`` bits (16 or 32) of the lower-cased words of each text; texts are hashed together, byte by byte."""
     bodies = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b"\n".join([b"", *bodies, b""]), np.uint8)
     inside = IN_WORD[raw]
@@ -58,22 +58,22 @@ def word_ids(texts: list[str | None]) -> list[np.ndarray]:
     start, end = edges[::2], edges[1::2]
     up, down = _powers(1 << max(20, len(raw).bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[raw] * up[: len(raw)], dtype=np.uint64)])
-    ids = (mix((sums[end] - sums[start]) * down[start]) >> np.uint64(48)).astype(np.uint16)
+    ids = (mix((sums[end] - sums[start]) * down[start]) >> np.uint64(64 - bits)).astype(np.uint16 if bits == 16 else np.uint32)
     ends = np.cumsum([len(b) + 1 for b in bodies])
     return np.split(ids, np.searchsorted(start, ends))[: len(bodies)]
 
 
-def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000, bits: int = 16) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
     """Rows of about ``most`` characters together, and the word ids of their texts."""
     out, held = [], 0
     for row in rows:
         out.append(row)
         held += len(row[text] or "") + 16
         if held >= most:
-            yield out, word_ids([r[text] for r in out])
+            yield out, word_ids([r[text] for r in out], bits)
             out, held = [], 0
     if out:
-        yield out, word_ids([r[text] for r in out])
+        yield out, word_ids([r[text] for r in out], bits)
 
 
 def tokenised(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, interleave, language, leaks, licence, minhash, pii, recompress, rules
+from tallyrisk.llm import bpe, interleave, language, leaks, licence, minhash, pii, recompress, rules, weaklabels
 from tallyrisk.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabels.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -192,3 +192,10 @@ def judged(docs: DataFrame, text: str = "text", threshold: float = 0.5, carry: S
     return table.withColumn("quality", quality).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= threshold)
     )
+
+
+def filtered(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept; all columns stay, and none clashes with those made here."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    body = names[docs.columns.index(text)]
+    return judged(docs.toDF(*names), body, threshold, names).where("kept").select(*names).toDF(*docs.columns)
