@@ -131,6 +131,25 @@ def _(spark, sf):
     return rounded(df, *SUMS).select("transaction_id", *COUNTS, *SUMS)
 
 
+DECIMAL_SQL = "(SELECT * REPLACE (cast(amount_usd AS decimal(18, 2)) AS amount_usd) FROM silver)"
+
+
+@query(
+    "velocity_decimal",
+    sql(
+        f"""SELECT transaction_id, {', '.join(COUNTS)}, {', '.join(f'cast({c} AS double) AS {c}' for c in SUMS)} FROM
+  (SELECT transaction_id, {', '.join(f"count(*) OVER w{h} AS customer_tx_count_{h}h, sum(amount_usd) OVER w{h} AS customer_tx_amount_sum_{h}h" for h in (1, 6, 24))}
+  FROM {DECIMAL_SQL} {velocity_windows()})""",
+        "silver",
+    ),
+)
+def _(spark, sf):
+    """Amounts in a decimal type: sums are exact."""
+    rows = silver(spark, sf).withColumn("amount_usd", F.col("amount_usd").cast("decimal(18,2)"))
+    df = velocity(rows).withColumns({c: F.col(c).cast("double") for c in SUMS})
+    return df.select("transaction_id", *COUNTS, *SUMS)
+
+
 def day_windows(entity: str) -> str:
     return "WINDOW " + ", ".join(frame(f"d{d}", entity, d * DAY_S) for d in (1, 7, 30))
 

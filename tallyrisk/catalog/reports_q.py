@@ -10,7 +10,7 @@ from tallyrisk.operators import ordering, ranking, reports, sampling
 from tallyrisk.plans.gold import batch_transforms, fraud_labels, model_inputs
 from tallyrisk.plans.scoring import batch_summary
 
-EXACT = 1_000_000
+EXACT = None
 
 
 @query(
@@ -97,6 +97,16 @@ def _(spark, sf):
     return df.select(text_ts("first_ts").alias("first_ts"), text_ts("last_ts").alias("last_ts"))
 
 
+def data_bins_sql(value: str, bins: int, source: str) -> str:
+    """Bins over the range of the values themselves."""
+    return sql(
+        f"""SELECT is_fraud, cast(greatest(least(floor((v - lo) / (hi - lo) * {bins}) + 1, {bins}), 1) AS bigint) AS bin,
+  count(*) AS n FROM (SELECT is_fraud, {value} AS v, min({value}) OVER () AS lo, max({value}) OVER () AS hi FROM {source})
+  GROUP BY 1, 2""",
+        source,
+    )
+
+
 def bins_sql(value: str, lo: float, hi: float, bins: int, source: str) -> str:
     width = f"({hi} - {lo})"
     at = f"""cast(CASE WHEN v < {lo} THEN 0 WHEN v >= {hi} THEN {bins}
@@ -107,19 +117,19 @@ def bins_sql(value: str, lo: float, hi: float, bins: int, source: str) -> str:
     )
 
 
-@query("amount_histogram", bins_sql("ln(1 + amount_usd)", 0.0, 7.0, 50, "silver"))
+@query("amount_histogram", data_bins_sql("ln(1 + amount_usd)", 50, "silver"))
 def _(spark, sf):
-    return reports.histogram(silver(spark, sf), F.log1p("amount_usd"), "is_fraud", 0.0, 7.0, 50)
+    return reports.histogram(silver(spark, sf), F.log(F.lit(1) + F.col("amount_usd")), "is_fraud", 50)
 
 
 @query("score_histogram_80", bins_sql("score", 0.0, 1.0, 80, "scored"))
 def _(spark, sf):
-    return reports.histogram(scored(spark, sf), F.col("score"), "is_fraud", 0.0, 1.0, 80)
+    return reports.histogram(scored(spark, sf), F.col("score"), "is_fraud", 80, 0.0, 1.0)
 
 
 @query("score_histogram_50", bins_sql("score", 0.0, 1.0, 50, "scored"))
 def _(spark, sf):
-    return reports.histogram(scored(spark, sf), F.col("score"), "is_fraud", 0.0, 1.0, 50)
+    return reports.histogram(scored(spark, sf), F.col("score"), "is_fraud", 50, 0.0, 1.0)
 
 
 # Request latencies in seconds, some beyond the last bound.

@@ -11,8 +11,14 @@ ALERT_ABOVE = 0.5
 LEVELS = [(0.3, "low"), (0.6, "medium"), (0.85, "high")]
 TOP_LEVEL = "critical"
 NO_SIGNAL = "No single dominant signal — ensemble of weak indicators"
-NIGHT_SIGNAL = "NIGHT-TIME TRANSACTION — unusual hours increase fraud risk"
-ROUND_SIGNAL = "ROUND AMOUNT — often used in card testing attacks"
+SIGNALS = {
+    "velocity": "1. VELOCITY SPIKE — {} txns in 1 hour",
+    "amount": "2. UNUSUAL AMOUNT — {} standard deviations",
+    "night": "3. NIGHT-TIME TRANSACTION — unusual hours increase fraud risk",
+    "customer": "4. HIGH-RISK CUSTOMER — {} fraud rate in last 30 days",
+    "round": "5. ROUND AMOUNT — often used in card testing attacks",
+    "spike": "6. AMOUNT SPIKE — {}x above customer average",
+}
 HOLD = "Hold for manual review"
 FALLBACK_MODEL = "rule-based-fallback"
 
@@ -21,9 +27,9 @@ MISSING = {"amount_vs_mean_ratio": 1.0}
 
 
 def _feature(df: DataFrame, name: str) -> Column:
-    """The feature as double; null or absent becomes its default."""
+    """The feature as double; null, NaN or absent becomes its default."""
     default = F.lit(MISSING.get(name, 0.0))
-    return F.coalesce(F.col(name).cast("double"), default) if name in df.columns else default
+    return F.coalesce(F.nanvl(F.col(name).cast("double"), F.lit(None)), default) if name in df.columns else default
 
 
 def fixed(value: Column, digits: int) -> Column:
@@ -39,6 +45,11 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _filled(template: str, value: Column) -> Column:
+    """A fixed text with the value in its place."""
+    return _text(*[part for pair in zip(template.split("{}"), [value, ""]) for part in pair])
+
+
 def risk_level(score: Column) -> Column:
     """low below 0.3, medium below 0.6, high below 0.85, else critical."""
     out = F.when(score < LEVELS[0][0], LEVELS[0][1])
@@ -93,18 +104,18 @@ def risk_factors_b(df: DataFrame) -> DataFrame:
         F.array(
             F.when(
                 f("is_velocity_spike") != 0,
-                _text("1. VELOCITY SPIKE — ", f("customer_tx_count_1h").cast("int").cast("string"), " txns in 1 hour"),
+                _filled(SIGNALS["velocity"], f("customer_tx_count_1h").cast("int").cast("string")),
             ),
-            F.when(F.abs(zscore) > 2, _text("2. UNUSUAL AMOUNT — ", signed, " standard deviations")),
-            F.when(f("is_night") != 0, F.lit(f"3. {NIGHT_SIGNAL}")),
+            F.when(F.abs(zscore) > 2, _filled(SIGNALS["amount"], signed)),
+            F.when(f("is_night") != 0, F.lit(SIGNALS["night"])),
             F.when(
                 f("fraud_rate_30d") > 0.05,
-                _text("4. HIGH-RISK CUSTOMER — ", _percent(f("fraud_rate_30d")), " fraud rate in last 30 days"),
+                _filled(SIGNALS["customer"], _percent(f("fraud_rate_30d"))),
             ),
-            F.when(f("is_round_amount") != 0, F.lit(f"5. {ROUND_SIGNAL}")),
+            F.when(f("is_round_amount") != 0, F.lit(SIGNALS["round"])),
             F.when(
                 f("amount_vs_mean_ratio") > 3,
-                _text("6. AMOUNT SPIKE — ", fixed(f("amount_vs_mean_ratio"), 1), "x above customer average"),
+                _filled(SIGNALS["spike"], fixed(f("amount_vs_mean_ratio"), 1)),
             ),
         )
     )

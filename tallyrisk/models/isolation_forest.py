@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyrisk.operators.ordering import top_fraction_flag
 from tallyrisk.schemas import MODEL_FEATURES
 
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double, size int"
 TREES, SAMPLE, SEED = 200, 256, 42
 
 
@@ -33,14 +33,17 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
 def tree_samples(
     df: DataFrame, columns: Sequence[str], id_col: str, trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """About 1.3 x sample rows for each tree, chosen by hash; rows repeat over trees if few.
+    """More than ``sample`` rows for each tree, chosen by hash; all rows for every tree if there are few.
 
-    Output size depends on trees and sample only.
+    From 8 x sample rows on a tree gets about sample + 8 x sqrt(sample) + 64 of
+    them, so that one short of ``sample`` is out of reach of chance.  Output size
+    depends on trees and sample only.
     """
-    need = F.lit(float(trees * sample * 1.3))
+    need = F.lit(trees * (sample + 8 * sample**0.5 + 64))
     n = F.greatest(df.agg(F.count(F.lit(1)).cast("double")).scalar(), F.lit(1.0))
-    copies = F.least(F.ceil(need / n), F.lit(trees)).cast("int")
-    share = need / (n * copies)
+    few = n <= 8 * sample
+    copies = F.when(few, F.lit(trees)).otherwise(F.least(F.ceil(1.2 * need / n), F.lit(trees))).cast("int")
+    share = F.when(few, F.lit(1.0)).otherwise(1.2 * need / (n * copies))
     draw = F.xxhash64(F.col(id_col), F.col("_copy"), F.lit(seed))
     spread = F.xxhash64(F.col(id_col), F.col("_copy"), F.lit(seed + 1))
     return (
@@ -48,7 +51,7 @@ def tree_samples(
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
         .withColumn("_draw", draw)
         .filter(F.pmod("_draw", F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
-        .withColumn("_tree", F.pmod(spread, F.lit(trees)).cast("int"))
+        .withColumn("_tree", F.when(few, F.col("_copy") - 1).otherwise(F.pmod(spread, F.lit(trees))).cast("int"))
         .dropDuplicates(["_tree", id_col])
     )
 
@@ -94,6 +97,7 @@ def fit_isolation_forest(
         out = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "path"])
         out.insert(0, "node", range(len(out)))
         out.insert(0, "tree", tree)
+        out["size"] = len(points)
         return out
 
     # A fixed number of tasks: the samples are small, but growing trees is not cheap.
@@ -121,8 +125,10 @@ def score_isolation_forest(
     right = np.where(feature < 0, np.arange(len(nodes)), nodes["right"].to_numpy("int64") + start)
     path = nodes["path"].to_numpy("float64")
     shared = df.sparkSession.sparkContext.broadcast((roots, np.maximum(feature, 0), threshold, left, right, path))
+    sizes = nodes["size"].to_numpy()[roots]
     limit = int(np.ceil(np.log2(max(sample, 2))))
-    scale = float(expected_path(sample))
+    # Trees over fewer rows than asked for are shallower.
+    scale = max(float(expected_path(sizes).mean()), 1e-9) if len(sizes) else 1.0
 
     @F.pandas_udf("double")
     def isolation(*features: pd.Series) -> pd.Series:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrisk.operators.ordering import quantiles
+
 #: Sketch accuracy: relative rank error of a median is 1 / accuracy.
 MEDIAN_ACCURACY = 10_000
 
@@ -42,13 +44,18 @@ def fill_constants(df: DataFrame, values: Mapping[str, float | str]) -> DataFram
     return df.na.fill(values) if values else df
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """One row with the (approximate) median of each column, all in one pass."""
+def column_medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = MEDIAN_ACCURACY) -> DataFrame:
+    """One row with the median of each column: a sketch of the given accuracy in one pass, or exact if it is None."""
+    if accuracy is None:
+        kinds = {f.name: f.dataType for f in df.schema}
+        found = quantiles(df, columns)
+        one = df.sparkSession.range(1)
+        return one.select(*[F.lit(found[c]).cast(kinds[c]).alias(c) for c in columns])
     return df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in columns])
 
 
 def impute_median(
-    df: DataFrame, columns: Sequence[str], accuracy: int = MEDIAN_ACCURACY, default: float = 0.0
+    df: DataFrame, columns: Sequence[str], accuracy: int | None = MEDIAN_ACCURACY, default: float = 0.0
 ) -> DataFrame:
     """Fill nulls with the column's median, or the default if the column is all null.
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Number of value ranges a global order is cut in (a power of two).
+#: Usual number of value ranges a global order is cut in.  A range is one task's work, so
+#: take about (distinct values / 1 million), rounded up to a power of two, if that is more.
 RANGES = 1024
 
 
-def _range_of(df: DataFrame, column: str, splits: DataFrame) -> DataFrame:
+def _range_of(df: DataFrame, column: str, splits: DataFrame, ranges: int) -> DataFrame:
     """Column ``_range``: how many split points lie below the value (binary search)."""
-    steps, step = [], RANGES // 2
+    steps, step = [], ranges // 2
     while step >= 1:
         steps.append(str(step))
         step //= 2
@@ -23,19 +25,24 @@ def _range_of(df: DataFrame, column: str, splits: DataFrame) -> DataFrame:
     return df.withColumn("_splits", splits.scalar()).withColumn("_range", F.expr(found)).drop("_splits")
 
 
-def running_totals(df: DataFrame, value: str, sums: dict[str, Column], descending: bool = False) -> DataFrame:
+def running_totals(
+    df: DataFrame, value: str, sums: dict[str, Column], descending: bool = False, ranges: int = RANGES
+) -> DataFrame:
     """One row per distinct value: each sum, and its total up to and including the value.
 
     Output: ``value``, and for each name ``name`` and ``cum_name``.  Rows are
     first combined per value; values are then cut in ranges of about equal size
     at approximate quantiles (which only balance the work), and range totals, at
-    most RANGES rows, give each range its starting point.
+    most ``ranges`` rows, give each range its starting point.  ``ranges`` is a
+    power of two.
     """
+    if ranges < 2 or ranges & (ranges - 1):
+        raise ValueError("ranges must be a power of two")
     df = df.filter(F.col(value).isNotNull())
     per_value = df.groupBy(value).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    points = [i / RANGES for i in range(1, RANGES)]
-    splits = df.agg(F.percentile_approx(F.col(value), points, F.lit(RANGES * 4)))
-    ranged = _range_of(per_value, value, splits)
+    points = [i / ranges for i in range(1, ranges)]
+    splits = df.agg(F.percentile_approx(F.col(value), points, F.lit(ranges * 4)))
+    ranged = _range_of(per_value, value, splits, ranges)
 
     def order(column: str) -> Column:
         return F.col(column).desc() if descending else F.col(column).asc()
@@ -49,7 +56,7 @@ def running_totals(df: DataFrame, value: str, sums: dict[str, Column], descendin
     within = Window.partitionBy("_range").orderBy(order(value)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # At most RANGES rows on the broadcast side.
+    # At most ``ranges`` rows on the broadcast side.
     return (
         ranged.withColumns({f"_w_{n}": F.sum(n).over(within) for n in sums})
         .join(F.broadcast(starts), "_range")
@@ -57,6 +64,11 @@ def running_totals(df: DataFrame, value: str, sums: dict[str, Column], descendin
     )
 
 
+def percentile_name(q: float) -> str:
+    """p50 for 0.5, p99 for 0.99, p99_4 for 0.994."""
+    return "p" + f"{q * 100:.6f}".rstrip("0").rstrip(".").replace(".", "_")
+
+
 def floor_percentiles(df: DataFrame, column: str, quantiles: Sequence[float]) -> DataFrame:
     """One row: for each q the element ``floor(n * q)`` (from 0) of the sorted values, and ``n``.
 
@@ -68,10 +80,61 @@ def floor_percentiles(df: DataFrame, column: str, quantiles: Sequence[float]) ->
     for q in quantiles:
         at = F.floor(F.col("_n") * F.lit(float(q))).cast("long")
         hit = (F.col("cum_k") > at) & (F.col("cum_k") - F.col("k") <= at)
-        picks.append(F.max(F.when(hit, F.col(column))).alias(f"p{round(q * 100):d}"))
+        picks.append(F.max(F.when(hit, F.col(column))).alias(percentile_name(q)))
     return totals.withColumn("_n", n).agg(*picks, F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
 
 
+def quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, accuracy: int = 10_000) -> dict[str, object]:
+    """The exact q-quantile of each column: the smallest value with at least q * n values at or below it.
+
+    A sketch gives two values that surely enclose the wanted rank.  Counting
+    what lies below and between them leaves a small part of the values, on which
+    the next round works, until the sketch is exact for what is left.  All
+    columns share the passes; their number grows with the logarithm of the size.
+    Only the enclosing values come to the driver.  Null if there are no values.
+    """
+    low: dict[str, object] = dict.fromkeys(columns)
+    high: dict[str, object] = dict.fromkeys(columns)
+    found: dict[str, object] = {}
+    todo = list(columns)
+    while todo:
+        inside = {}
+        for c in todo:
+            inside[c] = F.col(c).isNotNull()
+            if low[c] is not None:
+                inside[c] &= F.col(c).between(F.lit(low[c]), F.lit(high[c]))
+        below = {c: F.lit(0) if low[c] is None else F.count_if(F.col(c) < F.lit(low[c])) for c in todo}
+        counts = df.agg(
+            *[F.struct(F.count(c).alias("n"), below[c].alias("below"), F.count_if(inside[c]).alias("m")).alias(f"_{k}") for k, c in enumerate(todo)]
+        ).first()
+        asked, sure = [], {}
+        for k, c in enumerate(todo):
+            n, m = counts[k]["n"], counts[k]["m"]
+            if n == 0:
+                found[c] = None
+                continue
+            rank = max(1, math.ceil(q * n - 1e-9)) - counts[k]["below"]
+            at, slack = (rank - 0.5) / m, 0.0 if m <= accuracy else 2.0 / accuracy
+            sure[c] = m <= accuracy
+            points = [max(0.0, at - slack), min(1.0, at + slack)]
+            # Four times the number of values: the sketch is off by less than one rank.
+            fine = 4 * accuracy if sure[c] else accuracy
+            asked.append((c, F.percentile_approx(F.when(inside[c], F.col(c)), points, fine)))
+        if not asked:
+            break
+        got = df.agg(*[x.alias(f"_{k}") for k, (_, x) in enumerate(asked)]).first()
+        for k, (c, _) in enumerate(asked):
+            a, b = got[k]
+            # An enclosure that does not shrink holds one value and its like.
+            if sure[c] or a == b:
+                found[c] = a
+            elif (a, b) == (low[c], high[c]):
+                accuracy *= 10
+            low[c], high[c] = a, b
+        todo = [c for c in columns if c not in found]
+    return found
+
+
 def pick_by_hash(
     df: DataFrame,
     id_col: str,

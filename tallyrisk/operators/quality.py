@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Required columns and channel names of a stream event.
+# Required columns of a stream event and of a scoring row, channel names.
 REQUIRED = ["transaction_id", "customer_id", "merchant_id", "amount", "transaction_ts", "producer_ts"]
+SCORE_REQUIRED = ["amount", "hour_of_day", "day_of_week", "is_weekend", "is_night", "is_round_amount"]
 CHANNELS = ["web", "mobile", "pos", "atm", "transfer", "other"]
 
 
@@ -26,9 +27,10 @@ def event_rules() -> dict[str, Column]:
 
 
 def score_request_rules() -> dict[str, Column]:
-    """What makes a scoring row bad, by reason (weekday is 1..7)."""
+    """What makes a scoring row bad, by reason (weekday is 1..7); NaN is not a positive amount."""
     rules = {
-        "amount not positive": ~(F.col("amount") > 0),
+        **required(*SCORE_REQUIRED),
+        "amount not positive": ~((F.col("amount") > 0) & ~F.isnan("amount")),
         "hour out of range": ~F.col("hour_of_day").between(0, 23),
         "weekday out of range": ~F.col("day_of_week").between(1, 7),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.cleaning import MEDIAN_ACCURACY
+from tallyrisk.operators.ordering import quantiles
 
 # Upper bounds of the score and latency buckets.
 SCORE_BOUNDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
@@ -76,11 +77,22 @@ def time_range(df: DataFrame, ts: str = "transaction_ts") -> DataFrame:
     return df.agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
 
 
-def histogram(df: DataFrame, value: Column, by: str, lo: float, hi: float, bins: int) -> DataFrame:
-    """Rows per class and equal-width bin 1..bins; the top edge belongs to the last bin."""
-    at = F.least(F.width_bucket(value, F.lit(float(lo)), F.lit(float(hi)), F.lit(bins)), F.lit(bins))
+def histogram(
+    df: DataFrame, value: Column, by: str, bins: int, lo: float | None = None, hi: float | None = None
+) -> DataFrame:
+    """Rows per class and equal-width bin 1..bins; the top edge belongs to the last bin.
+
+    Without ``lo`` or ``hi`` the bins span the finite values.  With them, values
+    outside count in the first or last bin.  If all values are equal, they are
+    in bin 1; nulls and NaN are in none.
+    """
+    rows = df.select(by, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    finite = F.when(F.abs("_v") < F.lit(float("inf")), F.col("_v"))
+    low = rows.agg(F.min(finite)).scalar() if lo is None else F.lit(float(lo))
+    high = rows.agg(F.max(finite)).scalar() if hi is None else F.lit(float(hi))
+    at = F.least(F.greatest(F.floor((F.col("_v") - low) / F.nullif(high - low, F.lit(0.0)) * bins) + 1, F.lit(1)), F.lit(bins))
     return (
-        df.select(by, at.alias("bin"))
+        rows.select(by, at.cast("long").alias("bin"))
         .filter(F.col("bin").isNotNull())
         .groupBy(by, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -146,14 +158,19 @@ def windowed_rate(
     return counted.select(*out)
 
 
-def feature_profile(df: DataFrame, columns: Sequence[str], accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """One row per feature: mean, sample deviation, median.  One pass over the data."""
+def feature_profile(df: DataFrame, columns: Sequence[str], accuracy: int | None = MEDIAN_ACCURACY) -> DataFrame:
+    """One row per feature: mean, sample deviation, median.  One pass over the data, or exact medians if no accuracy."""
+    exact = quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns) if accuracy is None else {}
     one = df.agg(
         *[
             F.struct(
                 F.mean(c).alias("mean"),
                 F.stddev(c).alias("std"),
-                F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias("p50"),
+                (
+                    F.max(F.lit(exact[c]).cast("double"))  # as an aggregate it may be null in every row
+                    if accuracy is None
+                    else F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
+                ).alias("p50"),
             ).alias(c)
             for c in columns
         ]

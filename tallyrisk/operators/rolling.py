@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
 
 from tallyrisk.functions.timestamps import epoch_seconds
 
@@ -126,7 +126,13 @@ def _per_second(rows: DataFrame, entity: str, specs: Sequence[Rolling], chunks:
     for m in _measures(specs, "sum", "mean", "std"):
         aggs.append(f"count(`{m}`) AS _n_{m}")
         if not isinstance(kinds[m], (DoubleType, FloatType)):
-            aggs.append(f"sum(bigint(`{m}`)) AS _s_{m}")
+            # Integers and decimals are summed exactly.
+            if not isinstance(kinds[m], (IntegralType, DecimalType)):
+                raise TypeError(f"column {m} is {kinds[m].simpleString()}, not a number")
+            exact = f"`{m}`" if isinstance(kinds[m], DecimalType) else f"bigint(`{m}`)"
+            aggs.append(f"sum({exact}) AS _s_{m}")
+            if m in _measures(specs, "std"):
+                aggs.append(f"var_pop(double(`{m}`)) * count(`{m}`) AS _m2_{m}")
             continue
         # Whether +inf (or NaN) and -inf (or NaN) occur: two counters in one number,
         # each at most the seconds of a window partition.
@@ -152,8 +158,8 @@ def _centred(parts: DataFrame, measures: Sequence[str], window: str) -> DataFram
     whole = f"OVER ({window} {_UNBOUNDED})"
     mids, moments = [], []
     for m in measures:
-        mids.append(f"sum(_s_{m}) {whole} / nullif(sum(_n_{m}) {whole}, 0) AS _mid_{m}")
-        off = f"(_s_{m} - _n_{m} * _mid_{m})"
+        mids.append(f"sum(double(_s_{m})) {whole} / nullif(sum(_n_{m}) {whole}, 0) AS _mid_{m}")
+        off = f"(double(_s_{m}) - _n_{m} * _mid_{m})"
         moments += [f"{off} AS _c1_{m}", f"_m2_{m} + {off} * {off} / nullif(_n_{m}, 0) AS _c2_{m}"]
     return parts.selectExpr("*", *mids).selectExpr("*", *moments)
 
@@ -217,7 +223,7 @@ class _Frames:
         else:
             value = self.total(f"_s_{m}", seconds)
             if spec.fn == "mean":
-                value = f"{value} / nullif({n}, 0)"
+                value = f"double({value}) / nullif({n}, 0)"
         if floating:
             odd = self.total(f"_odd_{m}", seconds)
             inf = "NaN" if spec.fn == "std" else "inf"

@@ -17,7 +17,7 @@ from tallyrisk.operators.cleaning import add_audit_columns
 from tallyrisk.operators.reports import label_summary
 from tallyrisk.plans import gold, silver
 from tallyrisk.sources.job_metrics import record_metrics
-from tallyrisk.sources.readers import read_csv, read_table
+from tallyrisk.sources.readers import path_exists, read_csv, read_table
 from tallyrisk.sources.writers import write_table
 
 # Targets of the jobs.
@@ -33,10 +33,11 @@ def _write_measured(
     job: str,
     metrics_path: str | None,
     at: datetime | None = None,
+    only_partitions: bool = False,
 ) -> int:
     """Write a table and append rows, seconds and rows per minute to the metrics table."""
     seen, start = Observation(), time.monotonic()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, partition_by)
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, partition_by, only_partitions=only_partitions)
     rows, seconds = seen.get["rows"], time.monotonic() - start
     if metrics_path:
         measured = {"rows": rows, "seconds": seconds, "rows_per_minute": rows / seconds * 60}
@@ -56,7 +57,8 @@ def land_csv(
 ) -> int:
     """Append a CSV to its raw table, partitioned by load date.  A missing file lands nothing."""
     df = read_csv(spark, source, schema, optional=True, fallback=fallback)
-    name = source.rsplit("/", 1)[-1]
+    used = source if fallback is None or path_exists(spark, source) else fallback
+    name = used.rsplit("/", 1)[-1]
     stamped = add_audit_columns(df, name, batch_id, F.lit(ingest_ts).cast("timestamp"))
     return _write_measured(spark, stamped, out, "append", ["_ingest_date"], f"land {name}", metrics_path)
 
@@ -90,7 +92,7 @@ def build_gold(
     feature_date: datetime,
     metrics_path: str | None = None,
 ) -> dict[str, int]:
-    """The three feature tables below ``out``, each partitioned by feature date."""
+    """The three feature tables below ``out``, each partitioned by feature date; other dates stay."""
     table = read_table(spark, silver_path)
     at = F.lit(feature_date).cast("timestamp")
     tables = {
@@ -99,7 +101,9 @@ def build_gold(
         "transaction_features": gold.transaction_features(table, at),
     }
     return {
-        name: _write_measured(spark, df, f"{out}/{name}", "overwrite", ["feature_date"], name, metrics_path)
+        name: _write_measured(
+            spark, df, f"{out}/{name}", "overwrite", ["feature_date"], name, metrics_path, only_partitions=True
+        )
         for name, df in tables.items()
     }
 

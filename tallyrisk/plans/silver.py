@@ -24,7 +24,7 @@ CATEGORY_COLS = ["ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain"
 SIDE_COLS = ["DeviceType", "DeviceInfo"]
 
 
-def impute_cards(df: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def impute_cards(df: DataFrame, accuracy: int | None = MEDIAN_ACCURACY) -> DataFrame:
     """Counts to -999, categories to UNKNOWN, V and D columns to their medians."""
     fills = {**{c: COUNT_FILL for c in C_COLS}, **{c: CATEGORY_FILL for c in CATEGORY_COLS}}
     return fill_constants(impute_median(df, V_COLS + D_COLS, accuracy), fills)
@@ -53,7 +53,7 @@ def conform_cards(df: DataFrame, silver_ts: Column) -> DataFrame:
 
 
 def prepare_cards(
-    tx: DataFrame, side: DataFrame, epoch: int = CARD_EPOCH, accuracy: int = MEDIAN_ACCURACY
+    tx: DataFrame, side: DataFrame, epoch: int = CARD_EPOCH, accuracy: int | None = MEDIAN_ACCURACY
 ) -> DataFrame:
     """The wide card table: enriched, then imputed (before any deduplication), with decoded time."""
     df = impute_cards(enrich(tx, side, "TransactionID", SIDE_COLS), accuracy)
@@ -75,8 +75,9 @@ def clean_cards(tx: DataFrame, silver_ts: Column, epoch: int = CARD_EPOCH) -> Da
 
 
 def transfer_id(*keys: Column) -> Column:
-    """An id that is the same in every run."""
-    return F.concat(F.lit("PS_"), F.sha2(F.concat_ws("~", *[k.cast("string") for k in keys]), 256))
+    """An id that is the same in every run, and differs if any key does; nulls count as values."""
+    parts = F.to_json(F.array(*[k.cast("string") for k in keys]))
+    return F.concat(F.lit("PS_"), F.sha2(parts.cast("binary"), 256))
 
 
 def conform_transfers(df: DataFrame, silver_ts: Column) -> DataFrame:
@@ -84,7 +85,7 @@ def conform_transfers(df: DataFrame, silver_ts: Column) -> DataFrame:
     return conform(
         df,
         {
-            "transaction_id": transfer_id(F.col("nameOrig"), F.col("step"), F.round("amount", 2).cast("decimal(20,2)")),
+            "transaction_id": transfer_id(F.col("nameOrig"), F.col("step"), F.col("amount") + F.lit(0.0)),
             "customer_id": F.col("nameOrig"),
             "merchant_id": F.col("nameDest"),
             "transaction_ts": F.col("transaction_ts"),

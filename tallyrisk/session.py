@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder of the session.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  Only a session
-    without the setting (a local test) gets a temporary folder of its own.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Without the
+    setting a local session gets a temporary folder of its own; on a cluster
+    that would be another folder on each machine, so it is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tallyrisk-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

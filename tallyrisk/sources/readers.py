@@ -27,8 +27,11 @@ def read_csv(
     optional: bool = False,
     fallback: str | None = None,
     corrupt_column: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and a fixed schema.
+    """CSV with a header and a fixed schema; quotes inside quoted values are doubled.
+
+    ``multi_line`` reads values with line breaks; a file is then one task.
 
     A missing path is replaced by ``fallback`` (a glob) if that matches; an
     optional input that is missing altogether gives no rows.  With
@@ -45,6 +48,8 @@ def read_csv(
         .option("nullValue", null_value)
         .option("nanValue", nan_value)
         .option("mode", mode)
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
     )
     if corrupt_column:
         reader = reader.schema(StructType(list(schema.fields)).add(corrupt_column, "string")).option(

@@ -92,28 +92,36 @@ def upsert(
     }
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, on any file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def compact(
     spark: SparkSession,
     path: str,
     out_path: str,
     cluster_cols: Sequence[str] = (),
     files: int | None = None,
+    file_bytes: int = 256 << 20,
 ) -> None:
     """Rewrite many small files as few large ones, optionally clustered by columns.
 
+    Without ``files`` their number follows from the bytes there are and
+    ``file_bytes``.
+
     Range partitioning clusters the files; a row hash as the last range key
     spreads a value that fills more than one file.
     """
     df = spark.read.parquet(path)
+    files = files or max(1, -(-stored_bytes(spark, path) // file_bytes))
     if cluster_cols:
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
         keys = [*[F.col(c) for c in cluster_cols], spread]
-        ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-        df = ranged.sortWithinPartitions(*cluster_cols)
-    elif files:
-        df = df.repartition(files)
+        df = df.repartitionByRange(files, *keys).sortWithinPartitions(*cluster_cols)
     else:
-        df = df.hint("rebalance")
+        df = df.repartition(files)
     df.write.mode("overwrite").parquet(out_path)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyrisk.operators.ordering import percentile_name
 from tallyrisk.operators.reports import windowed_rate
 
 
@@ -31,10 +32,10 @@ def latency_stream(
     quantiles: Sequence[float] = (0.5, 0.95, 0.99),
 ) -> DataFrame:
     """Approximate latency percentiles per closed window."""
-    picks = [F.percentile_approx(latency, q, 10_000).alias(f"p{round(q * 100)}") for q in quantiles]
+    picks = [F.percentile_approx(latency, q, 10_000).alias(percentile_name(q)) for q in quantiles]
     return (
         df.withWatermark(ts, delay)
         .groupBy(F.window(ts, width))
         .agg(F.count(latency).alias("n"), *picks)
-        .select(F.col("window.start").alias("window_start"), "n", *[f"p{round(q * 100)}" for q in quantiles])
+        .select(F.col("window.start").alias("window_start"), "n", *[percentile_name(q) for q in quantiles])
     )

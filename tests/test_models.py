@@ -40,7 +40,8 @@ def test_sample_size_does_not_grow_with_the_table(spark):
     for df in (small, large):
         per_tree = tree_samples(df, ["a"], "transaction_id", 20, 64, 1).groupBy("_tree").count().collect()
         assert len(per_tree) == 20
-        assert all(45 <= r["count"] <= 130 for r in per_tree)
+        # Enough for every tree, and bounded whatever the table.
+        assert all(64 <= r["count"] <= 8 * 64 for r in per_tree)
 
 
 def test_outliers_rank_first(spark, points, tmp_path):
