@@ -179,11 +179,13 @@ def spans(docs: DataFrame, hot: int) -> DataFrame:
 
     found = stored(mapped(docs.select("k1", "k2", "_body"), picks, "k1 long, k2 int, place int, name long", 20_000), "picks")
     spot = F.xxhash64("k1", "k2", "place")
-    several = (
+    # A table of its own, so that both sides of the join are plain shuffles and a hot name can be split.
+    several = stored(
         found.groupBy("name")
         .agg(F.min(spot).alias("x"), F.max(spot).alias("y"), F.count("*").alias("n"))
         .where("x != y")
-        .select("name", (F.col("n") > hot).alias("hot"))
+        .select("name", (F.col("n") > hot).alias("hot")),
+        "names",
     )
     suspects = found.join(several, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "hot")).alias("places"))
     # The row with the smallest id stands for all copies of a text.

@@ -172,11 +172,14 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     found = stored(mapped(docs.select("k1", "k2", "_body"), anchors, "k1 long, k2 int, place int, name long", 20_000), "anchors")
     spot = F.xxhash64("k1", "k2", "place")
-    several = found.groupBy("name").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x != y").select("name")
+    # Tables of their own, so that both sides of a join are plain shuffles and a hot name can be split.
+    several = stored(
+        found.groupBy("name").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x != y").select("name"), "names"
+    )
     suspects = found.join(several, "name").groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
     # One row stands for all copies of a text.
     heads = docs.groupBy("k1", "k2").agg(F.min(F.struct("doc_id")).alias("head"))
-    chosen = suspects.join(heads, ["k1", "k2"]).select("k1", "k2", F.col("head.doc_id").alias("h"), "places")
+    chosen = stored(suspects.join(heads, ["k1", "k2"]).select("k1", "k2", F.col("head.doc_id").alias("h"), "places"), "suspects")
     texts = docs.join(
         chosen.withColumnsRenamed({"k1": "a1", "k2": "a2"}),
         (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")) & F.col("doc_id").eqNullSafe(F.col("h")),
@@ -197,8 +200,10 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     seen = stored(mapped(texts, windows, "k1 long, k2 int, start int, h1 long, h2 int", 20_000), "windows")
     spot = F.xxhash64("k1", "k2", "start")
-    twice = seen.groupBy("h1", "h2").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x != y").select("h1", "h2")
-    return seen.join(twice, ["h1", "h2"]).groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
+    twice = stored(
+        seen.groupBy("h1", "h2").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x != y").select("h1", "h2"), "twice"
+    )
+    return stored(seen.join(twice, ["h1", "h2"]).groupBy("k1", "k2").agg(F.collect_set("start").alias("starts")), "starts")
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

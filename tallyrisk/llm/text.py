@@ -26,10 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back; cuts the lineage."""
+    """``df`` written once to the shared folder and read back; cuts the lineage.
+
+    Spark drops the shuffle files of finished steps when the driver's JVM has
+    collected their handles, so a collection is asked for: the next step then
+    has that disk.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
