@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,65 +74,75 @@ def floor_percentiles(df: DataFrame, column: str, quantiles: Sequence[float]) ->
 
     Nulls are left out; an empty input gives nulls and n = 0.
     """
-    totals = running_totals(df, column, {"k": F.lit(1).cast("long")})
-    n = df.agg(F.count(column)).scalar()
-    picks = []
-    for q in quantiles:
-        at = F.floor(F.col("_n") * F.lit(float(q))).cast("long")
-        hit = (F.col("cum_k") > at) & (F.col("cum_k") - F.col("k") <= at)
-        picks.append(F.max(F.when(hit, F.col(column))).alias(percentile_name(q)))
-    return totals.withColumn("_n", n).agg(*picks, F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+    kind = df.schema[column].dataType.simpleString()
+    wanted = {percentile_name(q): (column, lambda n, q=q: math.floor(n * q) + 1) for q in quantiles}
+    found, n = values_at(df, wanted)
+    schema = ", ".join([f"{name} {kind}" for name in wanted] + ["n long"])
+    return df.sparkSession.createDataFrame([(*[found[name] for name in wanted], n[column])], schema)
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, accuracy: int = 10_000) -> dict[str, object]:
-    """The exact q-quantile of each column: the smallest value with at least q * n values at or below it.
-
-    A sketch gives two values that surely enclose the wanted rank.  Counting
-    what lies below and between them leaves a small part of the values, on which
-    the next round works, until the sketch is exact for what is left.  All
-    columns share the passes; their number grows with the logarithm of the size.
-    Only the enclosing values come to the driver.  Null if there are no values.
+    """The exact q-quantile of each column: the smallest value with at least q * n values at or below it; null if there are none."""
+    wanted = {c: (c, lambda n: max(1, math.ceil(q * n - 1e-9))) for c in columns}
+    return values_at(df, wanted, accuracy)[0]
+
+
+def values_at(
+    df: DataFrame, wanted: Mapping[str, tuple[str, Callable[[int], int]]], accuracy: int = 10_000
+) -> tuple[dict[str, object], dict[str, int]]:
+    """Exact order statistics: per name the value of a rank (from 1) of a column, and per column the number of values.
+
+    ``wanted`` names a column and a function from the number of values to the
+    rank; a rank beyond that number gives null.  A sketch gives two values that
+    surely enclose the rank.  Counting what lies below and between them leaves a
+    small part of the values, on which the next round works, until the sketch is
+    exact for what is left.  All names share the passes, two per round; the
+    rounds grow with the logarithm of the size.  Only the enclosing values come
+    to the driver.
     """
-    low: dict[str, object] = dict.fromkeys(columns)
-    high: dict[str, object] = dict.fromkeys(columns)
+    low: dict[str, object] = dict.fromkeys(wanted)
+    high: dict[str, object] = dict.fromkeys(wanted)
     found: dict[str, object] = {}
-    todo = list(columns)
-    while todo:
-        inside = {}
-        for c in todo:
-            inside[c] = F.col(c).isNotNull()
-            if low[c] is not None:
-                inside[c] &= F.col(c).between(F.lit(low[c]), F.lit(high[c]))
-        below = {c: F.lit(0) if low[c] is None else F.count_if(F.col(c) < F.lit(low[c])) for c in todo}
-        counts = df.agg(
-            *[F.struct(F.count(c).alias("n"), below[c].alias("below"), F.count_if(inside[c]).alias("m")).alias(f"_{k}") for k, c in enumerate(todo)]
-        ).first()
-        asked, sure = [], {}
-        for k, c in enumerate(todo):
-            n, m = counts[k]["n"], counts[k]["m"]
-            if n == 0:
-                found[c] = None
+    sizes: dict[str, int] = {}
+    while todo := [name for name in wanted if name not in found]:
+        inside, counts = {}, []
+        for k, name in enumerate(todo):
+            c = F.col(wanted[name][0])
+            inside[name] = c.isNotNull()
+            below = F.lit(0)
+            if low[name] is not None:
+                inside[name] &= c.between(F.lit(low[name]), F.lit(high[name]))
+                below = F.count_if(c < F.lit(low[name]))
+            counts.append(F.struct(F.count(c).alias("n"), below.alias("below"), F.count_if(inside[name]).alias("m")).alias(f"_{k}"))
+        seen, asked = df.agg(*counts).first(), []
+        for k, name in enumerate(todo):
+            column, rank_of = wanted[name]
+            n, m = seen[k]["n"], seen[k]["m"]
+            sizes[column] = n
+            rank = rank_of(n)
+            if not 1 <= rank <= n:
+                found[name] = None
                 continue
-            rank = max(1, math.ceil(q * n - 1e-9)) - counts[k]["below"]
-            at, slack = (rank - 0.5) / m, 0.0 if m <= accuracy else 2.0 / accuracy
-            sure[c] = m <= accuracy
+            at, sure = (rank - seen[k]["below"] - 0.5) / m, m <= accuracy
+            slack = 0.0 if sure else 2.0 / accuracy
             points = [max(0.0, at - slack), min(1.0, at + slack)]
             # Four times the number of values: the sketch is off by less than one rank.
-            fine = 4 * accuracy if sure[c] else accuracy
-            asked.append((c, F.percentile_approx(F.when(inside[c], F.col(c)), points, fine)))
+            fine = 4 * accuracy if sure else accuracy
+            asked.append((name, sure, F.percentile_approx(F.when(inside[name], F.col(column)), points, fine).alias(f"_{k}")))
         if not asked:
             break
-        got = df.agg(*[x.alias(f"_{k}") for k, (_, x) in enumerate(asked)]).first()
-        for k, (c, _) in enumerate(asked):
-            a, b = got[k]
-            # An enclosure that does not shrink holds one value and its like.
-            if sure[c] or a == b:
-                found[c] = a
-            elif (a, b) == (low[c], high[c]):
-                accuracy *= 10
-            low[c], high[c] = a, b
-        todo = [c for c in columns if c not in found]
-    return found
+        for (name, sure, _), (a, b) in zip(asked, df.agg(*[x for *_, x in asked]).first()):
+            if sure or a == b:
+                found[name] = a
+            elif (a, b) == (low[name], high[name]):
+                accuracy *= 10  # very many equal values at both ends
+            low[name], high[name] = a, b
+    return found, sizes
+
+
+def few_rows(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """``df``, to be broadcast if it is known to have at most ``most`` rows; joined like any other table if not."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def pick_by_hash(
@@ -162,7 +172,7 @@ def pick_by_hash(
         .select(*by, F.col("_p").alias("_cut"), (F.col("_k") - before).alias("_left"))
     )
     if by:
-        placed = hashed.join(cut, by, "left")
+        placed = hashed.join(few_rows(cut), by, "left")
     else:
         one = cut.select(F.struct("_cut", "_left")).scalar()
         placed = hashed.withColumn("_limit", one).select("*", "_limit._cut", "_limit._left").drop("_limit")
@@ -188,21 +198,13 @@ def top_fraction_flag(
 
     Ties at the border are settled by (md5 of the id, id).
     """
-    n = df.agg(F.count(score)).scalar()
-    totals = running_totals(df, score, {"k": F.lit(1).cast("long")}, descending=True)
-    border = (
-        totals.withColumn("_top", F.greatest(F.lit(1).cast("long"), F.floor(n * F.lit(fraction)).cast("long")))
-        .filter((F.col("cum_k") >= F.col("_top")) & (F.col("cum_k") - F.col("k") < F.col("_top")))
-        .select(F.struct(F.col(score).alias("at"), (F.col("_top") - (F.col("cum_k") - F.col("k"))).alias("k")))
-    )
-    at = F.col("_border.at")
-    placed = df.withColumn("_border", border.scalar())
-    clear = placed.filter(~F.coalesce(F.col(score) == at, F.lit(False)))
-    clear = clear.withColumn("picked", F.coalesce(F.col(score) > at, F.lit(False)))
-    ties = placed.filter(F.col(score) == at)
-    ties = pick_by_hash(ties, id_col, F.col("_border.k"))
-    return (
-        clear.unionByName(ties)
-        .withColumn(flag, F.col("picked").cast("int"))
-        .drop("_border", "picked")
-    )
+    top = lambda n: max(1, math.floor(n * fraction))
+    found, sizes = values_at(df, {"border": (score, lambda n: n - top(n) + 1)})
+    border = found["border"]
+    if border is None:
+        return df.withColumn(flag, F.lit(0))
+    at, tie = F.lit(border), F.coalesce(F.col(score) == F.lit(border), F.lit(False))
+    above = df.agg(F.count_if(F.col(score) > at)).first()[0]
+    clear = df.filter(~tie).withColumn("picked", F.coalesce(F.col(score) > at, F.lit(False)))
+    ties = pick_by_hash(df.filter(tie), id_col, F.lit(top(sizes[score]) - above))
+    return clear.unionByName(ties).withColumn(flag, F.col("picked").cast("int")).drop("picked")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyrisk.operators.ordering import pick_by_hash
+from tallyrisk.operators.ordering import few_rows, pick_by_hash
 
 
 def top_k(df: DataFrame, *order: Column | str, k: int) -> DataFrame:
@@ -37,6 +37,6 @@ def stratified_split(
     """Column ``split``: exactly the rounded fraction of each class is "test", chosen by hash."""
     size = F.floor(F.count(F.lit(1)) * F.lit(float(test_fraction)) + F.lit(0.5)).cast("long")
     # One row per class.
-    sized = df.join(df.groupBy(label).agg(size.alias("_size")), label, "left")
+    sized = df.join(few_rows(df.groupBy(label).agg(size.alias("_size"))), label, "left")
     picked = pick_by_hash(sized, id_col, F.col("_size"), by=[label], seed=seed)
     return picked.withColumn("split", F.when(F.col("picked"), "test").otherwise("train")).drop("picked", "_size")
