@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tallyrisk.catalog.features_q import (
@@ -16,6 +18,7 @@ from tallyrisk.operators.asof import asof_join
 from tallyrisk.plans import feature_store as store
 from tallyrisk.plans import gold, scoring
 from tallyrisk.session import shared_dir
+from tallyrisk.sources.job_metrics import metric_status, read_metrics
 
 # --- levels, reasons, texts ---------------------------------------------------------
 
@@ -315,6 +318,39 @@ def _(spark, sf):
     return df.select("customer_id", "transaction_id", "amount_usd", text_ts("transaction_ts").alias("transaction_ts"))
 
 
+@query(
+    "materialize_freshness",
+    sql(
+        """SELECT d AS run, cast(epoch(d) AS double) AS end_epoch_s,
+  (SELECT epoch(d) - epoch_us(max(transaction_ts)) / 1000000.0 FROM silver WHERE transaction_ts <= d) AS freshness_s,
+  'met' AS status, (SELECT count(DISTINCT customer_id) FROM silver WHERE transaction_ts <= timestamp '2024-02-01') AS n_keys
+  FROM (VALUES (timestamp '2024-01-10'), (timestamp '2024-01-20'), (timestamp '2024-02-01')) t (d)""".replace(
+            "SELECT d AS run", f"SELECT {text_ts_sql('d')} AS run"
+        ),
+        "silver",
+    ),
+)
+def _(spark, sf):
+    """Runs that find their start in the metrics of the run before."""
+    rows = _event_rows(spark, sf)
+    path, metrics = shared_dir(spark, "online"), shared_dir(spark, "metrics")
+    for day in ((1, 10), (1, 20), (2, 1)):
+        out = shared_dir(spark, "online")
+        store.materialize_due(spark, _LATEST_VIEW, rows, path, out, metrics, datetime(2024, *day), 3600.0, ["_e"])
+        path = out
+    n = spark.read.parquet(path).count()
+    seen = metric_status(read_metrics(spark, metrics, "materialize latest_events"))
+    pick = lambda name, column: F.max(F.when(F.col("metric") == name, F.col(column))).alias(column)
+    wide = seen.groupBy("recorded_at").agg(
+        F.max(F.when(F.col("metric") == "end_epoch_s", F.col("measured"))).alias("end_epoch_s"),
+        F.max(F.when(F.col("metric") == "freshness_s", F.col("measured"))).alias("freshness_s"),
+        pick("seconds", "status"),
+    )
+    return wide.select(
+        text_ts("recorded_at").alias("run"), "end_epoch_s", "freshness_s", "status", F.lit(n).cast("long").alias("n_keys")
+    )
+
+
 @query(
     "online_lookup",
     sql(

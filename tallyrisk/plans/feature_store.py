@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tallyrisk.operators.asof import asof_join
 from tallyrisk.schemas import CUSTOMER_FEATURES, MERCHANT_FEATURES, TRANSACTION_FEATURES
+from tallyrisk.sources.job_metrics import read_metrics, record_metrics
 from tallyrisk.sources.readers import path_exists
 from tallyrisk.sources.writers import upsert
 
@@ -180,6 +183,42 @@ def materialize(
     return upsert(spark, changed, online_path, [view.key], out_path)
 
 
+def materialize_due(
+    spark: SparkSession,
+    view: FeatureView,
+    source: DataFrame,
+    online_path: str,
+    out_path: str,
+    metrics_path: str,
+    end: datetime,
+    target_s: float = 300.0,
+    tie: Sequence[str] = (),
+) -> dict[str, float | None]:
+    """Bring the table up to ``end`` from where the last recorded run ended, and record this run.
+
+    The metrics table keeps per run the end reached, the seconds it took against
+    ``target_s``, and how old the newest materialised row was at ``end``.  A run
+    whose end is not after the last one writes no rows.  Times are in UTC.
+    """
+    job = f"materialize {view.name}"
+    last = None
+    if path_exists(spark, metrics_path):
+        ends = read_metrics(spark, metrics_path, job).filter(F.col("metric") == "end_epoch_s")
+        last = ends.agg(F.max("measured")).first()[0]
+    upto = end.replace(tzinfo=timezone.utc).timestamp()
+    began = time.monotonic()
+    start = None if last is None else F.timestamp_seconds(F.lit(last))
+    materialize(spark, view, source, online_path, out_path, start, F.timestamp_seconds(F.lit(upto)), tie)
+    newest = spark.read.parquet(out_path).agg(F.max(F.unix_micros(F.col(view.ts).cast("timestamp")) / 1e6)).first()[0]
+    measured = {
+        "end_epoch_s": max(upto, last or upto),
+        "seconds": time.monotonic() - began,
+        "freshness_s": None if newest is None else upto - newest,
+    }
+    record_metrics(spark, metrics_path, job, measured, {"seconds": ("max", target_s)}, end)
+    return measured
+
+
 def online_lookup(
     requests: DataFrame,
     online: DataFrame,
