@@ -308,7 +308,9 @@ def near_duplicates(
     )
     loose = open_.select("class").distinct().join(state, "class")
     names = loose.select("class").join(classes.select("class", "head"), "class")
-    inside = family_pairs(loose.join(long_signatures(names, docs, size, longer), "class"), threshold, batch, miss)
+    # Written, because the sizes of families and their blocks both read it.
+    named = stored(loose.join(long_signatures(names, docs, size, longer), "class"), "families")
+    inside = family_pairs(named, threshold, batch, miss)
     second = links(
         likely_pairs(across, classes, threshold, batch, miss).unionByName(inside), classes, docs, size, threshold
     )
