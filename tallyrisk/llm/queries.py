@@ -42,7 +42,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
     model = language.train(docs.where(~F.col("held_out")))
-    return language.predict(docs, model, ["doc_id", "held_out"])
+    found = language.predict(docs, model, ["doc_id", "held_out"])
+    return found.withColumn("languages", F.to_json("languages"))
 
 
 @query
