@@ -124,8 +124,11 @@ def contexts(text: str, spans: list[tuple[str, int, int]], width: int) -> list[t
     return out
 
 
-def scanned(docs: DataFrame, columns: list[str], text: str, width: int) -> DataFrame:
-    """One pass over the texts: a row per document with its spans and contexts, and rows of (term, df)."""
+def scanned(docs: DataFrame, columns: list[str], text: str, width: int, hits: bool) -> DataFrame:
+    """One pass over the texts: a row per document with its spans and contexts, and rows of (term, df).
+
+    With ``hits`` documents without a span get no row.
+    """
     given = with_row_id(docs.select(*columns, F.col(text).alias("_body")))
     left = given.drop("_body")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
@@ -142,7 +145,8 @@ def scanned(docs: DataFrame, columns: list[str], text: str, width: int) -> DataF
             spans = base_spans(body)
             near = contexts(body, spans, width) if spans else []
             seen.update(set(WORD.findall(body.lower())))
-            yield *own, row, spans, near, None, None
+            if spans or not hits:
+                yield *own, row, spans, near, None, None
             if len(seen) > 400_000:
                 for term, n in seen.items():
                     yield *blank, term, n
@@ -160,15 +164,18 @@ def found(
     width: int = 5,
     support: int = 3,
     threshold: float = 0.7,
+    hits: bool = False,
 ) -> DataFrame:
     """``columns`` with ``spans``: array of (kind, start, end), patterns first, then revealing terms.
 
+    With ``hits`` only documents that have a span; others have no term either.
+
     ``columns`` may hold the text itself; they must not be called ``_row``,
     ``spans``, ``near``, ``term`` or ``df``.
     """
-    scan = stored(scanned(docs, columns, text, width), "scan")
+    scan = stored(scanned(docs, columns, text, width, hits), "scan")
     places = scan.where(F.col("_row").isNotNull()).drop("term", "df")
-    size = places.count()
+    size = docs.count() if hits else places.count()
     near = places.where(F.size("near") > 0).select("_row", F.explode("near").alias("x")).select("_row", "x.*")
     # Documents with different context texts, not copies, are evidence.
     once = near.select("entity", "term", "context").distinct()
@@ -222,7 +229,8 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     names = [f"c{k}" for k in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
-    spans = found(docs.toDF(*names), names, body)
+    plain = docs.toDF(*names)
+    spans = found(plain, names, body, hits=True)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.toDF(*names).schema)
     place = names.index(body)
 
@@ -231,4 +239,8 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
             own[place] = replaced(own[place], found_here)
             yield tuple(own)
 
-    return mapped(spans, run, kinds).toDF(*docs.columns)
+    def untouched(rows: Iterator[tuple]) -> Iterator[tuple]:
+        return (row for row in rows if not base_spans(row[place] or ""))
+
+    # Most texts have no span: they pass straight through, and only the others are written and joined.
+    return mapped(plain, untouched, kinds).unionByName(mapped(spans, run, kinds)).toDF(*docs.columns)

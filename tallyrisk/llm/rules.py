@@ -197,5 +197,17 @@ def judged(docs: DataFrame, text: str = "text", threshold: float = 0.5, carry: S
 def filtered(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept; all columns stay, and none clashes with those made here."""
     names = [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
     body = names[docs.columns.index(text)]
-    return judged(docs.toDF(*names), body, threshold, names).where("kept").select(*names).toDF(*docs.columns)
+    chosen = rules()
+    votes = [r.vote().alias(f"vote_{r.name}") for r in chosen]
+    found = statistics(plain.withColumn("_body", F.col(body)), "_body")
+    # explode(array(x)) keeps the statistics columns of their own: a filter on the votes would compute them again and again.
+    one = F.explode(F.array(F.struct(*STATISTICS, *EXTRA))).alias("_s")
+    given = found.select(*names, one).select(*names, "_s.*").select(*names, "base_failed", *votes)
+    fields = [f"vote_{r.name}" for r in chosen]
+    # Two passes over the texts instead of a second copy of them on disk.
+    counted = given.groupBy(*fields).count().collect()
+    model = fit({tuple(row[n] for n in fields): row["count"] for row in counted}, [r.name for r in chosen])
+    good = model.probability([F.col(n) for n in fields]) >= threshold
+    return given.where(~F.col("base_failed") & good).select(*names).toDF(*docs.columns)
