@@ -1,29 +1,36 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination by word order, rated in a latent semantic space.
 
-Texts become sequences of 16-bit word ids.  Passages are 32 words, overlapping by
-half; for items of up to 32 words also 16 words.  Document frequencies over all texts weight the
-terms (TF-IDF over 2 ** 14 term buckets; those in more than ``common`` of the
-texts weigh nothing, like stop words), and a distributed randomised SVD finds
+Texts become sequences of 16-bit word ids.  Passages are 32 words, begin every 8
+words and are read with the words around them.  A passage holds an item if their
+longest common subsequence, and that with the item's closing words (its answer),
+are long enough, so paraphrases with changed, dropped or added words are found
+and passages that only share vocabulary are not.
+
+No passage that would stand this check is left out.  A match may miss a known
+number of the item's words; so of its rarest words, some more than that number,
+a known count must stand in the passage.  Places of these words are looked up
+in an index of the items, and passages with enough of them are checked.
+
+Document frequencies over all texts weight the terms (TF-IDF over 2 ** 14 term
+buckets, each with a weight above 0), and a distributed randomised SVD finds
 the leading right singular vectors: every task multiplies its passages with a
 random matrix and back, A'(A R); the sums, of fixed size, are added up block by
 block, and a single-pass (Nystroem) eigenvalue step on that small matrix gives
-the vectors.  Passages and benchmark items are compared by cosine in that space.
-Candidates are checked on their word sequences: the longest common subsequence
-with the item, and with the item's closing words (its answer), must be long
-enough, so paraphrases with changed, dropped or added words are found and
-passages that only share vocabulary are not.
+the vectors.  The cosine in that space rates a match and decides nothing.  Items
+longer than a passage have a vector for each of their passages.
 
 Benchmark items come in blocks of fixed size, so the part that is sent to every
 task stays small whatever their number.
 
-Defined results: null, empty and very short texts (fewer than ``least`` words in
-common) match nothing; several passages that match an item count once, with the
-best values; repeated rows give repeated results; an empty benchmark or an empty
-table gives no rows.
+Defined results: null and empty texts match nothing; an item of fewer than
+``least`` words matches where its words stand side by side; several passages
+that match an item count once, with the best values; repeated rows give repeated
+results; an empty benchmark or an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -76,9 +83,9 @@ def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000, bits: int
         yield out, word_ids([r[text] for r in out], bits)
 
 
-def tokenised(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A row (doc_id, ids) per document, and rows (term, df) of document frequencies, in one pass."""
-    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_body"))
+def tokenised(docs: DataFrame, doc_id: str | None, text: str) -> DataFrame:
+    """A row (doc_id, ids) per document if ``doc_id`` is given, and rows (term, df) of document frequencies, in one pass."""
+    given = docs.select((F.lit(0) if doc_id is None else F.col(doc_id)).alias("doc_id"), F.col(text).alias("_body"))
     kind = given.schema["doc_id"].dataType.simpleString()
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -88,37 +95,37 @@ def tokenised(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 hit[:] = False
                 hit[ids >> 2] = True
                 df += hit
-                yield name, ids.tobytes(), None, None
+                if doc_id is not None:
+                    yield name, ids.tobytes(), None, None
         for term in np.flatnonzero(df):
             yield None, None, int(term), int(df[term])
 
     return mapped(given, run, f"doc_id {kind}, ids binary, term int, df long")
 
 
-def cut(batch: list[tuple], width: int, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rare terms of all texts of a batch, the run of ``width`` words each is in, and where each text's runs begin."""
+def cut(batch: list[tuple], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms of all texts of a batch, the run of ``width`` words each is in, and where each text's runs begin."""
     terms = np.concatenate([ids for _, ids in batch]) >> 2
     first = np.concatenate([[0], np.cumsum([-(-len(ids) // width) for _, ids in batch])])
     run = np.concatenate([b + np.arange(len(ids)) // width for b, (_, ids) in zip(first, batch)])
-    keep = rare[terms]
-    return terms[keep], run[keep], first
-
+    return terms, run, first
 
-def added(rows: np.ndarray, owner: np.ndarray, ahead: int) -> np.ndarray:
-    """Each row plus the one ``ahead``, if it belongs to the same text."""
-    out = rows.copy()
-    if len(rows) > ahead:
-        same = owner[ahead:] == owner[:-ahead]
-        out[:-ahead][same] += rows[ahead:][same]
-    return out
 
+def summed(rows: np.ndarray, which: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
+    """Sums of ``rows[which]`` by group; equal ``groups`` are neighbours, and the last of ``rows`` is zero.
 
-def summed(rows: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
-    """Sums of rows whose neighbours belong to the same group."""
+    Groups are filled up to slots of eight with the zero row, because sums of fixed size are fast.
+    """
+    size = np.bincount(groups, minlength=count)
+    slots = -(-size // 8)
+    first = np.cumsum(slots) - slots
+    filled = np.full(8 * slots.sum(), len(rows) - 1)
+    filled[np.arange(len(which)) + (8 * first - np.cumsum(size) + size)[groups]] = which
+    eights = np.matmul(np.ones((1, 8), rows.dtype), rows.take(filled, 0).reshape(-1, 8, rows.shape[1]))[:, 0]
     out = np.zeros((count, rows.shape[1]), np.float32)
-    if len(rows):
-        first = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
-        out[groups[first]] = np.add.reduceat(rows, first, axis=0)
+    some = np.flatnonzero(size)
+    if len(some):
+        out[some] = np.add.reduceat(eights, first[some], axis=0)
     return out
 
 
@@ -144,14 +151,15 @@ def vectors(tokens: DataFrame, idf: np.ndarray, rank: int, seed: int = 7) -> np.
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         weights = shared.value
         random = np.random.default_rng(seed).standard_normal((TERMS, rank)).astype(np.float32)
-        weighted = random * weights[:, None]
+        zero = np.zeros((1, rank), np.float32)
+        weighted = np.concatenate([random * weights[:, None], zero])
         total = np.zeros((TERMS, rank), np.float64)
         parts = ((None, np.frombuffer(ids, np.uint16)) for _, ids in rows)
         for batch in batches(parts):
-            terms, run_of, first = cut(batch, width, weights > 0)
-            sums = summed(weighted[terms], run_of, first[-1])
+            terms, run_of, first = cut(batch, width)
+            sums = np.concatenate([summed(weighted, terms, run_of, first[-1]), zero])
             order = np.argsort(terms, kind="stable")
-            total += summed(sums[run_of[order]], terms[order], TERMS)
+            total += summed(sums, run_of[order], terms[order], TERMS)
         total *= weights[:, None]
         for at in range(0, TERMS, BLOCK):
             yield at, total[at : at + BLOCK].astype(np.float32).tobytes()
@@ -195,83 +203,133 @@ def places(words: list[int]) -> dict[int, int]:
     return out
 
 
+def passages(ids: np.ndarray, width: int) -> list[np.ndarray]:
+    """Passages of up to ``width`` words, overlapping by half, that cover all of ``ids``."""
+    step = width // 2
+    return [ids[at : at + width] for at in range(0, max(1, len(ids) - step), step)]
+
+
 @dataclass
 class Items:
-    """A block of benchmark items as the tasks need it."""
+    """A block of benchmark items as the tasks need it; without a ``space`` matches are not rated."""
 
     names: list
     words: list[list[int]]
-    space: np.ndarray  # terms x rank, weighted by IDF
-    rare: np.ndarray  # terms that count in the space
-    points: np.ndarray  # items x rank, unit length
-    cosine: float
+    df: np.ndarray  # document frequencies of the terms
+    space: np.ndarray | None  # terms x rank, weighted by IDF
     share: float
     least: int
 
+    def __post_init__(self) -> None:
+        self.masks, self.points, pairs = [], [], []
+        self.need, self.seen = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
+        for i, words in enumerate(self.words):
+            m = len(words)
+            answer = words[-max(1, m // 3) :]
+            self.masks.append((places(words), places(answer), len(answer)))
+            # A match misses at most m - need words, so of m - need + seen words it has ``seen``.
+            need = m if m < self.least else max(self.least, math.ceil(self.share * m - 1e-9))
+            self.need[i], self.seen[i] = need, min(need, max(3, m // 4))
+            rarest = sorted(words, key=lambda w: (self.df[w >> 2], w))[: m - need + self.seen[i]]
+            pairs += [(w, i) for w in set(rarest)]
+            self.points.append(self.rated([np.array(words)], (4 * RUN,)))
+        pairs.sort()
+        self.holders = np.array([i for _, i in pairs], np.uint16)
+        self.first = np.searchsorted(np.array([w for w, _ in pairs]), np.arange((1 << 16) + 1))
+        self.reach = np.array([2 * len(words) + 4 * RUN for words in self.words])
+
+    def rated(self, texts: list[np.ndarray], widths: tuple[int, ...]) -> np.ndarray | None:
+        """Unit vectors of all passages of the texts."""
+        if self.space is None:
+            return None
+        rows = np.stack([self.space[p >> 2].sum(0) for t in texts for width in widths for p in passages(t, width)])
+        return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+
     def found(self, docs: list[tuple]) -> Iterator[tuple[int, int, float, float, float]]:
         """(position of the document, position of the item, cosine, LCS share, answer share) of all matches."""
-        terms, run_of, first = cut(docs, RUN, self.rare)
-        runs = summed(self.space[terms], run_of, first[-1])
-        owner = np.repeat(np.arange(len(docs)), np.diff(first))
-        place = np.arange(len(owner)) - first[owner]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        short = added(runs, owner, 1)
-        long = added(short, owner, 2)
-        for points, which, window, begin in (
-            (self.points[self.brief], np.flatnonzero(self.brief), short, np.arange(len(owner))),
-            (self.points[self.full], np.flatnonzero(self.full), long, np.flatnonzero(place % 2 == 0)),
-        ):
-            rows = window[begin]
-            rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
-            cosines = rows @ points.T
-            for p, i in zip(*np.nonzero(cosines >= self.cosine)):
-                self.check(docs, best, int(owner[begin[p]]), int(place[begin[p]]) * RUN, int(which[i]), float(cosines[p, i]))
+        for d, at, i in self.candidates([ids for _, ids in docs]):
+            self.check(docs, best, d, at, i)
         for (d, i), values in sorted(best.items()):
             yield d, i, *values
 
-    def check(self, docs: list[tuple], best: dict, d: int, at: int, i: int, cosine: float) -> None:
+    def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+        """(document, begin of a passage, item) wherever enough of an item's rare words stand in reach of the passage."""
+        ids = np.concatenate(docs).astype(np.int64)
+        begin = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+        count = self.first[ids + 1] - self.first[ids]
+        hit = np.flatnonzero(count)
+        if not len(hit):
+            return
+        count = count[hit]
+        place = np.repeat(hit, count)
+        offset = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
+        item = self.holders[np.repeat(self.first[ids[hit]], count) + offset]
+        order = np.argsort(item, kind="stable")  # places stay in order
+        item, place = item[order].astype(np.int64), place[order]
+        doc = np.searchsorted(begin, place, "right") - 1
+        last = np.arange(len(place)) + self.seen[item] - 1
+        inside = np.flatnonzero(last < len(place))
+        last = last[inside]
+        same = (item[last] == item[inside]) & (doc[last] == doc[inside]) & (place[last] - place[inside] < self.reach[item[inside]])
+        inside, last = inside[same], last[same]
+        item, doc = item[inside], doc[inside]
+        start, stop = place[inside] - begin[doc], place[last] - begin[doc]
+        size, step = self.reach[item] // 2 - 2 * RUN, RUN
+        # Passages at multiples of ``step`` whose reach, from at - size up to at + 4 * RUN + size, holds both places.
+        low = np.maximum(0, -((size + 4 * RUN - 1 - stop) // step))
+        high = np.minimum((start + size) // step, (np.diff(begin)[doc] - 1) // step)
+        wide = np.maximum(0, high - low + 1)
+        at = np.repeat(low, wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+        most = int(at.max(initial=0)) + 1
+        for key in np.unique((np.repeat(doc, wide) * len(self.words) + np.repeat(item, wide)) * most + at).tolist():
+            pair, a = divmod(key, most)
+            yield pair // len(self.words), a * step, pair % len(self.words)
+
+    def check(self, docs: list[tuple], best: dict, d: int, at: int, i: int) -> None:
         """Compare the words around a candidate passage with the item."""
         m = len(self.words[i])
-        reach = docs[d][1][max(0, at - m) : at + 4 * RUN + m].tolist()
-        masks = self.masks[i]
-        length = common_length(masks[0], reach)
-        if length < self.least or length < self.share * m:
+        whole, closing, size = self.masks[i]
+        near = docs[d][1][max(0, at - m) : at + 4 * RUN + m]
+        reach = [w for w in near.tolist() if w in whole]
+        if len(reach) < self.need[i]:
+            return
+        if m < self.least:
+            item = np.array(self.words[i], np.uint16)
+            if not (np.lib.stride_tricks.sliding_window_view(near, m) == item).all(1).any():
+                return
+        length = common_length(whole, reach)
+        if length < self.need[i]:
+            return
+        answer = common_length(closing, reach) / size
+        if answer < self.share - 0.1:
             return
-        answer = common_length(masks[1], reach) / masks[2]
-        if answer >= self.share - 0.1 and (cosine, length / m, answer) > best.get((d, i), (-1.0,)):
+        cosine = 0.0
+        if self.space is not None:
+            passage = docs[d][1][at : at + 4 * RUN]
+            cosine = float((self.rated([passage], (4 * RUN, 2 * RUN) if m <= 4 * RUN else (4 * RUN,)) @ self.points[i].T).max())
+        if (cosine, length / m, answer) > best.get((d, i), (-2.0,)):
             best[d, i] = (cosine, length / m, answer)
 
-    def __post_init__(self) -> None:
-        size = np.array([len(words) for words in self.words])
-        self.brief, self.full = size <= 4 * RUN, size > 2 * RUN  # those in between are looked up both ways
-        self.masks = []
-        for words in self.words:
-            answer = words[-max(1, len(words) // 3) :]
-            self.masks.append((places(words), places(answer), len(answer)))
-
 
-def prepared(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, rank: int,
-    common: float, cosine: float, share: float, least: int, block: int,
-) -> tuple[DataFrame, list[Items]]:
-    """The word ids of the documents and the benchmark in blocks."""
-    scan = stored(tokenised(docs, doc_id, text), "tokens")
-    tokens = scan.where(F.col("ids").isNotNull()).select("doc_id", "ids")
-    counts = scan.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df")).collect()
-    size = tokens.count()
+def weighed(scan: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document frequency and weight of every term bucket; no weight is 0."""
     df = np.zeros(TERMS)
-    for row in counts:  # at most one row per term bucket
-        df[row["term"]] = row["df"]
-    rare = df <= max(20, common * size)
-    idf = np.where(rare, np.log((size + 1) / (df + 1)) + 0.05, 0).clip(0).astype(np.float32)
-    space = vectors(tokens, idf, rank) * idf[:, None]
+    for row in scan.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df")).collect():
+        df[row["term"]] = row["df"]  # at most one row per term bucket
+    rare = df <= max(20, 0.03 * size)
+    return df, np.where(rare, np.log((size + 1) / (df + 1)) + 0.05, 0).clip(0).astype(np.float32)
+
+
+def blocks_of(
+    benchmark: DataFrame, item_id: str, item_text: str, df: np.ndarray, space: np.ndarray | None, share: float, least: int, block: int
+) -> list[Items]:
+    """The benchmark in blocks."""
     out, names, bodies = [], [], []
 
     def close() -> None:
         if names:
-            points = np.stack([space[np.array(b) >> 2].sum(0) for b in bodies])
-            points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
-            out.append(Items(list(names), list(bodies), space, rare, points, cosine, share, least))
+            out.append(Items(list(names), list(bodies), df, space, share, least))
             names.clear(), bodies.clear()
 
     for row in benchmark.select(item_id, item_text).where(F.col(item_text).isNotNull()).toLocalIterator():
@@ -282,16 +340,19 @@ def prepared(
         if len(names) >= block:
             close()
     close()
-    return tokens, out
+    return out
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", rank: int = 64, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8,
-    block: int = 4000,
+    item_text: str = "text", rank: int = 64, share: float = 0.7, least: int = 8, block: int = 4000,
 ) -> DataFrame:
     """Rows (doc_id, item_id, cosine, lcs, answer): documents that hold a benchmark item, and which."""
-    tokens, blocks = prepared(docs, benchmark, doc_id, text, item_id, item_text, rank, common, cosine, share, least, block)
+    scan = stored(tokenised(docs, doc_id, text), "tokens")
+    tokens = scan.where(F.col("ids").isNotNull()).select("doc_id", "ids")
+    df, idf = weighed(scan, tokens.count())
+    space = vectors(tokens, idf, rank) * idf[:, None]
+    blocks = blocks_of(benchmark, item_id, item_text, df, space, share, least, block)
     left = tokens.schema["doc_id"].dataType.simpleString()
     right = benchmark.schema[item_id].dataType.simpleString()
     schema = f"doc_id {left}, item_id {right}, cosine double, lcs double, answer double"
@@ -311,16 +372,15 @@ def contaminated(
 
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    rank: int = 64, common: float = 0.03, cosine: float = 0.6, share: float = 0.7, least: int = 8, block: int = 4000,
+    share: float = 0.7, least: int = 8, block: int = 4000,
 ) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; all columns stay."""
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     body = docs.columns.index(text)
-    _, blocks = prepared(
-        docs.select(F.lit(0).alias("doc_id"), F.col(text).alias("_t")), benchmark, "doc_id", "_t", item_id, item_text,
-        rank, common, cosine, share, least, block,
-    )
+    # Which words are rare only orders the search, and nothing is rated: one pass for the counts, no copy of the words.
+    df, _ = weighed(tokenised(docs, None, text), 0)
+    blocks = blocks_of(benchmark, item_id, item_text, df, None, share, least, block)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     for items in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(items)

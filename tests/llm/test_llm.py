@@ -245,6 +245,50 @@ def test_leaks_exact_and_paraphrased(spark, sf, docs, odd, empty):
     assert leaks.contaminated(docs, bench.limit(0)).count() == 0 and leaks.decontaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_leaks_candidates_miss_nothing():
+    """Every passage that stands the check is a candidate, also for items of common words only."""
+    rng = random.Random(11)
+    words = [f"w{chr(97 + k % 26)}{k}" for k in range(60)]
+    text = lambda n: [words[min(int(rng.expovariate(0.08)), 59)] for _ in range(n)]
+    bodies = [text(n) for n in (3, 7, 8, 9, 15, 33, 50, 70)]
+    bodies.append(["wa0"] * 6 + ["wb1"] * 6)
+    docs = []
+    for k in range(40):
+        item = [w for w in bodies[k % len(bodies)] if rng.random() > 0.2]
+        docs.append(text(rng.randrange(80)) + item + text(rng.randrange(80)))
+    df = np.zeros(leaks.TERMS)
+    ids = leaks.word_ids([" ".join(d) for d in docs])
+    for d in ids:
+        df[np.unique(d >> 2)] += 1
+    items = leaks.Items(list(range(len(bodies))), [x.tolist() for x in leaks.word_ids([" ".join(b) for b in bodies])], df, None, 0.7, 8)
+    given = [(None, d) for d in ids]
+    best = {}
+    for d, (_, body) in enumerate(given):
+        for at in range(0, len(body), leaks.RUN):
+            for i in range(len(bodies)):
+                items.check(given, best, d, at, i)
+    got = {(d, i): tuple(v) for d, i, *v in items.found(given)}
+    assert got == best and len(best) > 20
+
+
+def test_leaks_paraphrases_with_dropped_words(spark, sf, docs):
+    """Every planting that keeps 0.7 of the item and 0.6 of its answer is found, whatever its cosine."""
+    items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    items[1_000] = [w for w, _ in Counter(" ".join(t or "" for _, t in texts_of(docs)).lower().split()).most_common(200) if w.isalpha()][:12]
+    host = [r.text.split() for r in docs.collect() if 1000 < len(r.text) < 3000][:20]
+    rng, rows, want = random.Random(3), [], set()
+    for k, (i, item) in enumerate(items.items()):
+        held = [j for j in range(len(item)) if i == 1_000 or rng.random() > 0.2]
+        closing = range(len(item) - max(1, len(item) // 3), len(item))
+        if len(held) >= max(8, 0.72 * len(item)) and sum(j in held for j in closing) >= 0.65 * len(closing):
+            want.add((10_000 + k, i))
+        body = host[k % len(host)]
+        rows.append((10_000 + k, " ".join(body[:90] + [item[j] for j in held] + body[90:])))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert len(want) > 30 and any(i == 1_000 for _, i in want) and want <= got
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):
