@@ -317,8 +317,7 @@ def weighed(scan: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     df = np.zeros(TERMS)
     for row in scan.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[row["term"]] = row["df"]  # at most one row per term bucket
-    rare = df <= max(20, 0.03 * size)
-    return df, np.where(rare, np.log((size + 1) / (df + 1)) + 0.05, 0).clip(0).astype(np.float32)
+    return df, (np.log((size + 1) / (df + 1)) + 0.05).astype(np.float32)
 
 
 def blocks_of(

@@ -289,6 +289,12 @@ def test_leaks_paraphrases_with_dropped_words(spark, sf, docs):
     assert len(want) > 30 and any(i == 1_000 for _, i in want) and want <= got
 
 
+def test_leaks_weights_are_positive(spark):
+    scan = leaks.tokenised(spark.createDataFrame([(k, f"the cat w{k}") for k in range(50)], "doc_id long, text string"), "doc_id", "text")
+    df, idf = leaks.weighed(scan, 50)
+    assert df.max() >= 50 and (idf > 0).all()
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):
