@@ -31,6 +31,8 @@ results; an empty benchmark or an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -56,10 +58,52 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return powers(BASE, size)
 
 
-def word_ids(texts: list[str | None], bits: int = 16) -> list[np.ndarray]:
-    """Ids of ``bits`` bits (16 or 32) of the lower-cased words of each text; texts are hashed together, byte by byte."""
-    bodies = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+#: Characters that may be signs, or letters of scripts without blanks; the bytes that begin them.
+WIDE = re.compile("[\u0080-\u00bf\u0800-\U0010ffff]+")
+BEGINS_WIDE = np.array([b == 0xC2 or b >= 0xE0 for b in range(256)])
+#: Thai, Lao, Tibetan, Burmese, Khmer; kana and ideographs; further ideographs.
+BLANKLESS = [(0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x19E0, 0x19FF), (0x2E80, 0x312F), (0x31A0, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+
+
+class Spaced(dict):
+    """Characters as they are hashed: signs are blanks, letters of scripts without blanks begin a word."""
+
+    def __missing__(self, c: str) -> str:
+        kind = unicodedata.category(c)
+        out = c
+        if kind[0] not in "LMN" and kind != "Cf":
+            out = " "
+        elif kind[0] != "M" and any(low <= ord(c) <= high for low, high in BLANKLESS):
+            out = f" {c}"
+        self[c] = out
+        return out
+
+
+SPACED = Spaced()
+
+
+def spaced(text: str) -> str:
+    """The text with blanks for signs and around each letter, with its marks, of scripts without blanks."""
+
+    def parts(m: re.Match) -> str:
+        run = "".join(map(SPACED.__getitem__, m.group()))
+        return run + " " if run.rfind(" ") >= 0 else run
+
+    return WIDE.sub(parts, text)
+
+
+def word_ids(texts: list[str | None], bits: int = 16, split: bool = False) -> list[np.ndarray]:
+    """Ids of ``bits`` bits (16 or 32) of the lower-cased words of each text; texts are hashed together, byte by byte.
+
+    With ``split`` signs beyond ASCII part words, and letters of scripts without blanks are words.
+    """
+    lowered = [(t or "").lower() for t in texts]
+    bodies = [t.encode("utf-8", "surrogatepass") for t in lowered]
     raw = np.frombuffer(b"\n".join([b"", *bodies, b""]), np.uint8)
+    if split and (wide := np.flatnonzero(BEGINS_WIDE[raw])).size:
+        for k in np.unique(np.searchsorted(np.cumsum([len(b) + 1 for b in bodies]), wide)).tolist():
+            bodies[k] = spaced(lowered[k]).encode("utf-8", "surrogatepass")
+        raw = np.frombuffer(b"\n".join([b"", *bodies, b""]), np.uint8)
     inside = IN_WORD[raw]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edges[::2], edges[1::2]
@@ -70,17 +114,17 @@ def word_ids(texts: list[str | None], bits: int = 16) -> list[np.ndarray]:
     return np.split(ids, np.searchsorted(start, ends))[: len(bodies)]
 
 
-def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000, bits: int = 16) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000, bits: int = 16, split: bool = False) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
     """Rows of about ``most`` characters together, and the word ids of their texts."""
     out, held = [], 0
     for row in rows:
         out.append(row)
         held += len(row[text] or "") + 16
         if held >= most:
-            yield out, word_ids([r[text] for r in out], bits)
+            yield out, word_ids([r[text] for r in out], bits, split)
             out, held = [], 0
     if out:
-        yield out, word_ids([r[text] for r in out], bits)
+        yield out, word_ids([r[text] for r in out], bits, split)
 
 
 def tokenised(docs: DataFrame, doc_id: str | None, text: str) -> DataFrame:
@@ -90,7 +134,7 @@ def tokenised(docs: DataFrame, doc_id: str | None, text: str) -> DataFrame:
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         df, hit = np.zeros(TERMS, np.int64), np.zeros(TERMS, bool)
-        for batch, found in in_batches(rows, 1):
+        for batch, found in in_batches(rows, 1, split=True):
             for (name, _), ids in zip(batch, found):
                 hit[:] = False
                 hit[ids >> 2] = True
@@ -332,8 +376,8 @@ def blocks_of(
             names.clear(), bodies.clear()
 
     for row in benchmark.select(item_id, item_text).where(F.col(item_text).isNotNull()).toLocalIterator():
-        ids = word_ids([row[1]])[0].tolist()
-        if len(ids) >= least:
+        ids = word_ids([row[1]], split=True)[0].tolist()
+        if ids:
             names.append(row[0])
             bodies.append(ids)
         if len(names) >= block:
@@ -385,7 +429,7 @@ def decontaminated(
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(rows: Iterator[tuple], shared=shared) -> Iterator[tuple]:
-            for batch, found in in_batches(rows, body):
+            for batch, found in in_batches(rows, body, split=True):
                 some = [k for k, ids in enumerate(found) if len(ids)]
                 hits = shared.value.found([(None, found[k]) for k in some]) if some else ()
                 bad = {some[d] for d, *_ in hits}

@@ -295,6 +295,21 @@ def test_leaks_weights_are_positive(spark):
     assert df.max() >= 50 and (idf > 0).all()
 
 
+def test_leaks_scripts_without_blanks(spark):
+    """Items without blanks, and items of few words, are found; signs part words in every script."""
+    zh, th, short = "\u6771\u4eac\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3042\u308b\u3002\u4eba\u53e3\u306f\u591a\u3044", "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e\u0e40\u0e1b\u0e47\u0e19\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e2b\u0e25\u0e27\u0e07", "\u00bfQui\u00e9n vive?"
+    bench = spark.createDataFrame([(1, zh), (2, th), (3, short), (4, ""), (5, "\u3002")], "item_id long, text string")
+    rows = [
+        (1, f"\u4f60\u597d\uff0c{zh}\u3001\u518d\u89c1 some words"), (2, f"abc{th}\u0e04\u0e23\u0e31\u0e1a"), (3, "we ask \u00abqui\u00e9n vive\u00bb here"),
+        (4, "vive we ask qui\u00e9n"), (5, zh[::-1]), (6, zh[:12]), (7, None), (8, "\u3002"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks.contaminated(table, bench).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert {r.doc_id for r in leaks.decontaminated(table, bench).collect()} == {4, 5, 6, 7, 8}
+    hindi = "\u0939\u093f\u0928\u094d\u0926\u0940 \u092d\u093e\u0937\u093e"
+    assert [len(x) for x in leaks.word_ids([zh, hindi, "\u201cCaf\u00e9\u201d\u2014caf\u00e9"], split=True)] == [16, 2, 2]
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):
