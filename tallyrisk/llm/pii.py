@@ -1,18 +1,20 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone
-numbers.  Each such value, and each kind as a whole, is a protected entity.  Words near an entity in a text
-are its context; over the whole corpus, documents are counted in which a term
-occurs (df), in which an entity occurs, and in which the term stands in the
-entity's context.  A term reveals an entity as far as their pointwise mutual
-information reaches the entity's own information content:
+numbers.  Each such value, and each kind as a whole, is a protected entity.  A
+term occurs with a value if it stands anywhere in a text that holds the value;
+with a kind, which many texts hold, if it stands near a value of that kind.  All
+counts are of distinct texts, so copies change none of them: all texts (N),
+those with the term (df), with the entity, and with both (joint).  A term
+reveals an entity as far as their pointwise mutual information reaches the
+entity's own information content:
 
     disclosure = ln(N * joint / (df(term) * df(entity))) / ln(N / df(entity))
 
 1 means that whoever reads the term knows the entity.  Terms above ``threshold``
-that stand in the context of the entity in at least ``support`` documents with
-different context texts are spans as well; copies of one text do not count as
-support.  For single occurrences there is no evidence, so they stay.
+that occur with the entity in at least ``support`` distinct texts are spans as
+well, wherever they stand in any text.  For single occurrences there is no
+evidence, so they stay.
 
 ``sanitised`` replaces entities by their kind, and revealing terms by a general
 word for their shape.
@@ -26,6 +28,7 @@ table.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -110,53 +113,130 @@ def entity_of(kind: str, value: str) -> str:
 WORD = re.compile(r"[^\W\d_]{2,}")
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], width: int) -> list[tuple[int, str, int, int, int]]:
-    """(entity hash, term, start, end, context hash) of words within ``width`` words of an entity, outside all spans."""
+def near_kinds(text: str, spans: list[tuple[str, int, int]], width: int) -> set[tuple[int, str]]:
+    """(kind's hash, term) of words within ``width`` words of a span of that kind, outside all spans."""
     inside = sorted((a, b) for _, a, b in spans)
-    out = []
+    out = set()
     for kind, a, b in spans:
-        entities = [xxhash.xxh3_64_intdigest(e) >> 1 for e in (entity_of(kind, text[a:b]), kind)]
         left, right = max(0, a - 40 * width), min(len(text), b + 40 * width)
         near = [*list(WORD.finditer(text, left, a))[-width:], *list(WORD.finditer(text, b, right))[:width]]
-        near = [m for m in near if not any(x < m.end() and m.start() < y for x, y in inside)]
-        key = xxhash.xxh3_64_intdigest(" ".join(m.group().lower() for m in near)) >> 1
-        out += [(entity, m.group().lower(), m.start(), m.end(), key) for entity in entities for m in near]
+        out |= {(hashed(kind), m.group().lower()) for m in near if not any(x < m.end() and m.start() < y for x, y in inside)}
     return out
 
 
-def scanned(docs: DataFrame, columns: list[str], text: str, width: int, hits: bool) -> DataFrame:
-    """One pass over the texts: a row per document with its spans and contexts, and rows of (term, df).
+def hashed(entity: str) -> int:
+    return xxhash.xxh3_64_intdigest(entity) >> 1
+
+
+def terms_of(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
+    """The words of a text outside its spans, in lower case."""
+    out, at = [], 0
+    for a, b in [*sorted((a, b) for _, a, b in spans), (len(text), len(text))]:
+        out += WORD.findall(text, at, a) if a > at else ()
+        at = max(at, b)
+    return {w.lower() for w in out}
 
-    With ``hits`` documents without a span get no row.
-    """
-    given = with_row_id(docs.select(*columns, F.col(text).alias("_body")))
-    left = given.drop("_body")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
-    schema = (
-        f"{kinds}, spans array<struct<kind: string, start: int, end: int>>, "
-        "near array<struct<entity: bigint, term: string, start: int, end: int, context: bigint>>, term string, df bigint"
-    )
-    blank = (None,) * (len(left.columns) + 2)
+
+def counted(keyed: DataFrame, width: int) -> DataFrame:
+    """One pass over the texts: rows (term, df), and per text with spans its key, values, kinds' terms and terms."""
+    schema = "key string, entities array<bigint>, kinds array<bigint>, near array<struct<entity: bigint, term: string>>, terms array<string>, term string, df bigint"
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         seen: Counter = Counter()
-        for *own, body, row in rows:
+        for body, key in rows:
             body = body or ""
             spans = base_spans(body)
-            near = contexts(body, spans, width) if spans else []
-            seen.update(set(WORD.findall(body.lower())))
-            if spans or not hits:
-                yield *own, row, spans, near, None, None
+            words = terms_of(body, spans)
+            seen.update(words)
+            if spans:
+                values = sorted({hashed(entity_of(kind, body[a:b])) for kind, a, b in spans})
+                kinds = sorted({hashed(kind) for kind, _, _ in spans})
+                yield key, values, kinds, sorted(near_kinds(body, spans, width)), sorted(words), None, None
             if len(seen) > 400_000:
                 for term, n in seen.items():
-                    yield *blank, term, n
+                    yield *(None,) * 5, term, n
                 seen.clear()
         for term, n in seen.items():
-            yield *blank, term, n
+            yield *(None,) * 5, term, n
+
+    return mapped(keyed, run, schema)
+
+
+def surplus(copied: DataFrame) -> DataFrame:
+    """Rows (term, df) that take back what copies beyond the first have counted; ``copied`` has one row per copied text."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for body, n in rows:
+            for term in terms_of(body or "", base_spans(body or "")):
+                yield term, 1 - n
+
+    return mapped(copied, run, "term string, df bigint")
+
+
+def revealing_terms(docs: DataFrame, text: str, width: int, support: int, threshold: float) -> DataFrame:
+    """The terms that reveal a value or a kind, from counts of distinct texts."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.select(F.col(text).alias("_body"), F.md5(body.cast("binary")).alias("key"))
+    copies = stored(keyed.groupBy("key").agg(F.count("*").alias("n")), "copies")
+    size = copies.count()
+    scan = stored(counted(keyed, width), "scan")
+    copied = keyed.join(copies.where(F.col("n") > 1), "key").groupBy("key", "n").agg(F.first("_body").alias("_body"))
+    terms = (
+        scan.where(F.col("term").isNotNull()).select("term", "df")
+        .unionByName(surplus(copied.select("_body", "n")))
+        .groupBy("term").agg(F.sum("df").alias("df"))
+    )
+    once = scan.where(F.col("key").isNotNull()).dropDuplicates(["key"])
+    entity = once.select(F.explode(F.concat("entities", "kinds")).alias("entity")).groupBy("entity").agg(F.count("*").alias("de"))
+    entity = stored(entity.where((F.col("de") >= support) & (F.col("de") < size)), "entities")
+    held = once.select("key", "terms", F.explode("entities").alias("entity")).join(entity.select("entity"), "entity", "left_semi")
+    pairs = held.select("entity", F.explode("terms").alias("term")).unionByName(once.select(F.inline("near")))
+    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= support)
+    rated = joint.join(entity, "entity").join(terms, "term")
+    disclosure = F.log(size * F.col("joint") / (F.greatest("df", "joint") * F.col("de"))) / F.log(F.lit(size) / F.col("de"))
+    return stored(rated.where(disclosure >= threshold).select("term").distinct(), "revealing")
+
+
+#: Terms are first looked up in so many bits, a fixed size, and then joined.
+BITS = 1 << 20
+
+
+def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: set[int]) -> DataFrame:
+    """One pass over the texts: a row per document with its spans and the places of terms that may be revealing.
+
+    With ``hits`` documents with neither get no row.
+    """
+    given = with_row_id(docs.select(*columns, F.col(text).alias("_body")))
+    left = given.drop("_body")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
+    schema = f"{kinds}, spans array<struct<kind: string, start: int, end: int>>, near array<struct<term: string, start: int, end: int>>"
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for *own, body, row in rows:
+            spans = base_spans(body or "")
+            near = likely(body or "", spans, bits)
+            if spans or near or not hits:
+                yield *own, row, spans, near
 
     return mapped(given, run, schema)
 
 
+def likely(text: str, spans: list[tuple[str, int, int]], bits: set[int]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words outside the spans whose bit is set."""
+    if not bits:
+        return []
+    some = {w for w in set(WORD.findall(text)) if zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) % BITS in bits}
+    if not some:
+        return []
+    found_here = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text) if m.group() in some]
+    return [x for x in found_here if not any(a < x[2] and x[1] < b for _, a, b in spans)]
+
+
+def bits_of(terms: DataFrame) -> set[int]:
+    """The set bits, at most BITS."""
+    return {row["bit"] for row in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("bit")).distinct().collect()}
+
+
 def found(
     docs: DataFrame,
     columns: list[str],
@@ -165,28 +245,21 @@ def found(
     support: int = 3,
     threshold: float = 0.7,
     hits: bool = False,
+    revealing: DataFrame | None = None,
 ) -> DataFrame:
     """``columns`` with ``spans``: array of (kind, start, end), patterns first, then revealing terms.
 
-    With ``hits`` only documents that have a span; others have no term either.
+    With ``hits`` only documents that may have a span: one of a pattern, or a term whose bit is set.
 
     ``columns`` may hold the text itself; they must not be called ``_row``,
-    ``spans``, ``near``, ``term`` or ``df``.
+    ``spans``, ``near`` or ``more``.
     """
-    scan = stored(scanned(docs, columns, text, width, hits), "scan")
-    places = scan.where(F.col("_row").isNotNull()).drop("term", "df")
-    size = docs.count() if hits else places.count()
-    near = places.where(F.size("near") > 0).select("_row", F.explode("near").alias("x")).select("_row", "x.*")
-    # Documents with different context texts, not copies, are evidence.
-    once = near.select("entity", "term", "context").distinct()
-    joint = once.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= support)
-    entity = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("de"))
-    terms = scan.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df"))
-    rated = joint.join(entity, "entity").join(terms, "term")
-    disclosure = F.log(size * F.col("joint") / (F.greatest("df", "joint") * F.col("de"))) / F.log(F.lit(size) / F.col("de"))
-    revealing = rated.where((F.col("de") < size) & (disclosure >= threshold)).select("entity", "term")
+    if revealing is None:
+        revealing = revealing_terms(docs, text, width, support, threshold)
+    places = stored(scanned(docs, columns, text, hits, bits_of(revealing)), "places")
+    near = places.where(F.size("near") > 0).select("_row", F.inline("near"))
     added = (
-        near.join(revealing, ["entity", "term"])
+        near.join(revealing, "term")
         .groupBy("_row")
         .agg(F.sort_array(F.collect_set(F.struct(F.lit(TERM).alias("kind"), "start", "end"))).alias("more"))
     )
@@ -230,7 +303,9 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [f"c{k}" for k in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
     plain = docs.toDF(*names)
-    spans = found(plain, names, body, hits=True)
+    revealing = revealing_terms(plain, body, 5, 3, 0.7)
+    bits = bits_of(revealing)
+    spans = found(plain, names, body, hits=True, revealing=revealing)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.toDF(*names).schema)
     place = names.index(body)
 
@@ -240,7 +315,10 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
             yield tuple(own)
 
     def untouched(rows: Iterator[tuple]) -> Iterator[tuple]:
-        return (row for row in rows if not base_spans(row[place] or ""))
+        for row in rows:
+            spans = base_spans(row[place] or "")
+            if not spans and not likely(row[place] or "", spans, bits):
+                yield row
 
     # Most texts have no span: they pass straight through, and only the others are written and joined.
     return mapped(plain, untouched, kinds).unionByName(mapped(spans, run, kinds)).toDF(*docs.columns)

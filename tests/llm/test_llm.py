@@ -521,6 +521,19 @@ def test_revealing_terms(spark):
     assert "[email]" in clean[300] and "Tinsworth" not in clean[300] and clean[5] == body[5]
 
 
+def test_copies_hide_no_revealing_term(spark):
+    """One of six texts copied 200 times: the term is still found, in the copies too."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    rows = [(k, " ".join(word() for _ in range(30))) for k in range(300)]
+    rows += [(300 + k, f"{word()} Tinsworth is reached at jo@mail.example.com {word()}") for k in range(6)]
+    rows += [(400 + k, rows[300][1]) for k in range(200)]
+    got = {r.doc_id: r for r in pii.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    body = dict(rows)
+    for k in [*range(300, 306), *range(400, 600)]:
+        assert "Tinsworth" in {body[k][int(a) : int(b)] for kind, a, b in (s.split(":") for s in got[k].spans.split(",")) if kind == "term"}
+
+
 def test_sanitised_keeps_columns(odd):
     clash = odd.withColumnsRenamed({"lang": "spans", "source": "_row"})
     out = pii.sanitised(clash)
