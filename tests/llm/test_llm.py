@@ -534,6 +534,21 @@ def test_copies_hide_no_revealing_term(spark):
         assert "Tinsworth" in {body[k][int(a) : int(b)] for kind, a, b in (s.split(":") for s in got[k].spans.split(",")) if kind == "term"}
 
 
+def test_revealing_terms_far_from_the_value(spark):
+    """A name in the heading and an address at the end: found, and replaced in texts without the address too."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows = [(k, some(30)) for k in range(300)]
+    rows += [(300 + k, f"Tinsworth {some(40)} jo@mail.example.com {some(20)} Tinsworth") for k in range(6)]
+    rows += [(400, f"{some(5)} tinsworth {some(5)}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(table).collect()}
+    assert len(clean) == len(rows) and not any("tinsworth" in t.lower() for t in clean.values())
+    assert all(clean[k] == t for k, t in rows[:300])
+    assert pii.digests(table).where("n_term > 0").count() == 7
+
+
 def test_sanitised_keeps_columns(odd):
     clash = odd.withColumnsRenamed({"lang": "spans", "source": "_row"})
     out = pii.sanitised(clash)
