@@ -180,7 +180,9 @@ def revealing_terms(docs: DataFrame, text: str, width: int, support: int, thresh
     copies = stored(keyed.groupBy("key").agg(F.count("*").alias("n")), "copies")
     size = copies.count()
     scan = stored(counted(keyed, width), "scan")
-    copied = keyed.join(copies.where(F.col("n") > 1), "key").groupBy("key", "n").agg(F.first("_body").alias("_body"))
+    # Stored by itself, so that its true size is known: as long as it is small, the texts are not dealt out for it.
+    twice = stored(copies.where(F.col("n") > 1), "twice")
+    copied = keyed.join(twice, "key").groupBy("key", "n").agg(F.first("_body").alias("_body"))
     terms = (
         scan.where(F.col("term").isNotNull()).select("term", "df")
         .unionByName(surplus(copied.select("_body", "n")))
