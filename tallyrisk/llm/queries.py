@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, interleave, language, leaks, licence, minhash, pii, recompress, rules, weaklabels
+from tallyrisk.llm import bpe, chat, divergence, interleave, language, leaks, licence, minhash, pii, recompress, rules, trie, weaklabels
 from tallyrisk.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,85 @@ def op10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weaklabels.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(given.unionByName(planted))
+
+
+@query
+def op12_count_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.digests(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_reply_trees"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, k, ['user', 'assistant'][k + 1], '\### Assistant: </turn> ok' FROM range(2) AS t(k)
+)
+SELECT
+    conv_id,
+    count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length(role) + length(text) + length('<turn ></turn>') + 1
+        + len(regexp_extract_all(text, '\\|</?turn')) + len(regexp_extract_all(role, '\\|</?turn|>')))::BIGINT AS formatted_chars
+FROM turns
+GROUP BY conv_id
+"""
+
+ORACLE["op12_count_bitmaps"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+    FROM documents
+),
+tokens AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+),
+kept AS (
+    SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+),
+counts AS (
+    SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS tokens FROM kept GROUP BY lang),
+sizes AS (SELECT lang, source, sum(n) AS tokens FROM counts GROUP BY lang, source),
+groups AS (
+    SELECT lang, source, coalesce(s.tokens, 0)::HUGEINT AS n, coalesce(v, 0)::HUGEINT AS v, coalesce(l.tokens, 0)::HUGEINT AS whole
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN sizes AS s USING (lang, source) LEFT JOIN langs AS l USING (lang)
+),
+cells AS (
+    SELECT lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + g.v) AS p,
+        1 + 1000000000::HUGEINT * (k.total + 1) // (g.whole + g.v) AS q
+    FROM groups AS g JOIN kept AS k USING (lang) LEFT JOIN counts AS c USING (lang, source, term)
+),
+met AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM cells AS a JOIN cells AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+),
+rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0) AS value
+    FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN met AS m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM cells WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM rows
+QUALIFY part = 'pair' OR rank <= 200
+"""
