@@ -156,3 +156,38 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM rows
 QUALIFY part = 'pair' OR rank <= 200
 """
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id AS c, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS said,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT c, list(said ORDER BY k) AS said FROM turns GROUP BY c),
+seeds AS (
+    SELECT c, said, c - c % 100 AS base, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, flatten([[ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(c::VARCHAR, '')])),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+    ), 4294967295) % 6 AS h
+    FROM own
+),
+rebuilt AS (
+    SELECT s.c, list_concat(coalesce(b.said[1:s.h], []), s.said[s.h + 1:]) AS said FROM seeds AS s LEFT JOIN own AS b ON b.c = s.base
+),
+members AS (SELECT c, said[1:d] AS path, len(said) = d AS last FROM rebuilt, range(0, len(said) + 1) AS t(d)),
+nodes AS (
+    SELECT path, len(path) AS depth, min(c) AS conv_id, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '') AS ends
+    FROM members GROUP BY path
+),
+families AS (
+    SELECT a.path, a.depth, a.conv_id, a.n, a.ends, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes AS k WHERE k.depth = a.depth + 1 AND k.path[1:a.depth] = a.path) AS n_children
+    FROM nodes AS a LEFT JOIN nodes AS p ON a.depth > 0 AND p.path = a.path[1:a.depth - 1]
+),
+below AS (
+    SELECT path[1:d] AS path, sum((n_children = 0)::INT) AS n_leaves, sum(CASE WHEN depth > 0 THEN (n - 1) * length(path[depth].text) ELSE 0 END) AS saved
+    FROM families, range(0, depth + 1) AS t(d) GROUP BY ALL
+)
+SELECT conv_id::BIGINT AS conv_id, depth::BIGINT AS depth, parent_conv_id::BIGINT AS parent_conv_id, n::BIGINT AS n_convs,
+    n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM families JOIN below USING (path)
+"""
