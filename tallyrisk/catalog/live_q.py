@@ -9,8 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from tallyrisk.catalog.features_q import AMOUNT_SQL, TEMPORAL_SQL
 from tallyrisk.catalog.inputs import event_stream, payloads, silver
 from tallyrisk.catalog.registry import query, rounded, rs, sql, text_ts, text_ts_sql
-from tallyrisk.models import classifier
+from tallyrisk.models import boosting
 from tallyrisk.models.isolation_forest import anomaly_table, fit_isolation_forest, score_isolation_forest
+from tallyrisk.plans.jobs import train_and_evaluate
 from tallyrisk.plans.scoring import assess
 from tallyrisk.plans.training import training_set
 from tallyrisk.session import shared_dir
@@ -113,8 +114,9 @@ def _(spark, sf):
     path = shared_dir(spark, "training")
     training_set(silver(spark, sf)).write.parquet(path)
     df = spark.read.parquet(path)
-    model = classifier.train_classifier(df, params={"trees": 5, "depth": 4})
-    return assess(classifier.score(df, model)).select(
+    saved = shared_dir(spark, "model")
+    train_and_evaluate(spark, df, saved, together=16)
+    return assess(boosting.score(df, boosting.load(spark, saved))).select(
         "transaction_id", "score", "risk_level", F.concat_ws("|", "top_risk_factors").alias("reasons"), "explanation"
     )
 
