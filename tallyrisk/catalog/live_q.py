@@ -16,6 +16,7 @@ from tallyrisk.plans.scoring import assess
 from tallyrisk.plans.training import training_set
 from tallyrisk.session import shared_dir
 from tallyrisk.streaming.ingest import Sinks, ingest
+from tallyrisk.streaming.live import ingest_live
 from tallyrisk.streaming.monitoring import rate_stream
 from tallyrisk.streaming.velocity import velocity_stream
 
@@ -86,6 +87,47 @@ def _(spark, sf):
     return _drain(spark, counted).select("transaction_id", *[f"customer_tx_count_{h}h" for h in (1, 6, 24)])
 
 
+def _count_sql(hours: int) -> str:
+    return f"""count(*) OVER (PARTITION BY customer_id ORDER BY s RANGE BETWEEN {hours * 3600} PRECEDING AND CURRENT ROW)"""
+
+
+@query(
+    "stream_ingest_velocity",
+    sql(
+        f"""SELECT transaction_id, customer_id, {text_ts_sql('transaction_ts')} AS ts,
+  {', '.join(f'{_count_sql(h)} AS customer_tx_count_{h}h' for h in (1, 6, 24))},
+  cast({_count_sql(24)} > 5 AS integer) AS busy_day, cast({_count_sql(1)} > 5 AS integer) AS is_velocity_spike,
+  {rs('(amount_usd - mean) / std')} AS amount_zscore
+  FROM (SELECT transaction_id, customer_id, merchant_category, amount AS amount_usd, transaction_ts // 1000 AS s,
+  make_timestamp(transaction_ts * 1000) AS transaction_ts FROM payloads
+  WHERE well_formed AND transaction_id IS NOT NULL)
+  JOIN (SELECT event_type AS merchant_category, avg(value) AS mean, stddev_samp(value) AS std FROM events GROUP BY 1)
+  USING (merchant_category)""",
+        "payloads",
+    ),
+)
+def _(spark, sf):
+    """The ingest job on all events as a stream: counts from keyed state, statistics per category from a table."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    sinks = Sinks(*[shared_dir(spark, name) for name in ("events", "latency", "rejects")])
+    stats = silver(spark, sf).groupBy("merchant_category").agg(F.mean("amount_usd").alias("mean"), F.stddev("amount_usd").alias("std"))
+    path = shared_dir(spark, "statistics")
+    stats.write.parquet(path)
+    raw = payloads(spark, sf, event_stream(spark, sf)).select("value")
+    statistics = spark.read.parquet(path)
+    _run(ingest_live(raw, sinks, shared_dir(spark, "checkpoint"), statistics=statistics, trigger=None, late="60 days"))
+    df = spark.read.parquet(sinks.events).select(
+        "transaction_id",
+        "customer_id",
+        text_ts("transaction_ts").alias("ts"),
+        *[f"customer_tx_count_{h}h" for h in (1, 6, 24)],
+        (F.col("customer_tx_count_24h") > 5).cast("int").alias("busy_day"),
+        "is_velocity_spike",
+        "amount_zscore",
+    )
+    return rounded(df, "amount_zscore")
+
+
 @query(
     "stream_windowed_rate",
     f"""SELECT {text_ts_sql('w')} AS window_start, count(*) AS n, {rs('count(*) / 3600.0')} AS per_second

@@ -110,22 +110,35 @@ def read_kafka_stream(
     return reader.options(**(extra or {})).load()
 
 
-def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON payloads to columns: (rows with an id, rejected payloads).
+def parse_rows(
+    raw: DataFrame, schema: StructType, value_col: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """JSON payloads to columns, with ``_payload`` and ``_reason``: null for rows that can be used.
 
-    Malformed JSON and events without ``transaction_id`` are rejected, with the
-    payload kept for a quarantine table.
+    Malformed JSON and events without ``transaction_id`` have a reason.
+    ``keep`` names further columns of ``raw`` to pass on.
     """
     corrupt, payload = "_corrupt", F.col(value_col).cast("string")
     with_corrupt = StructType(list(schema.fields)).add(corrupt, "string")
     struct = F.from_json(payload, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     # A generator, unlike a projection, parses once whatever is asked of the fields.
-    parsed = raw.select(payload.alias("_payload"), F.inline(F.array(struct)))
+    parsed = raw.select(payload.alias("_payload"), *keep, F.inline(F.array(struct)))
     malformed = F.col(corrupt).isNotNull() | F.col("_payload").isNull()
-    usable = ~malformed & F.col("transaction_id").isNotNull()
-    good = parsed.filter(usable).drop("_payload", corrupt)
-    bad = parsed.filter(~usable).select(
-        F.col("_payload").alias("payload"),
-        F.when(malformed, "malformed").otherwise("transaction_id missing").alias("reason"),
-    )
-    return good, bad
+    reason = F.when(malformed, "malformed").when(F.col("transaction_id").isNull(), "transaction_id missing")
+    return parsed.withColumn("_reason", reason).drop(corrupt)
+
+
+def split_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows as (usable rows, rejected payloads with their reason)."""
+    good = parsed.filter(F.col("_reason").isNull()).drop("_payload", "_reason")
+    bad = parsed.filter(F.col("_reason").isNotNull())
+    return good, bad.select(F.col("_payload").alias("payload"), F.col("_reason").alias("reason"))
+
+
+def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """JSON payloads to columns: (rows with an id, rejected payloads).
+
+    Malformed JSON and events without ``transaction_id`` are rejected, with the
+    payload kept for a quarantine table.
+    """
+    return split_rows(parse_rows(raw, schema, value_col))

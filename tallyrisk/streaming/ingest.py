@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tallyrisk.functions.timestamps import from_epoch_ms
 from tallyrisk.plans.gold import stream_transforms
 from tallyrisk.schemas import STREAM_EVENT
-from tallyrisk.sources.readers import parse_events
+from tallyrisk.sources.readers import parse_rows, split_rows
 
 TRIGGER = "10 seconds"
 
@@ -31,12 +31,22 @@ def enrich_events(
     mean: float | Column = 100.0,
     std: float | Column = 200.0,
     history: DataFrame | None = None,
+    statistics: DataFrame | None = None,
 ) -> DataFrame:
-    """Parsed events with decoded time and the stream-safe features.  Batch or stream."""
+    """Parsed events with decoded time and the stream-safe features.  Batch or stream.
+
+    ``statistics`` has merchant_category (unique), mean and std; a category that it
+    lacks, or one without values, goes by ``mean`` and ``std``.
+    """
+    if statistics is not None:
+        given = statistics.select("merchant_category", F.col("mean").alias("_mean"), F.col("std").alias("_std"))
+        events = events.join(given, "merchant_category", "left").select(*events.columns, "_mean", "_std")
+        mean = F.coalesce("_mean", mean if isinstance(mean, Column) else F.lit(float(mean)))
+        std = F.coalesce("_std", std if isinstance(std, Column) else F.lit(float(std)))
     named = events.withColumn("transaction_ts", from_epoch_ms(F.col("transaction_ts"))).withColumnRenamed(
         "amount", "amount_usd"
     )
-    return stream_transforms(named, mean, std, history=history)
+    return stream_transforms(named, mean, std, history=history).drop("_mean", "_std")
 
 
 def latency_ms(now: Column) -> Column:
@@ -59,23 +69,28 @@ def fan_out(
     std: float = 200.0,
     history: DataFrame | None = None,
     now: Callable[[], Column] = F.current_timestamp,
+    statistics: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
-    """The micro-batch function: three sinks from one parsed, persisted batch."""
+    """The micro-batch function: three sinks from one parsed, persisted batch.
+
+    ``keep`` names columns of the batch, beside the payload, that the events get.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        raw = batch.select("value").persist()
+        parsed = parse_rows(batch, STREAM_EVENT, keep=keep).persist()
         try:
-            events, rejects = parse_events(raw, STREAM_EVENT)
+            events, rejects = split_rows(parsed)
             at = now()
-            enriched = enrich_events(events, mean, std, history)
+            enriched = enrich_events(events, mean, std, history, statistics)
             write_batch(enriched.drop("producer_ts"), sinks.events, batch_id)
             timing = events.select(latency_ms(at).alias("latency_ms"), at.alias("recorded_at"))
             write_batch(timing, sinks.latency, batch_id)
             write_batch(rejects, sinks.rejects, batch_id)
         finally:
-            raw.unpersist()
+            parsed.unpersist()
 
     return process
 
