@@ -15,6 +15,7 @@ from tallyrisk.catalog.inputs import as_of, scored, silver, table
 from tallyrisk.catalog.registry import cte, query, rounded, rs, sql, text_ts, text_ts_sql
 from tallyrisk.functions import risk
 from tallyrisk.operators.asof import asof_join
+from tallyrisk.operators.rolling import rolling
 from tallyrisk.plans import feature_store as store
 from tallyrisk.plans import gold, scoring
 from tallyrisk.session import shared_dir
@@ -219,6 +220,12 @@ def _snapshots(spark, sf, entity: str, every: int):
     )
 
 
+def _spine(df):
+    """Labelled transactions, to be looked up an hour later."""
+    later = (F.col("transaction_ts") + F.expr("INTERVAL 1 HOUR")).alias("event_ts")
+    return df.filter(F.col("is_fraud").isNotNull()).select("transaction_id", "customer_id", "merchant_id", "is_fraud", later)
+
+
 _HIST = store.FeatureService(
     "history",
     {
@@ -254,24 +261,83 @@ def _ttl(alias: str, column: str, seconds: int) -> str:
 )
 def _(spark, sf):
     df = silver(spark, sf)
-    labels = gold.fraud_labels(df, as_of()).join(df.select("transaction_id", "merchant_id"), "transaction_id")
-    spine = labels.select(
-        "transaction_id",
-        "customer_id",
-        "merchant_id",
-        "is_fraud",
-        (F.col("transaction_ts") + F.expr("INTERVAL 1 HOUR")).alias("event_ts"),
-    )
+    spine = _spine(df)
     tables = {
         "customer_features": _snapshots(spark, sf, "customer_id", 3),
         "merchant_features": _snapshots(spark, sf, "merchant_id", 9),
         "transaction_features": gold.stream_transforms(df),
     }
-    out = store.historical_features(spine, _HIST, tables)
+    out = store.historical_features(spine, _HIST, tables, row_id="transaction_id")
     rates = [_CNAMES["fraud_rate_30d"], _MNAMES["fraud_rate_30d"], "amount_log1p"]
     return rounded(out, *rates).drop("customer_id", "merchant_id", "event_ts")
 
 
+def _daily(df, key: str, rolled, view: store.FeatureView):
+    """A feature table that grows by a row per entity and day: its last event's values, known from the next day."""
+    day = F.date_trunc("day", "transaction_ts")
+    rows = rolled.select(key, "transaction_ts", F.col("transaction_id").cast("long").alias("_e"), day.alias("_day"), *view.columns)
+    newest = F.max_by(F.struct(*view.columns), F.struct("transaction_ts", "_e"))
+    days = rows.groupBy(key, "_day").agg(newest.alias("_newest"))
+    return days.select(key, (F.col("_day") + F.expr("INTERVAL 1 DAY")).alias("feature_date"), "_newest.*")
+
+
+_TRAIN_NAMES = store.output_names(store.TRAINING_SERVICE)
+
+
+def _train_sql(view: str, alias: str, ttl: int) -> str:
+    whole = {"amount_bucket", *[f.name for f in store.VIEWS[view].features if f.dataType.simpleString() in ("int", "bigint")]}
+    out = []
+    for c in store.VIEWS[view].columns:
+        value = _ttl(alias, c, ttl)
+        out.append(f"{value if c in whole else rs(value)} AS {_TRAIN_NAMES[view][c]}")
+    return ", ".join(out)
+
+
+for _key, _roll in (("customer_id", "customer_roll"), ("merchant_id", "merchant_roll")):
+    cte(
+        f"daily_{_key}",
+        f"""SELECT *, date_trunc('day', transaction_ts) + INTERVAL 1 DAY AS at FROM {_roll} WHERE {_key} IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {_key}, date_trunc('day', transaction_ts) ORDER BY transaction_ts DESC, event_id DESC) = 1""",
+        (_roll,),
+    )
+
+
+@query(
+    "training_service_features",
+    sql(
+        f"""SELECT s.transaction_id, s.is_fraud, {_train_sql('customer_features', 'c', 7 * 86400)},
+  {_train_sql('merchant_features', 'm', 7 * 86400)}, {_train_sql('transaction_features', 't', 86400)}
+  FROM (SELECT *, transaction_ts + INTERVAL 1 HOUR AS event_ts FROM silver WHERE is_fraud IS NOT NULL) s
+  ASOF LEFT JOIN daily_customer_id c ON s.customer_id = c.customer_id AND s.event_ts >= c.at
+  ASOF LEFT JOIN daily_merchant_id m ON s.merchant_id = m.merchant_id AND s.event_ts >= m.at
+  LEFT JOIN (SELECT *, transaction_ts AS at FROM tx_feat) t ON s.transaction_id = t.transaction_id""",
+        "silver",
+        "daily_customer_id",
+        "daily_merchant_id",
+        "tx_feat",
+    ),
+)
+def _(spark, sf):
+    """All 32 columns of the training service, from feature tables with a row per entity and day."""
+    df = silver(spark, sf)
+    profile = gold.with_time_profile(df)
+    customers = rolling(profile, "customer_id", "transaction_ts", gold.CUSTOMER_ROLLING)
+    merchants = rolling(df, "merchant_id", "transaction_ts", gold.MERCHANT_ROLLING)
+    tables = {
+        "customer_features": _daily(df, "customer_id", customers, store.CUSTOMER_VIEW),
+        "merchant_features": _daily(df, "merchant_id", merchants, store.MERCHANT_VIEW),
+        "transaction_features": gold.transaction_features(df, as_of()),
+    }
+    out = store.historical_features(_spine(df), store.TRAINING_SERVICE, tables, row_id="transaction_id")
+    real = [
+        _TRAIN_NAMES[v.name][f.name]
+        for v in store.VIEWS.values()
+        for f in v.features
+        if f.dataType.simpleString() == "double"
+    ]
+    return rounded(out, *real).drop("customer_id", "merchant_id", "event_ts")
+
+
 # --- latest-value tables ----------------------------------------------------------------
 
 NOW = "2024-02-01 00:00:00"

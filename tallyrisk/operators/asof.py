@@ -9,8 +9,9 @@ carried over a table with one row per entity and slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_S = 900
@@ -86,3 +87,80 @@ def asof_join(
         *[F.col("_row")[c].alias(c) for c in left.columns],
         *[F.col("_hit")[c].alias(f"{prefix}{c}") for c in features],
     )
+
+
+@dataclass(frozen=True)
+class Side:
+    """A feature table of a many-table join: keys, time, features, time to live, tie columns, and a name of its own."""
+
+    name: str
+    table: DataFrame
+    by: tuple[str, ...]
+    ts: str
+    features: tuple[str, ...]
+    ttl_s: int | None = None
+    tie: tuple[str, ...] = ()
+
+
+def asof_many(left: DataFrame, row_id: str, left_ts: str, sides: Sequence[Side], slice_s: int = SLICE_S) -> DataFrame:
+    """Every left row with one struct column per side: its newest row as of the left time, or null.
+
+    Feature names are unique across sides by the struct they are in.  ``row_id``
+    is unique in ``left``.  Only (keys, time, row id) of the left rows meet the
+    features: tables with the same keys share one union and one window, and the
+    wide left rows move once, to be joined by row id.  Left rows without a time
+    or a key find nothing and take no part.
+    """
+    hits = None
+    for by in dict.fromkeys(side.by for side in sides):
+        found = _hits(left, row_id, left_ts, by, [s for s in sides if s.by == by], slice_s)
+        hits = found if hits is None else hits.unionByName(found, allowMissingColumns=True)
+    merged = hits.groupBy("_id").agg(*[F.first(s.name, ignorenulls=True).alias(s.name) for s in sides])
+    return left.join(merged, F.col(row_id) == F.col("_id"), "left").drop("_id")
+
+
+def _hits(left: DataFrame, row_id: str, left_ts: str, by: Sequence[str], sides: Sequence[Side], slice_s: int) -> DataFrame:
+    """_id and a struct per side, for left rows that have a key and a time and find something."""
+    micros = lambda name: F.unix_micros(F.col(name).cast("timestamp"))
+    keys = [f"_k{n}" for n in range(len(by))]
+
+    def placed(df: DataFrame, ts: str, *more: Column) -> DataFrame:
+        for c in (*by, ts):
+            df = df.filter(F.col(c).isNotNull())
+        slices = F.floor(micros(ts) / (slice_s * 1_000_000)).cast("long")
+        return df.select(*[F.col(c).alias(k) for k, c in zip(keys, by)], slices.alias("_slice"), micros(ts).alias("_at"), *more)
+
+    rows = placed(left, left_ts, F.col(row_id).alias("_id"))
+    facts, ties = None, [f"_tie{n}" for n in range(len(sides))]
+    for side, tie in zip(sides, ties):
+        fact = F.struct(micros(side.ts).alias("_at"), *side.features).alias(side.name)
+        rank = F.struct(*side.tie) if side.tie else F.struct(F.lit(0).alias("none"))
+        part = placed(side.table, side.ts, fact, rank.alias(tie))
+        facts = part if facts is None else facts.unionByName(part, allowMissingColumns=True)
+
+    names = [s.name for s in sides]
+    newest = facts.groupBy(*keys, "_slice").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_at", t))).alias(n) for n, t in zip(names, ties)]
+    )
+    wanted = rows.select(*keys, "_slice").distinct().withColumn("_wanted", F.lit(True))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    carried = (
+        newest.unionByName(wanted, allowMissingColumns=True)
+        .select(*keys, "_slice", "_wanted", *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names])
+        .filter(F.col("_wanted"))
+        .drop("_wanted")
+    )
+
+    # What is carried has no time and sorts first; features sort before left rows of the same time.
+    both = rows.unionByName(facts, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy(F.col("_at").asc_nulls_first(), F.col("_id").isNotNull(), *[F.col(t).asc_nulls_first() for t in ties])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = both.select("_id", "_at", *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in names])
+    fresh = [
+        F.col(s.name) if s.ttl_s is None else F.when(F.col("_at") - F.col(s.name)["_at"] <= s.ttl_s * 1_000_000, F.col(s.name)).alias(s.name)
+        for s in sides
+    ]
+    return found.filter(F.col("_id").isNotNull()).select("_id", *fresh)

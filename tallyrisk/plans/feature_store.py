@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyrisk.operators.asof import asof_join
+from tallyrisk.operators.asof import Side, asof_many
 from tallyrisk.schemas import CUSTOMER_FEATURES, MERCHANT_FEATURES, TRANSACTION_FEATURES
+from tallyrisk.session import shared_dir
 from tallyrisk.sources.job_metrics import read_metrics, record_metrics
 from tallyrisk.sources.readers import path_exists
 from tallyrisk.sources.writers import upsert
@@ -116,23 +117,29 @@ def historical_features(
     tables: Mapping[str, DataFrame],
     spine_ts: str = "event_ts",
     views: Mapping[str, FeatureView] = VIEWS,
+    row_id: str | None = None,
 ) -> DataFrame:
-    """The spine rows with each view's features as they were known at the row's time."""
-    out = spine
+    """The spine rows with each view's features as they were known at the row's time.
+
+    All views are looked up in one pass for each key, with narrow rows; see
+    ``asof_many``.  ``row_id`` names a column that is unique in the spine; without
+    one the spine is written once to the shared folder, with ids.
+    """
+    columns, key = spine.columns, row_id
+    if key is None:
+        key = "_spine_row"
+        path = shared_dir(spine.sparkSession, "spine")
+        spine.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
+        spine = spine.sparkSession.read.parquet(path)
+    sides = []
+    for name, wanted in service.columns.items():
+        view = views[name]
+        table = tables[name].select(view.key, F.col(view.ts).alias("_feature_ts"), *wanted)
+        sides.append(Side(f"_view_{name}", table, (view.key,), "_feature_ts", tuple(wanted), view.ttl_s))
+    found = asof_many(spine, key, spine_ts, sides)
     names = output_names(service)
-    for view_name, columns in service.columns.items():
-        view = views[view_name]
-        # Time columns may be shared with the spine, so features travel under their output names.
-        side = tables[view_name].select(
-            view.key,
-            F.col(view.ts).alias("_feature_ts"),
-            *[F.col(c).alias(names[view_name][c]) for c in columns],
-        )
-        out = asof_join(
-            out, side, [view.key], spine_ts, "_feature_ts",
-            features=list(names[view_name].values()), ttl_s=view.ttl_s,
-        )
-    return out
+    out = [F.col(f"_view_{v}")[c].alias(names[v][c]) for v, wanted in service.columns.items() for c in wanted]
+    return found.select(*columns, *out)
 
 
 def latest_rows(source: DataFrame, key: str, ts: str, tie: Sequence[str] = ()) -> DataFrame:

@@ -59,7 +59,7 @@ def test_counts_equal_the_batch_window(spark, tmp_path):
     assert got["n"][:3] == got["t"][:3] == (0, 0, 0)
     assert {k for k, v in got.items() if v[3]} == {k for k, v in want.items() if v[0] > 5} != set()
     rejects = [r["reason"] for r in spark.read.parquet(sinks.rejects).collect()]
-    assert sorted(rejects) == ["malformed", "transaction_id missing"]
+    assert sorted(rejects) == ["malformed", "transaction_id missing", "transaction_id missing"]
 
 
 def test_rows_out_of_order_see_what_has_come(spark, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyrisk.functions import events, risk, timestamps
 from tallyrisk.operators import cleaning, ordering, quality, ranking, reports, sampling
-from tallyrisk.operators.asof import asof_join
+from tallyrisk.operators.asof import Side, asof_join, asof_many
 from tallyrisk.plans import gold, scoring
 
 START = datetime(2024, 1, 14, tzinfo=timezone.utc)  # A Sunday.
@@ -167,6 +167,57 @@ def test_asof_window_is_cut_in_time(spark):
     assert row_windows and all("_slice" in line.rsplit("[", 2)[1] for line in row_windows)
 
 
+def _many_sides(spark, tables, ttl):
+    a, b, c = tables
+    return [
+        Side("first", a, ("k",), "ts", ("rid", "v"), ttl, ("rid",)),
+        Side("second", b, ("k",), "ts", ("rid", "v"), None, ("v", "rid")),
+        Side("third", c, ("k", "other"), "ts", ("v",), 3600),
+    ]
+
+
+@pytest.mark.parametrize("ttl", [None, 600])
+def test_asof_of_many_tables_equals_one_after_the_other(spark, ttl):
+    rnd = random.Random(11)
+
+    def rows(n):
+        when = lambda: START + timedelta(seconds=rnd.choice([rnd.randrange(20_000), 900 * rnd.randrange(20)]))
+        keys = ["hot"] * 5 + ["a", None]
+        return [(i, rnd.choice(keys), rnd.choice([None, when(), when(), when()]), rnd.choice([None, 1.5, 2.0]), rnd.choice("xy")) for i in range(n)]
+
+    frame = lambda n, id: spark.createDataFrame(rows(n), f"{id} int, k string, ts timestamp, v double, other string")
+    left, tables = frame(200, "id"), [frame(150, "rid"), frame(90, "rid"), frame(60, "rid").dropDuplicates(["k", "other", "ts"])]
+    sides = _many_sides(spark, tables, ttl)
+    got = asof_many(left, "id", "ts", sides)
+    want = left
+    for s in sides:
+        want = asof_join(want, s.table, s.by, "ts", "ts", list(s.features), s.ttl_s, f"{s.name}_", s.tie)
+    flat = got.select(*left.columns, *[F.col(s.name)[c].alias(f"{s.name}_{c}") for s in sides for c in s.features])
+    assert flat.columns == want.columns and flat.count() == 200
+    assert sorted(map(str, flat.collect())) == sorted(map(str, want.collect()))
+    assert asof_many(left.limit(0), "id", "ts", sides).count() == 0
+    alone = asof_many(left, "id", "ts", [Side(s.name, s.table.limit(0), s.by, s.ts, s.features) for s in sides])
+    assert alone.count() == alone.where("first IS NULL AND second IS NULL AND third IS NULL").count() == 200
+
+
+def test_asof_of_many_tables_moves_wide_rows_once(spark):
+    df = spark.range(10).selectExpr("'hot' k", "'x' other", "timestamp_seconds(id) ts", "id v", "id rid")
+    left = spark.range(10).selectExpr("id", "'hot' k", "'x' other", "timestamp_seconds(id) ts", "repeat('wide', 9) wide")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = asof_many(left, "id", "ts", _many_sides(spark, [df, df, df], 60))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = []
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning(" in line:
+            exchanges.append(line.split("hashpartitioning(")[1].split("#")[0])
+    # Per set of keys one exchange by slice; wide rows and hits meet by row id.
+    assert sum(e.startswith("id") for e in exchanges) == 1
+    windows = [line for line in plan.splitlines() if "Window [" in line and "_slice" in line.rsplit("[", 2)[1]]
+    assert len(windows) == 2
+
+
 # --- global order ------------------------------------------------------------------
 
 
