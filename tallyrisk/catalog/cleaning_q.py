@@ -21,6 +21,7 @@ from tallyrisk.plans.gold import fraud_labels
 from tallyrisk.plans.scoring import flagged_only
 from tallyrisk.schemas import STREAM_EVENT
 from tallyrisk.session import shared_dir
+from tallyrisk.sources import buckets as writers_b
 from tallyrisk.sources import job_metrics, readers, writers
 
 #: Medians as exact as the given tables need; the sketch keeps all their values.
@@ -129,6 +130,64 @@ def _(spark, sf):
     )
 
 
+@query(
+    "upsert_buckets",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 300 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 300 = 0 AND o_orderkey % 7 <> 1) AS updated,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 300 = 0 AND o_orderkey % 7 = 1) AS inserted, true AS rest_untouched
+  FROM orders WHERE o_orderkey % 7 <> 1 OR o_orderkey % 300 = 0""",
+)
+def _(spark, sf):
+    """A table in buckets, then a small change to it; only buckets of changed keys are of the new version."""
+    path = shared_dir(spark, "buckets")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    writers_b.upsert_buckets(spark, orders.filter(key % 7 != 1), path, ["o_orderkey"], 256)
+    changed = orders.filter(key % 300 == 0).withColumn("o_totalprice", price + 1)
+    counts = writers_b.upsert_buckets(spark, changed, path, ["o_orderkey"])
+    named = changed.select(writers_b.bucket_of(["o_orderkey"], 256).alias("b")).distinct().collect()
+    now = writers_b.version(spark, path)["buckets"]
+    untouched = {int(b) for b, v in now.items() if v == 1} == {r["b"] for r in named}
+    return writers_b.read_buckets(spark, path).withColumns(
+        {
+            "updated": F.lit(counts["rows_updated"]).cast("long"),
+            "inserted": F.lit(counts["rows_inserted"]).cast("long"),
+            "rest_untouched": F.lit(untouched),
+        }
+    )
+
+
+_CLUSTERED = ["user_id", "ts"]
+
+
+def _clustered(spark, sf):
+    small, large = shared_dir(spark, "small"), shared_dir(spark, "large")
+    table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).repartition(8, "event_id").write.parquet(small)
+    writers.cluster(spark, small, large, _CLUSTERED, files=64)
+    return spark.read.parquet(large)
+
+
+@query("cluster_roundtrip", f"SELECT event_id, user_id, event_type, value, {text_ts_sql('ts')} AS ts FROM events")
+def _(spark, sf):
+    return _clustered(spark, sf).select("event_id", "user_id", "event_type", "value", text_ts("ts").alias("ts"))
+
+
+@query("cluster_skips_files", "SELECT unnest(['user_id', 'ts']) AS filtered, true AS half_skipped")
+def _(spark, sf):
+    """For a filter on one value of a column: whether on average over all rows at least half of the files can be skipped."""
+    df = _clustered(spark, sf).withColumn("file", F.input_file_name())
+    ends = df.groupBy("file").agg(*[f(c).alias(f"{n}_{c}") for c in _CLUSTERED for n, f in (("lo", F.min), ("hi", F.max))])
+    out = None
+    for c in _CLUSTERED:
+        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        # 64 rows, one for each file.
+        met = values.join(F.broadcast(ends), F.col("value").between(F.col(f"lo_{c}"), F.col(f"hi_{c}")))
+        share = F.sum("n") / (ends.agg(F.count(F.lit(1))).scalar() * df.agg(F.count(F.lit(1))).scalar())
+        part = met.agg((share <= 0.5).alias("half_skipped")).select(F.lit(c).alias("filtered"), "half_skipped")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("compact_roundtrip", "SELECT event_id, user_id, event_type, value FROM events")
 def _(spark, sf):
     small, large = shared_dir(spark, "small"), shared_dir(spark, "large")

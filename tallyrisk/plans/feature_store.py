@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from tallyrisk.operators.asof import Side, asof_many
 from tallyrisk.schemas import CUSTOMER_FEATURES, MERCHANT_FEATURES, TRANSACTION_FEATURES
 from tallyrisk.session import shared_dir
+from tallyrisk.sources.buckets import upsert_buckets
 from tallyrisk.sources.job_metrics import read_metrics, record_metrics
 from tallyrisk.sources.readers import path_exists
 from tallyrisk.sources.writers import upsert
@@ -190,6 +191,20 @@ def materialize(
     return upsert(spark, changed, online_path, [view.key], out_path)
 
 
+def materialize_buckets(
+    spark: SparkSession,
+    view: FeatureView,
+    source: DataFrame,
+    path: str,
+    start: Column | None,
+    end: Column,
+    tie: Sequence[str] = (),
+    buckets: int = 64,
+) -> dict[str, object]:
+    """``materialize`` for a bucketed table: only buckets with a changed key are rewritten, in place of the whole table."""
+    return upsert_buckets(spark, changed_rows(source, view, start, end, tie), path, [view.key], buckets, newer=view.ts)
+
+
 def materialize_due(
     spark: SparkSession,
     view: FeatureView,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_table(
@@ -125,6 +126,61 @@ def compact(
     df.write.mode("overwrite").parquet(out_path)
 
 
+def quantile_edges(df: DataFrame, columns: Sequence[str], bits: int, sample: int = 20_000) -> dict[str, list]:
+    """2^bits - 1 cuts of each column, of any type that can be ordered, from about ``sample`` rows.
+
+    They only decide how a table is laid out.
+    """
+    share = min(1.0, sample / max(1, df.count()))
+    rows = df.select(*columns).sample(share, 7).limit(2 * sample).toPandas()
+    parts, edges = 1 << bits, {}
+    for c in columns:
+        values = sorted(rows[c].dropna())
+        edges[c] = sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else []
+    return edges
+
+
+def interleaved(columns: Sequence[str], edges: dict[str, list], schema: StructType, bits: int) -> Column:
+    """The bits of the columns' quantile ranks, taken in turn, as one number; null ranks first."""
+
+    def rank_of(c: str) -> Column:
+        cuts = F.array(*[F.lit(v).cast(schema[c].dataType) for v in edges[c]])
+        above = F.size(F.filter(cuts, lambda edge: edge <= F.col(c))) if edges[c] else F.lit(0)
+        # A column of few values has few cuts; its ranks still use the high bits.
+        spread = F.floor(above * (1 << bits) / (len(edges[c]) + 1))
+        return F.when(F.col(c).isNotNull(), spread).otherwise(0).cast("long")
+
+    z = F.lit(0).cast("long")
+    for j, c in enumerate(columns):
+        rank = rank_of(c)
+        for k in range(bits):
+            z = z + F.shiftleft(F.shiftright(rank, k).bitwiseAND(F.lit(1)), k * len(columns) + len(columns) - 1 - j)
+    return z
+
+
+def cluster(
+    spark: SparkSession,
+    path: str,
+    out_path: str,
+    columns: Sequence[str],
+    files: int | None = None,
+    file_bytes: int = 256 << 20,
+    bits: int = 6,
+) -> None:
+    """Rewrite a table so that a filter on any of the columns can skip most of its files.
+
+    Rows are dealt to files along a curve through the columns' quantile ranks, so
+    that a file covers a small box in all of them; a sort by one column after the
+    other would only help the first.  A row hash as the last range key spreads a
+    box that fills more than one file.
+    """
+    df = spark.read.parquet(path)
+    files = files or max(1, -(-stored_bytes(spark, path) // file_bytes))
+    z = interleaved(columns, quantile_edges(df, columns, bits), df.schema, bits)
+    dealt = df.withColumn("_z", z).repartitionByRange(files, "_z", F.xxhash64(*df.columns))
+    dealt.sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(out_path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Rows as JSON lines."""
     df.write.mode("overwrite").json(path)
