@@ -16,8 +16,8 @@ that occur with the entity in at least ``support`` distinct texts are spans as
 well, wherever they stand in any text.  For single occurrences there is no
 evidence, so they stay.
 
-``sanitised`` replaces entities by their kind, and revealing terms by a general
-word for their shape.
+``sanitised`` replaces entities by their kind, and revealing terms by the one
+general word ``[something]``.
 
 Defined results: a null or empty text has no spans; positions are code points,
 end exclusive; a pattern's matches do not overlap and failing ones are dropped
@@ -29,14 +29,15 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrisk.llm.text import mapped, stored, with_row_id
+from tallyrisk.llm.text import mapped, stored, utf8, with_row_id
 
 #: The kinds in their order, and their patterns.
 KINDS = {
@@ -113,14 +114,29 @@ def entity_of(kind: str, value: str) -> str:
 WORD = re.compile(r"[^\W\d_]{2,}")
 
 
-def near_kinds(text: str, spans: list[tuple[str, int, int]], width: int) -> set[tuple[int, str]]:
-    """(kind's hash, term) of words within ``width`` words of a span of that kind, outside all spans."""
-    inside = sorted((a, b) for _, a, b in spans)
+def free_words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words that touch no span, in order; one walk over words and spans."""
+    if not spans:
+        return [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+    ends, out, k = sorted((a, b) for _, a, b in spans), [], 0
+    reach = 0
+    for m in WORD.finditer(text):
+        while k < len(ends) and ends[k][0] < m.end():
+            reach = max(reach, ends[k][1])
+            k += 1
+        if m.start() >= reach:
+            out.append((m.group().lower(), m.start(), m.end()))
+    return out
+
+
+def near_kinds(spans: list[tuple[str, int, int]], words: list[tuple[str, int, int]], width: int) -> set[tuple[int, str]]:
+    """(kind's hash, term) of the ``width`` free words before and after each span of a kind."""
+    starts, ends = [w[1] for w in words], [w[2] for w in words]
     out = set()
     for kind, a, b in spans:
-        left, right = max(0, a - 40 * width), min(len(text), b + 40 * width)
-        near = [*list(WORD.finditer(text, left, a))[-width:], *list(WORD.finditer(text, b, right))[:width]]
-        out |= {(hashed(kind), m.group().lower()) for m in near if not any(x < m.end() and m.start() < y for x, y in inside)}
+        before, after = bisect_right(ends, a), bisect_left(starts, b)
+        near = [*words[max(0, before - width) : before], *words[after : after + width]]
+        out |= {(hashed(kind), w[0]) for w in near}
     return out
 
 
@@ -128,117 +144,117 @@ def hashed(entity: str) -> int:
     return xxhash.xxh3_64_intdigest(entity) >> 1
 
 
-def terms_of(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
-    """The words of a text outside its spans, in lower case."""
-    out, at = [], 0
-    for a, b in [*sorted((a, b) for _, a, b in spans), (len(text), len(text))]:
-        out += WORD.findall(text, at, a) if a > at else ()
-        at = max(at, b)
-    return {w.lower() for w in out}
+def key_of(body: str) -> bytes:
+    """What copies of a text share."""
+    return xxhash.xxh3_128_digest(utf8(body))
 
 
-def counted(keyed: DataFrame, width: int) -> DataFrame:
-    """One pass over the texts: rows (term, df), and per text with spans its key, values, kinds' terms and terms."""
-    schema = "key string, entities array<bigint>, kinds array<bigint>, near array<struct<entity: bigint, term: string>>, terms array<string>, term string, df bigint"
+def contexts(bodies: DataFrame, width: int) -> DataFrame:
+    """Per text with spans its key, values, kinds, the kinds' terms and all terms; copies within a task once."""
+    schema = "key binary, entities array<bigint>, kinds array<bigint>, near array<struct<entity: bigint, term: string>>, terms array<string>"
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        seen: Counter = Counter()
-        for body, key in rows:
-            body = body or ""
-            spans = base_spans(body)
-            words = terms_of(body, spans)
-            seen.update(words)
-            if spans:
-                values = sorted({hashed(entity_of(kind, body[a:b])) for kind, a, b in spans})
-                kinds = sorted({hashed(kind) for kind, _, _ in spans})
-                yield key, values, kinds, sorted(near_kinds(body, spans, width)), sorted(words), None, None
-            if len(seen) > 400_000:
-                for term, n in seen.items():
-                    yield *(None,) * 5, term, n
+        seen: set[bytes] = set()
+        for (body,) in rows:
+            spans = base_spans(body or "")
+            key = key_of(body) if spans else b""
+            if not spans or key in seen:
+                continue
+            if len(seen) > 100_000:
                 seen.clear()
-        for term, n in seen.items():
-            yield *(None,) * 5, term, n
-
-    return mapped(keyed, run, schema)
-
+            seen.add(key)
+            words = free_words(body, spans)
+            values = sorted({hashed(entity_of(kind, body[a:b])) for kind, a, b in spans})
+            kinds = sorted({hashed(kind) for kind, _, _ in spans})
+            yield key, values, kinds, sorted(near_kinds(spans, words, width)), sorted({w[0] for w in words})
 
-def surplus(copied: DataFrame) -> DataFrame:
-    """Rows (term, df) that take back what copies beyond the first have counted; ``copied`` has one row per copied text."""
+    return mapped(bodies, run, schema)
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for body, n in rows:
-            for term in terms_of(body or "", base_spans(body or "")):
-                yield term, 1 - n
-
-    return mapped(copied, run, "term string, df bigint")
 
+def candidates(docs: DataFrame, text: str, width: int, support: int, threshold: float) -> DataFrame:
+    """Pairs that may reveal: entity, term, joint, de and size (N).
 
-def revealing_terms(docs: DataFrame, text: str, width: int, support: int, threshold: float) -> DataFrame:
-    """The terms that reveal a value or a kind, from counts of distinct texts."""
+    A term's df is at least its number in texts with spans, and a pair reaches
+    the threshold only if df <= joint * (N / de)^(1 - threshold).  So pairs are
+    dropped by counts over the few texts with spans, and the words of all other
+    texts need not be counted; no text leaves its task.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(F.col(text).alias("_body"), F.md5(body.cast("binary")).alias("key"))
-    copies = stored(keyed.groupBy("key").agg(F.count("*").alias("n")), "copies")
-    size = copies.count()
-    scan = stored(counted(keyed, width), "scan")
-    # Stored by itself, so that its true size is known: as long as it is small, the texts are not dealt out for it.
-    twice = stored(copies.where(F.col("n") > 1), "twice")
-    copied = keyed.join(twice, "key").groupBy("key", "n").agg(F.first("_body").alias("_body"))
-    terms = (
-        scan.where(F.col("term").isNotNull()).select("term", "df")
-        .unionByName(surplus(copied.select("_body", "n")))
-        .groupBy("term").agg(F.sum("df").alias("df"))
-    )
-    once = scan.where(F.col("key").isNotNull()).dropDuplicates(["key"])
+    size = docs.select(F.xxhash64(body), F.xxhash64(F.lit(7), body)).distinct().count()
+    once = stored(contexts(docs.select(F.col(text).alias("_body")), width).dropDuplicates(["key"]), "contexts")
     entity = once.select(F.explode(F.concat("entities", "kinds")).alias("entity")).groupBy("entity").agg(F.count("*").alias("de"))
     entity = stored(entity.where((F.col("de") >= support) & (F.col("de") < size)), "entities")
-    held = once.select("key", "terms", F.explode("entities").alias("entity")).join(entity.select("entity"), "entity", "left_semi")
+    held = once.select("terms", F.explode("entities").alias("entity")).join(entity.select("entity"), "entity", "left_semi")
     pairs = held.select("entity", F.explode("terms").alias("term")).unionByName(once.select(F.inline("near")))
     joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= support)
-    rated = joint.join(entity, "entity").join(terms, "term")
-    disclosure = F.log(size * F.col("joint") / (F.greatest("df", "joint") * F.col("de"))) / F.log(F.lit(size) / F.col("de"))
-    return stored(rated.where(disclosure >= threshold).select("term").distinct(), "revealing")
+    least = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least"))
+    most = F.col("joint") * F.pow(F.lit(size) / F.col("de"), F.lit(1 - threshold)) * (1 + 1e-9)
+    rated = joint.join(entity, "entity").join(least, "term").where(F.col("least") <= most)
+    return stored(rated.select("entity", "term", "joint", "de", F.lit(size).alias("size")), "candidates")
+
+
+def revealing_terms(pairs: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
+    """The terms of candidate pairs whose disclosure reaches the threshold; df counts distinct texts in ``places``."""
+    found = places.select("key", F.explode("near.term").alias("term")).distinct()
+    df = found.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    disclosure = F.log(F.col("size") * F.col("joint") / (F.greatest("df", "joint") * F.col("de"))) / F.log(F.col("size") / F.col("de"))
+    return pairs.join(df, "term").where(disclosure >= threshold).select("term").distinct()
+
+
+#: Candidate terms are first looked up in bits, and then joined.  Their number follows that of the terms, up to 16 MB.
+FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 27
+
+
+def bits_of(terms: DataFrame) -> np.ndarray:
+    """A bit for the hash of each term, about 32 bits for each; empty without terms."""
+    n = terms.distinct().count()
+    if not n:
+        return np.zeros(0, np.uint8)
+    size = FEWEST_BITS
+    while size < min(32 * n, MOST_BITS):
+        size *= 2
+    place = F.crc32(F.col("term").cast("binary")) % size
+    # Set bits by byte: at most size / 8 rows, however many terms there are.
+    bit = F.expr("shiftleft(1, cast(crc32(cast(term as binary)) % 8 as int))")
+    rows = terms.select(F.shiftright(place, 3).alias("at"), bit.alias("bit"))
+    rows = rows.groupBy("at").agg(F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(size // 8, np.uint8)
+    out[rows["at"].to_numpy()] = rows["bit"].to_numpy()
+    return out
 
 
-#: Terms are first looked up in so many bits, a fixed size, and then joined.
-BITS = 1 << 20
+def likely(words: list[tuple[str, int, int]], bits: np.ndarray) -> list[tuple[str, int, int]]:
+    """The free words whose bit is set."""
+    if not len(bits):
+        return []
+    size, known = len(bits) * 8, {}
+    for w in {w[0] for w in words}:
+        place = zlib.crc32(w.encode("utf-8", "surrogatepass")) % size
+        known[w] = bits[place >> 3] >> (place & 7) & 1
+    return [w for w in words if known[w[0]]]
 
 
-def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: set[int]) -> DataFrame:
-    """One pass over the texts: a row per document with its spans and the places of terms that may be revealing.
+def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: np.ndarray) -> DataFrame:
+    """One pass over the texts: a row per document with its spans and the places of candidate terms.
 
     With ``hits`` documents with neither get no row.
     """
     given = with_row_id(docs.select(*columns, F.col(text).alias("_body")))
     left = given.drop("_body")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
-    schema = f"{kinds}, spans array<struct<kind: string, start: int, end: int>>, near array<struct<term: string, start: int, end: int>>"
+    schema = f"{kinds}, spans array<struct<kind: string, start: int, end: int>>, key binary, near array<struct<term: string, start: int, end: int>>"
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for *own, body, row in rows:
-            spans = base_spans(body or "")
-            near = likely(body or "", spans, bits)
+            body = body or ""
+            spans = base_spans(body)
+            near = likely(free_words(body, spans), bits) if len(bits) else []
             if spans or near or not hits:
-                yield *own, row, spans, near
+                yield *own, row, spans, key_of(body) if near else None, near
 
     return mapped(given, run, schema)
 
 
-def likely(text: str, spans: list[tuple[str, int, int]], bits: set[int]) -> list[tuple[str, int, int]]:
-    """(term, start, end) of the words outside the spans whose bit is set."""
-    if not bits:
-        return []
-    some = {w for w in set(WORD.findall(text)) if zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) % BITS in bits}
-    if not some:
-        return []
-    found_here = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text) if m.group() in some]
-    return [x for x in found_here if not any(a < x[2] and x[1] < b for _, a, b in spans)]
-
-
-def bits_of(terms: DataFrame) -> set[int]:
-    """The set bits, at most BITS."""
-    return {row["bit"] for row in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("bit")).distinct().collect()}
-
-
 def found(
     docs: DataFrame,
     columns: list[str],
@@ -247,19 +263,23 @@ def found(
     support: int = 3,
     threshold: float = 0.7,
     hits: bool = False,
-    revealing: DataFrame | None = None,
+    pairs: DataFrame | None = None,
+    bits: np.ndarray | None = None,
 ) -> DataFrame:
     """``columns`` with ``spans``: array of (kind, start, end), patterns first, then revealing terms.
 
     With ``hits`` only documents that may have a span: one of a pattern, or a term whose bit is set.
 
     ``columns`` may hold the text itself; they must not be called ``_row``,
-    ``spans``, ``near`` or ``more``.
+    ``spans``, ``key``, ``near`` or ``more``.
     """
-    if revealing is None:
-        revealing = revealing_terms(docs, text, width, support, threshold)
-    places = stored(scanned(docs, columns, text, hits, bits_of(revealing)), "places")
-    near = places.where(F.size("near") > 0).select("_row", F.inline("near"))
+    if pairs is None:
+        pairs = candidates(docs, text, width, support, threshold)
+        bits = bits_of(pairs.select("term"))
+    places = stored(scanned(docs, columns, text, hits, bits), "places")
+    some = places.where(F.size("near") > 0)
+    revealing = stored(revealing_terms(pairs, some, threshold), "revealing")
+    near = some.select("_row", F.inline("near"))
     added = (
         near.join(revealing, "term")
         .groupBy("_row")
@@ -305,9 +325,9 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [f"c{k}" for k in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
     plain = docs.toDF(*names)
-    revealing = revealing_terms(plain, body, 5, 3, 0.7)
-    bits = bits_of(revealing)
-    spans = found(plain, names, body, hits=True, revealing=revealing)
+    pairs = candidates(plain, body, 5, 3, 0.7)
+    bits = bits_of(pairs.select("term"))
+    spans = found(plain, names, body, hits=True, pairs=pairs, bits=bits)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.toDF(*names).schema)
     place = names.index(body)
 
@@ -318,8 +338,8 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def untouched(rows: Iterator[tuple]) -> Iterator[tuple]:
         for row in rows:
-            spans = base_spans(row[place] or "")
-            if not spans and not likely(row[place] or "", spans, bits):
+            text_here = row[place] or ""
+            if not base_spans(text_here) and not (len(bits) and likely(free_words(text_here, []), bits)):
                 yield row
 
     # Most texts have no span: they pass straight through, and only the others are written and joined.
