@@ -144,6 +144,10 @@ def hashed(entity: str) -> int:
     return xxhash.xxh3_64_intdigest(entity) >> 1
 
 
+#: With this seed Spark's xxhash64 and the library give the same values.
+SPARK_SEED = 42
+
+
 def key_of(body: str) -> bytes:
     """What copies of a text share."""
     return xxhash.xxh3_128_digest(utf8(body))
@@ -171,8 +175,8 @@ def contexts(bodies: DataFrame, width: int) -> DataFrame:
     return mapped(bodies, run, schema)
 
 
-def candidates(docs: DataFrame, text: str, width: int, support: int, threshold: float) -> DataFrame:
-    """Pairs that may reveal: entity, term, joint, de and size (N).
+def candidates(docs: DataFrame, text: str, width: int, support: int, threshold: float) -> tuple[DataFrame, np.ndarray]:
+    """Pairs that may reveal (entity, term, joint, de and size, which is N), and bits of the texts that have copies.
 
     A term's df is at least its number in texts with spans, and a pair reaches
     the threshold only if df <= joint * (N / de)^(1 - threshold).  So pairs are
@@ -180,7 +184,9 @@ def candidates(docs: DataFrame, text: str, width: int, support: int, threshold:
     texts need not be counted; no text leaves its task.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    size = docs.select(F.xxhash64(body), F.xxhash64(F.lit(7), body)).distinct().count()
+    copies = docs.select(F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(7), body).alias("k2")).groupBy("k1", "k2").agg(F.count("*").alias("n"))
+    copies = stored(copies, "copies")
+    size, copied = copies.count(), bits_of(copies.where(F.col("n") > 1).select(F.col("k1").alias("hash")))
     once = stored(contexts(docs.select(F.col(text).alias("_body")), width).dropDuplicates(["key"]), "contexts")
     entity = once.select(F.explode(F.concat("entities", "kinds")).alias("entity")).groupBy("entity").agg(F.count("*").alias("de"))
     entity = stored(entity.where((F.col("de") >= support) & (F.col("de") < size)), "entities")
@@ -190,54 +196,66 @@ def candidates(docs: DataFrame, text: str, width: int, support: int, threshold:
     least = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least"))
     most = F.col("joint") * F.pow(F.lit(size) / F.col("de"), F.lit(1 - threshold)) * (1 + 1e-9)
     rated = joint.join(entity, "entity").join(least, "term").where(F.col("least") <= most)
-    return stored(rated.select("entity", "term", "joint", "de", F.lit(size).alias("size")), "candidates")
+    return stored(rated.select("entity", "term", "joint", "de", F.lit(size).alias("size")), "candidates"), copied
 
 
 def revealing_terms(pairs: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
-    """The terms of candidate pairs whose disclosure reaches the threshold; df counts distinct texts in ``places``."""
-    found = places.select("key", F.explode("near.term").alias("term")).distinct()
-    df = found.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    """The terms of candidate pairs whose disclosure reaches the threshold; df counts distinct texts in ``places``.
+
+    A text without copies is counted where it is; of texts that may have copies the (key, term) rows are made distinct.
+    """
+    found = places.select("key", F.explode(F.array_distinct("near.term")).alias("term"))
+    single = found.where(F.col("key").isNull()).groupBy("term").agg(F.count("*").alias("df"))
+    copied = found.where(F.col("key").isNotNull()).distinct().groupBy("term").agg(F.count("*").alias("df"))
+    df = single.unionByName(copied).groupBy("term").agg(F.sum("df").alias("df"))
     disclosure = F.log(F.col("size") * F.col("joint") / (F.greatest("df", "joint") * F.col("de"))) / F.log(F.col("size") / F.col("de"))
     return pairs.join(df, "term").where(disclosure >= threshold).select("term").distinct()
 
 
-#: Candidate terms are first looked up in bits, and then joined.  Their number follows that of the terms, up to 16 MB.
+#: Candidate terms, and texts with copies, are first looked up in bits.  Their number follows that of the terms, up to 16 MB.
 FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 27
 
 
-def bits_of(terms: DataFrame) -> np.ndarray:
-    """A bit for the hash of each term, about 32 bits for each; empty without terms."""
-    n = terms.distinct().count()
+def bits_of(hashes: DataFrame) -> np.ndarray:
+    """A bit for each value of the column ``hash``, about 32 bits for each; empty without rows."""
+    n = hashes.count()
     if not n:
         return np.zeros(0, np.uint8)
     size = FEWEST_BITS
     while size < min(32 * n, MOST_BITS):
         size *= 2
-    place = F.crc32(F.col("term").cast("binary")) % size
-    # Set bits by byte: at most size / 8 rows, however many terms there are.
-    bit = F.expr("shiftleft(1, cast(crc32(cast(term as binary)) % 8 as int))")
-    rows = terms.select(F.shiftright(place, 3).alias("at"), bit.alias("bit"))
+    place = F.pmod("hash", F.lit(size))
+    # Set bits by byte: at most size / 8 rows, however many values there are.
+    rows = hashes.select(F.shiftright(place, 3).alias("at"), F.expr("shiftleft(1, cast(pmod(hash, 8) as int))").alias("bit"))
     rows = rows.groupBy("at").agg(F.bit_or("bit").alias("bit")).toPandas()
     out = np.zeros(size // 8, np.uint8)
     out[rows["at"].to_numpy()] = rows["bit"].to_numpy()
     return out
 
 
+def is_set(bits: np.ndarray, value: int) -> bool:
+    """Whether the bit of a hash is set."""
+    place = value % (len(bits) * 8) if len(bits) else 0
+    return bool(len(bits) and bits[place >> 3] >> (place & 7) & 1)
+
+
+def term_bits(pairs: DataFrame) -> np.ndarray:
+    return bits_of(pairs.select("term").distinct().select(F.crc32(F.col("term").cast("binary")).alias("hash")))
+
+
 def likely(words: list[tuple[str, int, int]], bits: np.ndarray) -> list[tuple[str, int, int]]:
     """The free words whose bit is set."""
     if not len(bits):
         return []
-    size, known = len(bits) * 8, {}
-    for w in {w[0] for w in words}:
-        place = zlib.crc32(w.encode("utf-8", "surrogatepass")) % size
-        known[w] = bits[place >> 3] >> (place & 7) & 1
+    known = {w: is_set(bits, zlib.crc32(w.encode("utf-8", "surrogatepass"))) for w in {w[0] for w in words}}
     return [w for w in words if known[w[0]]]
 
 
-def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: np.ndarray) -> DataFrame:
+def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: np.ndarray, copied: np.ndarray) -> DataFrame:
     """One pass over the texts: a row per document with its spans and the places of candidate terms.
 
-    With ``hits`` documents with neither get no row.
+    Texts that may have copies also get their key.  With ``hits`` documents with
+    neither span nor place get no row.
     """
     given = with_row_id(docs.select(*columns, F.col(text).alias("_body")))
     left = given.drop("_body")
@@ -250,11 +268,18 @@ def scanned(docs: DataFrame, columns: list[str], text: str, hits: bool, bits: np
             spans = base_spans(body)
             near = likely(free_words(body, spans), bits) if len(bits) else []
             if spans or near or not hits:
-                yield *own, row, spans, key_of(body) if near else None, near
+                twice = near and is_set(copied, xxhash.xxh64_intdigest(utf8(body), SPARK_SEED))
+                yield *own, row, spans, key_of(body) if twice else None, near
 
     return mapped(given, run, schema)
 
 
+def prepared(docs: DataFrame, text: str, width: int = 5, support: int = 3, threshold: float = 0.7) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Candidate pairs, bits of their terms, and bits of the texts that have copies."""
+    pairs, copied = candidates(docs, text, width, support, threshold)
+    return pairs, term_bits(pairs), copied
+
+
 def found(
     docs: DataFrame,
     columns: list[str],
@@ -263,8 +288,7 @@ def found(
     support: int = 3,
     threshold: float = 0.7,
     hits: bool = False,
-    pairs: DataFrame | None = None,
-    bits: np.ndarray | None = None,
+    known: tuple[DataFrame, np.ndarray, np.ndarray] | None = None,
 ) -> DataFrame:
     """``columns`` with ``spans``: array of (kind, start, end), patterns first, then revealing terms.
 
@@ -273,10 +297,8 @@ def found(
     ``columns`` may hold the text itself; they must not be called ``_row``,
     ``spans``, ``key``, ``near`` or ``more``.
     """
-    if pairs is None:
-        pairs = candidates(docs, text, width, support, threshold)
-        bits = bits_of(pairs.select("term"))
-    places = stored(scanned(docs, columns, text, hits, bits), "places")
+    pairs, bits, copied = known or prepared(docs, text, width, support, threshold)
+    places = stored(scanned(docs, columns, text, hits, bits, copied), "places")
     some = places.where(F.size("near") > 0)
     revealing = stored(revealing_terms(pairs, some, threshold), "revealing")
     near = some.select("_row", F.inline("near"))
@@ -325,9 +347,9 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [f"c{k}" for k in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
     plain = docs.toDF(*names)
-    pairs = candidates(plain, body, 5, 3, 0.7)
-    bits = bits_of(pairs.select("term"))
-    spans = found(plain, names, body, hits=True, pairs=pairs, bits=bits)
+    known = prepared(plain, body)
+    bits = known[1]
+    spans = found(plain, names, body, hits=True, known=known)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.toDF(*names).schema)
     place = names.index(body)
 

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from tallyrisk.llm import pii
 
@@ -92,9 +93,16 @@ def test_words_near_a_value_are_counted_by_words():
 
 def test_bits_hold_every_term(spark):
     terms = [f"term{k}é" for k in range(3000)]
-    bits = pii.bits_of(spark.createDataFrame([(t,) for t in terms], "term string"))
+    bits = pii.term_bits(spark.createDataFrame([(t,) for t in terms], "term string"))
     words = [(t, 0, 1) for t in terms]
     assert pii.likely(words, bits) == words
     others = pii.likely([(f"other{k}", 0, 1) for k in range(3000)], bits)
     assert len(others) < 300 and np.bitwise_count(bits).sum() <= 3000
-    assert len(pii.bits_of(spark.createDataFrame([], "term string"))) == 0
+    assert len(pii.term_bits(spark.createDataFrame([], "term string"))) == 0
+
+
+def test_both_sides_hash_texts_alike(spark):
+    texts = ["", "a", "é😀 text", "x" * 1000, "0123456789" * 7]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) h").collect()
+    for r in rows:
+        assert r.h % 2**64 == xxhash.xxh64_intdigest(r.t.encode(), pii.SPARK_SEED)
