@@ -11,7 +11,10 @@ from tallyrisk.catalog.inputs import event_stream, payloads, silver
 from tallyrisk.catalog.registry import query, rounded, rs, sql, text_ts, text_ts_sql
 from tallyrisk.models import boosting
 from tallyrisk.models.isolation_forest import anomaly_table, fit_isolation_forest, score_isolation_forest
+from tallyrisk.operators.rolling import rolling
+from tallyrisk.plans.gold import CUSTOMER_ROLLING
 from tallyrisk.plans.jobs import train_and_evaluate
+from tallyrisk.plans.replay import as_transactions, stream_batch_skew
 from tallyrisk.plans.scoring import assess
 from tallyrisk.plans.training import training_set
 from tallyrisk.session import shared_dir
@@ -128,6 +131,54 @@ def _(spark, sf):
     return rounded(df, "amount_zscore")
 
 
+_SKEW_SQL = {
+    "amount_log1p": ("ln(1 + greatest(a, 0))", "ln(1 + greatest(a, 0))"),
+    "amount_zscore": ("(a - mean) / std", "(a - mean) / std"),
+    "customer_tx_count_24h": ("n24", "n24"),
+    "fraud_rate_30d": ("rate", "coalesce(CASE WHEN epoch_us(ts) - epoch_us(since) <= 604800000000 THEN known END, 0)"),
+    "amount_vs_mean_ratio": ("a / (m + 1e-6)", "a / (m + 1e-6)"),
+}
+
+
+@query(
+    "stream_batch_skew",
+    sql(
+        """, good AS (SELECT transaction_id, customer_id, amount AS a, make_timestamp(transaction_ts * 1000) AS ts,
+  transaction_ts // 1000 AS s, is_fraud, event_id FROM payloads WHERE well_formed AND transaction_id IS NOT NULL),
+  rated AS (SELECT *, avg(is_fraud) OVER (PARTITION BY customer_id ORDER BY s RANGE BETWEEN 2592000 PRECEDING AND CURRENT ROW) AS rate,
+  count(*) OVER (PARTITION BY customer_id ORDER BY s RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS n24,
+  avg(a) OVER () AS mean, stddev_samp(a) OVER () AS std, avg(a) OVER (PARTITION BY customer_id) AS m FROM good),
+  daily AS (SELECT customer_id, rate AS known, date_trunc('day', ts) + INTERVAL 1 DAY AS since FROM rated
+  QUALIFY row_number() OVER (PARTITION BY customer_id, date_trunc('day', ts) ORDER BY ts DESC, event_id DESC) = 1),
+  sides AS (SELECT r.*, d.known, d.since FROM rated r ASOF LEFT JOIN daily d ON r.customer_id = d.customer_id AND r.ts >= d.since)
+  """
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, count(*) AS n, 0::BIGINT AS n_offline_only, 0::BIGINT AS n_online_only,
+  count(*) FILTER (abs(({off}) - ({on})) > 1e-9) AS n_different, {rs(f'max(abs(({off}) - ({on})))')} AS max_apart,
+  {rs(f'avg({off})', 4)} AS offline_mean, {rs(f'avg({on})', 4)} AS online_mean,
+  CASE WHEN coalesce(abs(avg({on}) - avg({off})) / nullif(abs(avg({off})), 0) * 100, 0) < 1 THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM sides"""
+            for c, (off, on) in _SKEW_SQL.items()
+        ),
+        "payloads",
+    ).replace("\n, good AS", ", good AS"),
+)
+def _(spark, sf):
+    """All events through the live ingest job, its features held against the batch's."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    raw = payloads(spark, sf).select("value")
+    rows = as_transactions(raw)
+    rolled = rolling(rows, "customer_id", "transaction_ts", [r for r in CUSTOMER_ROLLING if r.name == "fraud_rate_30d"])
+    day = F.date_trunc("day", "transaction_ts")
+    newest = F.max_by("fraud_rate_30d", F.struct("transaction_ts", F.col("transaction_id").cast("long")))
+    days = rolled.groupBy("customer_id", day.alias("_day")).agg(newest.alias("fraud_rate_30d"))
+    customers = days.select("customer_id", (F.col("_day") + F.expr("INTERVAL 1 DAY")).alias("feature_date"), "fraud_rate_30d")
+    stream = payloads(spark, sf, event_stream(spark, sf)).select("value")
+    report = stream_batch_skew(spark, raw, stream, customers, late="60 days").drop("skew_pct")
+    report = rounded(report, "max_apart")
+    return rounded(report, "offline_mean", "online_mean", digits=4)
+
+
 @query(
     "stream_windowed_rate",
     f"""SELECT {text_ts_sql('w')} AS window_start, count(*) AS n, {rs('count(*) / 3600.0')} AS per_second

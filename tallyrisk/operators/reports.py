@@ -200,6 +200,55 @@ def skew_report(
     )
 
 
+def keyed_skew(
+    base: DataFrame,
+    other: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    limit_pct: float = 1.0,
+    tolerance: float = 1e-9,
+) -> DataFrame:
+    """``skew_report`` row by row: both tables' values of the same key beside each other, per feature.
+
+    Adds n (keys in both), n_offline_only, n_online_only, n_different (values
+    apart by more than ``tolerance``, or null on one side) and max_apart.  Equal
+    means do not hide rows that differ.  FAIL if the means are ``limit_pct``
+    apart (of the base's mean, or of its deviation where that mean is 0) or a key
+    is on one side only.  Keys are unique on each side; rows with
+    a null key are on one side only.  One join and one pass.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        values = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
+        return df.select(F.col(key).alias(f"{name}_key"), values.alias(name))
+
+    both = side(base, "off").join(side(other, "on"), F.col("off_key") == F.col("on_key"), "full")
+    shared = F.col("off").isNotNull() & F.col("on").isNotNull()
+
+    def of(c: str) -> Column:
+        off, on = F.col("off")[c], F.col("on")[c]
+        apart = F.when(shared, F.abs(on - off))
+        different = shared & ((apart > tolerance) | (off.isNull() != on.isNull()))
+        return F.struct(
+            F.count_if(shared).alias("n"),
+            F.count_if(F.col("on").isNull()).alias("n_offline_only"),
+            F.count_if(F.col("off").isNull()).alias("n_online_only"),
+            F.count_if(F.coalesce(different, F.lit(False))).alias("n_different"),
+            F.max(apart).alias("max_apart"),
+            F.mean(off).alias("offline_mean"),
+            F.mean(on).alias("online_mean"),
+            F.stddev(off).alias("spread"),
+        ).alias(c)
+
+    rows = both.agg(*[of(c) for c in columns]).unpivot([], list(columns), "feature", "_s").select("feature", "_s.*")
+    off, on = F.col("offline_mean"), F.col("online_mean")
+    # A mean of 0, as scores have, gives no scale; the deviation does.
+    scale = F.when(F.abs(off) > 1e-10, F.abs(off)).otherwise(F.nullif(F.col("spread"), F.lit(0.0)))
+    pct = F.coalesce(F.abs(on - off) / scale * 100, F.lit(0.0))
+    lost = F.col("n_offline_only") + F.col("n_online_only")
+    status = F.when((F.col("skew_pct") < limit_pct) & (lost == 0), "PASS").otherwise("FAIL")
+    return rows.withColumn("skew_pct", pct).withColumn("status", status).drop("spread")
+
+
 def skew_summary(report: DataFrame) -> DataFrame:
     """Largest skew and the failing features, by name."""
     failed = F.array_sort(F.collect_list(F.when(F.col("status") == "FAIL", F.col("feature"))))
