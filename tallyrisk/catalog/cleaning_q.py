@@ -15,7 +15,7 @@ from tallyrisk.functions.timestamps import (
     from_offset_seconds,
     from_step_hours,
 )
-from tallyrisk.operators import cleaning, quality
+from tallyrisk.operators import cleaning, quality, sketches
 from tallyrisk.plans import silver as silver_plan
 from tallyrisk.plans.gold import fraud_labels
 from tallyrisk.plans.scoring import flagged_only
@@ -188,6 +188,31 @@ def _(spark, sf):
     return out
 
 
+@query(
+    "medians_by_load",
+    """SELECT 'l_quantity' AS "column", count(l_quantity) AS n, true AS within FROM lineitem
+  UNION ALL SELECT 'l_extendedprice', count(l_extendedprice), true FROM lineitem
+  UNION ALL SELECT 'l_tax', count(l_tax), true FROM lineitem""",
+)
+def _(spark, sf):
+    """Medians of three columns from four loads' sketches; within: half a percent of the rows from the exact rank."""
+    path, columns = shared_dir(spark, "sketches"), ["l_quantity", "l_extendedprice", "l_tax"]
+    rows = table(spark, sf, "lineitem")
+    for load in range(4):
+        sketches.add_load(rows.filter(F.col("l_orderkey") % 4 == load), columns, path, load)
+    found = sketches.quantiles_of_loads(spark, path).collect()
+    below = [
+        rows.agg(
+            F.lit(r["column"]).alias("column"),
+            F.lit(r["n"]).cast("long").alias("n"),
+            ((F.avg((F.col(r["column"]) < r["value"]).cast("double")) <= 0.505)
+             & (F.avg((F.col(r["column"]) <= r["value"]).cast("double")) >= 0.495)).alias("within"),
+        )
+        for r in found
+    ]
+    return below[0].unionByName(below[1]).unionByName(below[2])
+
+
 @query("compact_roundtrip", "SELECT event_id, user_id, event_type, value FROM events")
 def _(spark, sf):
     small, large = shared_dir(spark, "small"), shared_dir(spark, "large")

@@ -10,6 +10,7 @@ from tallyrisk.functions.events import amount_features, amount_zscore_given, tem
 from tallyrisk.operators.cleaning import new_pair_flag, ratio_to_entity_mean
 from tallyrisk.operators.reports import amount_stats, amount_zscore
 from tallyrisk.operators.rolling import DAY_S, HOUR_S, Rolling, rolling, velocity
+from tallyrisk.operators.sketches import distinct_by_slices
 from tallyrisk.plans import gold
 from tallyrisk.plans.training import training_set
 from tallyrisk.schemas import MODEL_FEATURES
@@ -247,6 +248,19 @@ def _(spark, sf):
     return df.select("transaction_id", "unique_merchants_7d")
 
 
+@query(
+    "unique_merchants_by_slices",
+    sql(
+        """SELECT DISTINCT customer_id, s // 86400 AS slice, count(DISTINCT merchant_id) OVER (PARTITION BY customer_id
+  ORDER BY s // 86400 RANGE BETWEEN 6 PRECEDING AND CURRENT ROW) AS unique_merchants_7d FROM silver""",
+        "silver",
+    ),
+)
+def _(spark, sf):
+    """Distinct merchants of seven days from sketches, which are exact for sets of this size."""
+    return distinct_by_slices(silver(spark, sf), "customer_id", "transaction_ts", "merchant_id", 7, name="unique_merchants_7d")
+
+
 @query(
     "customer_fraud_rate",
     sql(f"SELECT transaction_id, {shown(['fraud_rate_30d'])} FROM customer_roll", "customer_roll"),
