@@ -94,11 +94,12 @@ def values_at(
 
     ``wanted`` names a column and a function from the number of values to the
     rank; a rank beyond that number gives null.  A sketch gives two values that
-    surely enclose the rank.  Counting what lies below and between them leaves a
-    small part of the values, on which the next round works, until the sketch is
-    exact for what is left.  All names share the passes, two per round; the
-    rounds grow with the logarithm of the size.  Only the enclosing values come
-    to the driver.
+    surely enclose the rank.  Counting what lies below, at and between them
+    either shows that one of the two has the rank, or leaves a small part of the
+    values strictly between them, on which the next round works, until the
+    sketch is exact for what is left.  So a value of any weight costs one round.
+    All names share the passes, two per round; the rounds grow with the
+    logarithm of the size.  Only the enclosing values come to the driver.
     """
     low: dict[str, object] = dict.fromkeys(wanted)
     high: dict[str, object] = dict.fromkeys(wanted)
@@ -109,11 +110,16 @@ def values_at(
         for k, name in enumerate(todo):
             c = F.col(wanted[name][0])
             inside[name] = c.isNotNull()
-            below = F.lit(0)
+            if df.schema[wanted[name][0]].dataType.typeName() in ("float", "double"):
+                inside[name] &= ~F.isnan(c)  # above all numbers; the sketch does not order it
+            below = first = last = F.lit(0)
             if low[name] is not None:
-                inside[name] &= c.between(F.lit(low[name]), F.lit(high[name]))
-                below = F.count_if(c < F.lit(low[name]))
-            counts.append(F.struct(F.count(c).alias("n"), below.alias("below"), F.count_if(inside[name]).alias("m")).alias(f"_{k}"))
+                a, b = F.lit(low[name]), F.lit(high[name])
+                inside[name] &= (c > a) & (c < b)
+                below, first, last = F.count_if(c < a), F.count_if(c == a), F.count_if(c == b)
+            m = F.count_if(inside[name])
+            seen = {"n": F.count(c), "below": below, "first": first, "m": m, "last": last}
+            counts.append(F.struct(*[x.alias(key) for key, x in seen.items()]).alias(f"_{k}"))
         seen, asked = df.agg(*counts).first(), []
         for k, name in enumerate(todo):
             column, rank_of = wanted[name]
@@ -123,7 +129,14 @@ def values_at(
             if not 1 <= rank <= n:
                 found[name] = None
                 continue
-            at, sure = (rank - seen[k]["below"] - 0.5) / m, m <= accuracy
+            rank -= seen[k]["below"] + seen[k]["first"]  # from 1 among the values inside
+            if low[name] is not None and (rank < 1 or rank > m):
+                found[name] = low[name] if rank < 1 else high[name]
+                continue
+            if rank > m:
+                found[name] = math.nan
+                continue
+            at, sure = (rank - 0.5) / m, m <= accuracy
             slack = 0.0 if sure else 2.0 / accuracy
             points = [max(0.0, at - slack), min(1.0, at + slack)]
             # Four times the number of values: the sketch is off by less than one rank.
@@ -134,8 +147,6 @@ def values_at(
         for (name, sure, _), (a, b) in zip(asked, df.agg(*[x for *_, x in asked]).first()):
             if sure or a == b:
                 found[name] = a
-            elif (a, b) == (low[name], high[name]):
-                accuracy *= 10  # very many equal values at both ends
             low[name], high[name] = a, b
     return found, sizes
 

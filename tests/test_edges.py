@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyrisk.functions import risk
 from tallyrisk.models.isolation_forest import fit_isolation_forest, score_isolation_forest, tree_samples
 from tallyrisk.operators import reports
-from tallyrisk.operators.ordering import percentile_name, quantiles, running_totals
+from tallyrisk.operators.ordering import percentile_name, quantiles, running_totals, values_at
 from tallyrisk.operators.rolling import HOUR_S, Rolling, rolling
 from tallyrisk.plans import jobs
 from tallyrisk.plans.silver import clean_transfers
@@ -115,6 +115,21 @@ def test_quantiles_are_exact_beyond_the_sketch(spark):
         assert got == {"a": float(at), "b": sorted(k % 3 for k in range(n))[at], "c": None}
 
 
+def test_quantiles_of_balanced_heavy_values(spark):
+    """A rank between two heavy values is settled by counting, at any accuracy."""
+    n = 20_000
+    df = spark.range(n).select(
+        (F.col("id") % 2).alias("a"),
+        F.when(F.col("id") % 2 == 0, -0.5).when(F.col("id") == 77, 0.25).otherwise(float("nan")).alias("b"),
+        F.when(F.col("id") < 3, F.col("id")).otherwise(9).alias("c"),
+    )
+    for rank, want in ((1, [0, -0.5, 0]), (3, [0, -0.5, 2]), (4, [0, -0.5, 9]), (n // 2, [0, -0.5, 9]), (n // 2 + 1, [1, 0.25, 9])):
+        found, sizes = values_at(df, {c: (c, lambda _: rank) for c in "abc"}, accuracy=50)
+        assert [found[c] for c in "abc"] == want and sizes == dict.fromkeys("abc", n)
+    found, _ = values_at(df, {c: (c, lambda n: n) for c in "abc"}, accuracy=50)
+    assert (found["a"], found["c"]) == (1, 9) and math.isnan(found["b"])
+
+
 def test_ranges_and_names(spark):
     df = spark.range(500).select((F.col("id") % 97).alias("v"))
     got = {r.v: r.cum_k for r in running_totals(df, "v", {"k": F.lit(1).cast("long")}, ranges=8).collect()}
