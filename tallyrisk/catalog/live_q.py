@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyrisk.catalog.features_q import AMOUNT_SQL, TEMPORAL_SQL
-from tallyrisk.catalog.inputs import event_stream, payloads, silver
+from tallyrisk.catalog.inputs import event_stream, payloads, silver, table
+from tallyrisk.catalog.reports_q import pick_sql
 from tallyrisk.catalog.registry import query, rounded, rs, sql, text_ts, text_ts_sql
 from tallyrisk.models import boosting
 from tallyrisk.models.isolation_forest import anomaly_table, fit_isolation_forest, score_isolation_forest
@@ -18,7 +19,9 @@ from tallyrisk.plans.replay import as_transactions, stream_batch_skew
 from tallyrisk.plans.scoring import assess
 from tallyrisk.plans.training import training_set
 from tallyrisk.session import shared_dir
-from tallyrisk.streaming.ingest import Sinks, ingest
+from tallyrisk.streaming.commits import append_batch, compact_days, drop_replaced, read_committed
+from tallyrisk.streaming.ingest import Sinks, ingest, write_batch
+from tallyrisk.streaming.latency import fold_latencies, latency_report
 from tallyrisk.streaming.live import ingest_live
 from tallyrisk.streaming.monitoring import rate_stream
 from tallyrisk.streaming.velocity import velocity_stream
@@ -179,6 +182,47 @@ def _(spark, sf):
     return rounded(report, "offline_mean", "online_mean", digits=4)
 
 
+@query(
+    "committed_batches",
+    sql(
+        f"SELECT transaction_id, customer_id, amount_usd, {text_ts_sql('transaction_ts')} AS ts, event_id % 3 AS batch_id FROM silver",
+        "silver",
+    ),
+)
+def _(spark, sf):
+    """Three micro-batches over all days, one of them repeated, with compactions between; each event is there once."""
+    path = shared_dir(spark, "committed")
+    rows = silver(spark, sf).select("transaction_id", "customer_id", "transaction_ts", "amount_usd")
+    for batch, before in ((0, None), (1, "2024-01-20"), (1, "2024-01-20"), (2, "2024-01-10")):
+        append_batch(rows.filter(F.col("transaction_id").cast("long") % 3 == batch), path, batch)
+        if before:
+            compact_days(spark, path, before)
+    drop_replaced(spark, path)
+    df = read_committed(spark, path)
+    return df.select("transaction_id", "customer_id", "amount_usd", text_ts("transaction_ts").alias("ts"), "batch_id")
+
+
+@query(
+    "latency_incremental",
+    sql(
+        f"""SELECT {pick_sql(0.5)} AS p50, {pick_sql(0.95)} AS p95, {pick_sql(0.99)} AS p99, count(ms) AS n,
+  {pick_sql(0.95)} < 2000 AS target_met FROM latency_ms""",
+        "latency_ms",
+    ),
+)
+def _(spark, sf):
+    """Latencies in three batches, each folded into the state when it is there, and once more without news."""
+    sink, state = shared_dir(spark, "latency"), shared_dir(spark, "latency-state")
+    e = F.col("event_id")
+    ms = e * 37 % 5003 + F.when(e % 3 == 0, 0).otherwise(250)
+    rows = table(spark, sf, "events").select("event_id", F.when(e % 17 != 0, ms).alias("latency_ms"))
+    for batch in range(3):
+        write_batch(rows.filter(e % 3 == batch).select("latency_ms"), sink, batch)
+        fold_latencies(spark, sink, state)
+    fold_latencies(spark, sink, state)
+    return latency_report(spark, state)
+
+
 @query(
     "stream_windowed_rate",
     f"""SELECT {text_ts_sql('w')} AS window_start, count(*) AS n, {rs('count(*) / 3600.0')} AS per_second

@@ -71,10 +71,13 @@ def fan_out(
     now: Callable[[], Column] = F.current_timestamp,
     statistics: DataFrame | None = None,
     keep: Sequence[str] = (),
+    write: Callable[[DataFrame, str, int], None] = write_batch,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function: three sinks from one parsed, persisted batch.
 
     ``keep`` names columns of the batch, beside the payload, that the events get.
+    ``write`` puts a micro-batch in a sink: a folder of its own, or with
+    ``commits.commit_batch`` a sink with a commit log and days to compact.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -85,10 +88,10 @@ def fan_out(
             events, rejects = split_rows(parsed)
             at = now()
             enriched = enrich_events(events, mean, std, history, statistics)
-            write_batch(enriched.drop("producer_ts"), sinks.events, batch_id)
+            write(enriched.drop("producer_ts"), sinks.events, batch_id)
             timing = events.select(latency_ms(at).alias("latency_ms"), at.alias("recorded_at"))
-            write_batch(timing, sinks.latency, batch_id)
-            write_batch(rejects, sinks.rejects, batch_id)
+            write(timing, sinks.latency, batch_id)
+            write(rejects, sinks.rejects, batch_id)
         finally:
             parsed.unpersist()
 
@@ -103,9 +106,10 @@ def ingest(
     std: float = 200.0,
     history: DataFrame | None = None,
     trigger: str | None = TRIGGER,
+    write: Callable[[DataFrame, str, int], None] = write_batch,
 ) -> DataStreamWriter:
     """The configured stream writer; ``trigger=None`` works off what is there and stops."""
-    writer = raw.writeStream.foreachBatch(fan_out(sinks, mean, std, history)).option(
+    writer = raw.writeStream.foreachBatch(fan_out(sinks, mean, std, history, write=write)).option(
         "checkpointLocation", checkpoint
     )
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)

@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tallyrisk.functions.timestamps import from_epoch_ms
 from tallyrisk.schemas import STREAM_EVENT
 from tallyrisk.sources.readers import parse_rows
-from tallyrisk.streaming.ingest import TRIGGER, Sinks, fan_out
+from tallyrisk.streaming.ingest import TRIGGER, Sinks, fan_out, write_batch
 from tallyrisk.streaming.velocity import HOUR_S
 
 #: Keys for payloads without an entity or a time; they need no state, only a place.
@@ -150,10 +150,11 @@ def ingest_live(
     trigger: str | None = TRIGGER,
     hours: Sequence[int] = (1, 6, 24),
     late: str = "2 days",
+    write: Callable[[DataFrame, str, int], None] = write_batch,
 ) -> DataStreamWriter:
     """The ingest job with live counts and spikes; ``trigger=None`` works off what is there and stops."""
     counted = live_counts(raw, hours, late)
     keep = [f"customer_tx_count_{h}h" for h in hours]
-    process = fan_out(sinks, mean, std, history, statistics=statistics, keep=keep)
+    process = fan_out(sinks, mean, std, history, statistics=statistics, keep=keep, write=write)
     writer = counted.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
