@@ -29,9 +29,9 @@ lose nothing; matches never cross documents; overlaps count.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,6 +166,39 @@ def rank_of(column: str) -> Column:
 
 
 SPANS = "k1 long, k2 int, low int, high int"
+MERGED = 10_000  # rows
+
+
+def around(rows: pa.Table, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The REACH bytes before and the WIDTH bytes from each place on, as far as its strings reach; else zeros."""
+    parts = rows["bytes"].cast(pa.large_binary()).combine_chunks()
+    parts = parts.chunk(0) if isinstance(parts, pa.ChunkedArray) else parts
+    starts = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts)]
+    raw = np.pad(np.frombuffer(parts.buffers()[2], np.uint8), (REACH, WIDTH))
+    out = np.lib.stride_tricks.sliding_window_view(raw, REACH + WIDTH)[starts + far]
+    column = np.arange(REACH + WIDTH)
+    out[(column < REACH - far[:, None]) | (column >= REACH + WIDTH - near[:, None])] = 0
+    return out
+
+
+def merged_spans(rows: pa.Table) -> pa.Table:
+    """SPANS of the occurrences of whole names, in the order of their names."""
+    name, rank, k1, k2, place, far, near = (
+        rows[c].to_numpy().astype(np.int64) for c in ("name", "rank", "k1", "k2", "place", "far", "near")
+    )
+    given = around(rows, far, near)
+    order = np.empty(len(name), np.int64)
+    order[np.lexsort((place, k2, k1, rank))] = np.arange(len(name))
+    group = np.cumsum(np.append(0, name[1:] != name[:-1]))
+    i, d = later(group, order, given[:, :REACH], given[:, REACH:], near, far)
+    turn = np.lexsort((d, i))
+    i, d = i[turn], d[turn]
+    # Distances that follow each other are one span.
+    head = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (d[1:] != d[:-1] + 1))) if len(i) else np.empty(0, np.int64)
+    tail = np.append(head[1:], len(i))[: len(head)] - 1
+    i, least, most = i[head], d[head], d[tail]
+    columns = {"k1": k1[i], "k2": k2[i].astype(np.int32), "low": (place[i] - most).astype(np.int32), "high": (place[i] - least + WIDTH).astype(np.int32)}
+    return pa.table(columns)
 
 
 def spans(docs: DataFrame, hot: int) -> DataFrame:
@@ -187,7 +220,8 @@ def spans(docs: DataFrame, hot: int) -> DataFrame:
         .select("name", (F.col("n") > hot).alias("hot")),
         "names",
     )
-    suspects = found.join(several, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "hot")).alias("places"))
+    marked = F.col("place").cast("long") * 2 + F.col("hot").cast("long")
+    suspects = found.join(several, "name").groupBy("k1", "k2").agg(F.collect_set(marked).alias("places"))
     # The row with the smallest id stands for all copies of a text.
     heads = docs.groupBy("k1", "k2").agg(F.min(rank_of("doc_id")).alias("rank"))
     chosen = stored(suspects.join(heads, ["k1", "k2"]), "suspects").withColumnsRenamed({"k1": "a1", "k2": "a2"})
@@ -198,16 +232,16 @@ def spans(docs: DataFrame, hot: int) -> DataFrame:
     def occurrences(rows: Iterator[tuple]) -> Iterator[tuple]:
         """Suffixes with the bytes around them, and hashes of the strings of hot places."""
         for own, found in batches(rows):
-            n = len(found.raw)
-            kind = np.zeros(n, np.int8)
-            for d, row in enumerate(own):
-                at = np.array([p["place"] for p in row[3]]) + found.first[d]
-                kind[at] = np.where([p["hot"] for p in row[3]], 2, 1)
-            raw = found.raw.tobytes()
-            for k in np.flatnonzero(kind[found.place] == 1).tolist():
-                d, p = int(found.owner[k]), int(found.place[k])
-                low, high, base = int(found.low[k]), int(found.high[k]), int(found.first[d])
-                yield *own[d][:3], int(found.names[k : k + 1].view(np.int64)[0]), p - base, p - low, p - high, raw[low : high + WIDTH], None, None
+            kind = np.zeros(len(found.raw), np.int8)
+            for row, base in zip(own, found.first.tolist()):
+                marks = np.array(row[3])
+                kind[(marks >> 1) + base] = (marks & 1) + 1
+            raw, heads = found.raw.tobytes(), [row[:3] for row in own]
+            some = np.flatnonzero(kind[found.place] == 1)
+            owner, place, low, high = found.owner[some], found.place[some], found.low[some], found.high[some]
+            columns = (owner, found.names[some].view(np.int64), place - found.first[owner], place - low, place - high, low, high + WIDTH)
+            for d, name, at, far, near, start, end in zip(*(c.tolist() for c in columns)):
+                yield *heads[d], name, at, far, near, raw[start:end], None, None
             busy = np.flatnonzero(kind[found.place] == 2)
             if len(busy):
                 one = window_hashes(found.values, WIDTH, 0xD1342543DE82EF95).view(np.int64)
@@ -220,42 +254,27 @@ def spans(docs: DataFrame, hot: int) -> DataFrame:
     schema = "rank long, k1 long, k2 int, name long, place int, far int, near int, bytes binary, h1 long, h2 int"
     listed = stored(mapped(texts, occurrences, schema), "suffixes")
 
-    def merge(rows: Iterator[tuple]) -> Iterator[tuple]:
-        held: list[tuple] = []
-
-        def flush() -> Iterator[tuple]:
-            if len(held) < 2:
-                return
-            held.sort(key=lambda r: r[0])  # by name; sorted runs merge in linear time
-            m = len(held)
-            before, after = np.zeros((m, REACH), np.uint8), np.zeros((m, WIDTH), np.uint8)
-            for i, row in enumerate(held):
-                far, part = row[5], np.frombuffer(row[7], np.uint8)
-                before[i, REACH - far :] = part[:far]
-                after[i, : len(part) - far] = part[far:]
-            group = np.cumsum(np.append(0, [held[i][0] != held[i - 1][0] for i in range(1, m)]))
-            rank = np.empty(m, np.int64)
-            rank[sorted(range(m), key=lambda i: held[i][1:5])] = np.arange(m)
-            near, far = np.array([r[6] for r in held]), np.array([r[5] for r in held])
-            i, d = later(group, rank, before, after, near, far)
-            turn = np.lexsort((d, i))
-            i, d = i[turn], d[turn]
-            cut = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (d[1:] != d[:-1] + 1))) if len(i) else []
-            for a, b in zip(cut, np.append(cut[1:], len(i))) if len(i) else ():
-                row = held[i[a]]
-                yield row[2], row[3], int(row[4] - d[b - 1]), int(row[4] - d[a] + WIDTH)
-
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            some = list(group)
-            if len(some) > 1:
-                held += some
-            if len(held) >= 4000:
-                yield from flush()
-                held = []
-        yield from flush()
+    def merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole names, about ``MERGED`` rows at a time; rows come sorted by name."""
+        held, size = [], 0
+        for part in parts:
+            held.append(part)
+            size += part.num_rows
+            if size < MERGED:
+                continue
+            rows = pa.Table.from_batches(held)
+            names = rows["name"].to_numpy()
+            change = np.flatnonzero(names[1:] != names[:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0
+            if cut:
+                yield from merged_spans(rows.slice(0, cut)).to_batches()
+            # A copy: a slice would keep the whole rows.
+            held, size = rows.take(np.arange(cut, rows.num_rows)).combine_chunks().to_batches(), rows.num_rows - cut
+        if size:
+            yield from merged_spans(pa.Table.from_batches(held)).to_batches()
 
     normal = listed.where(F.col("name").isNotNull()).select("name", "rank", "k1", "k2", "place", "far", "near", "bytes")
-    merged = mapped(normal.repartition("name").sortWithinPartitions("name"), merge, SPANS, 5000)
+    merged = normal.repartition("name").sortWithinPartitions("name").mapInArrow(merge, SPANS)
     busy = listed.where(F.col("name").isNull()).select("h1", "h2", "rank", "k1", "k2", F.col("place").alias("start"))
     own = F.struct("rank", "k1", "k2", "start")
     first = busy.groupBy("h1", "h2").agg(F.min(own).alias("first"))

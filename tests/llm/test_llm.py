@@ -457,6 +457,23 @@ def test_bytes_equal_brute_force(spark, docs, hot):
         assert got == brute_bytes(texts_of(table))
 
 
+def test_bytes_merged_in_small_parts(spark, monkeypatch):
+    """Names that stretch over several Arrow batches are merged whole."""
+    rng = random.Random(4)
+    rows = [*repeats(rng, 60, "abcdefgé "), *[(500 + k, "x" * k + "0123456789" * 13) for k in range(30)]]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_bytes(texts_of(made))
+    monkeypatch.setattr(interleave, "MERGED", 20)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        out = interleave.removed(made).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out) == want
+
+
 def test_bytes_odd_rows(odd, empty):
     got = {r.doc_id: r for r in interleave.digests(odd).collect()}
     assert got[50].n_removed == 0 and got[51].n_removed == got[51].n_bytes and got[53].n_removed == 0
