@@ -24,7 +24,7 @@ task stays small whatever their number.
 
 Defined results: null and empty texts match nothing; an item of fewer than
 ``least`` words matches where its words stand side by side; several passages
-that match an item count once, with the best values; repeated rows give repeated
+that match an item count once, with the best values; words are compared as words; repeated rows give repeated
 results; an empty benchmark or an empty table gives no rows.
 """
 
@@ -114,6 +114,15 @@ def word_ids(texts: list[str | None], bits: int = 16, split: bool = False) -> li
     return np.split(ids, np.searchsorted(start, ends))[: len(bodies)]
 
 
+#: What IN_WORD takes as a word.
+SPELLED = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """The words whose ids ``word_ids`` gives with ``split``."""
+    return SPELLED.findall(spaced((text or "").lower()).encode("utf-8", "surrogatepass"))
+
+
 def in_batches(rows: Iterator[tuple], text: int, most: int = 500_000, bits: int = 16, split: bool = False) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
     """Rows of about ``most`` characters together, and the word ids of their texts."""
     out, held = [], 0
@@ -255,7 +264,11 @@ def passages(ids: np.ndarray, width: int) -> list[np.ndarray]:
 
 @dataclass
 class Items:
-    """A block of benchmark items as the tasks need it; without a ``space`` matches are not rated."""
+    """A block of benchmark items as the tasks need it; without a ``space`` matches are not rated.
+
+    ``spelled`` has the items' words themselves.  Ids find a match, the words confirm it:
+    words that share an id by chance can only add matches, never hide one.
+    """
 
     names: list
     words: list[list[int]]
@@ -263,6 +276,7 @@ class Items:
     space: np.ndarray | None  # terms x rank, weighted by IDF
     share: float
     least: int
+    spelled: list[list[bytes]] | None = None
 
     def __post_init__(self) -> None:
         self.masks, self.points, pairs = [], [], []
@@ -281,6 +295,8 @@ class Items:
         self.holders = np.array([i for _, i in pairs], np.uint16)
         self.first = np.searchsorted(np.array([w for w, _ in pairs]), np.arange((1 << 16) + 1))
         self.reach = np.array([2 * len(words) + 4 * RUN for words in self.words])
+        if self.spelled is not None:
+            self.exact = [(places(w), places(w[-max(1, len(w) // 3) :])) for w in self.spelled]
 
     def rated(self, texts: list[np.ndarray], widths: tuple[int, ...]) -> np.ndarray | None:
         """Unit vectors of all passages of the texts."""
@@ -290,10 +306,21 @@ class Items:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
     def found(self, docs: list[tuple]) -> Iterator[tuple[int, int, float, float, float]]:
-        """(position of the document, position of the item, cosine, LCS share, answer share) of all matches."""
+        """(position of the document, position of the item, cosine, LCS share, answer share) of all matches.
+
+        A document is its text and the ids of its words.
+        """
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        spelled: tuple[int, list[bytes]] = (-1, [])
         for d, at, i in self.candidates([ids for _, ids in docs]):
-            self.check(docs, best, d, at, i)
+            if self.spelled is None:
+                self.check(docs, best, d, at, i)
+            elif self.shares(docs[d][1], self.words[i], self.masks[i], at, i) is not None:
+                if spelled[0] != d:  # candidates come by document
+                    spelled = d, words_of(docs[d][0])
+                exact = self.shares(spelled[1], self.spelled[i], self.exact[i], at, i)
+                if exact is not None:
+                    self.rate(docs, best, d, at, i, exact)
         for (d, i), values in sorted(best.items()):
             yield d, i, *values
 
@@ -330,30 +357,40 @@ class Items:
             pair, a = divmod(key, most)
             yield pair // len(self.words), a * step, pair % len(self.words)
 
-    def check(self, docs: list[tuple], best: dict, d: int, at: int, i: int) -> None:
-        """Compare the words around a candidate passage with the item."""
-        m = len(self.words[i])
-        whole, closing, size = self.masks[i]
-        near = docs[d][1][max(0, at - m) : at + 4 * RUN + m]
-        reach = [w for w in near.tolist() if w in whole]
+    def shares(self, words, item: list, masks: tuple, at: int, i: int) -> tuple[float, float] | None:
+        """Shares of the item and of its answer that stand around the passage at ``at``, in order; None if too little.
+
+        Words are ids or spelled, those of the item and of ``masks`` alike.
+        """
+        m = len(item)
+        whole, closing = masks[:2]
+        near = words[max(0, at - m) : at + 4 * RUN + m]
+        near = near.tolist() if isinstance(near, np.ndarray) else near
+        reach = [w for w in near if w in whole]
         if len(reach) < self.need[i]:
-            return
-        if m < self.least:
-            item = np.array(self.words[i], np.uint16)
-            if not (np.lib.stride_tricks.sliding_window_view(near, m) == item).all(1).any():
-                return
+            return None
+        if m < self.least and not any(near[k : k + m] == item for k in range(len(near) - m + 1)):
+            return None
         length = common_length(whole, reach)
         if length < self.need[i]:
-            return
-        answer = common_length(closing, reach) / size
-        if answer < self.share - 0.1:
-            return
+            return None
+        answer = common_length(closing, reach) / max(1, m // 3)
+        return None if answer < self.share - 0.1 else (length / m, answer)
+
+    def check(self, docs: list[tuple], best: dict, d: int, at: int, i: int) -> None:
+        """Compare the ids of the words around a candidate passage with the item."""
+        near = self.shares(docs[d][1], self.words[i], self.masks[i], at, i)
+        if near is not None:
+            self.rate(docs, best, d, at, i, near)
+
+    def rate(self, docs: list[tuple], best: dict, d: int, at: int, i: int, shares: tuple[float, float]) -> None:
+        """Keep the best passage of a document and item."""
         cosine = 0.0
         if self.space is not None:
             passage = docs[d][1][at : at + 4 * RUN]
-            cosine = float((self.rated([passage], (4 * RUN, 2 * RUN) if m <= 4 * RUN else (4 * RUN,)) @ self.points[i].T).max())
-        if (cosine, length / m, answer) > best.get((d, i), (-2.0,)):
-            best[d, i] = (cosine, length / m, answer)
+            cosine = float((self.rated([passage], (4 * RUN, 2 * RUN) if len(self.words[i]) <= 4 * RUN else (4 * RUN,)) @ self.points[i].T).max())
+        if (cosine, *shares) > best.get((d, i), (-2.0,)):
+            best[d, i] = (cosine, *shares)
 
 
 def weighed(scan: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -368,18 +405,19 @@ def blocks_of(
     benchmark: DataFrame, item_id: str, item_text: str, df: np.ndarray, space: np.ndarray | None, share: float, least: int, block: int
 ) -> list[Items]:
     """The benchmark in blocks."""
-    out, names, bodies = [], [], []
+    out, names, bodies, spelled = [], [], [], []
 
     def close() -> None:
         if names:
-            out.append(Items(list(names), list(bodies), df, space, share, least))
-            names.clear(), bodies.clear()
+            out.append(Items(list(names), list(bodies), df, space, share, least, list(spelled)))
+            names.clear(), bodies.clear(), spelled.clear()
 
     for row in benchmark.select(item_id, item_text).where(F.col(item_text).isNotNull()).toLocalIterator():
         ids = word_ids([row[1]], split=True)[0].tolist()
         if ids:
             names.append(row[0])
             bodies.append(ids)
+            spelled.append(words_of(row[1]))
         if len(names) >= block:
             close()
     close()
@@ -400,16 +438,17 @@ def contaminated(
     right = benchmark.schema[item_id].dataType.simpleString()
     schema = f"doc_id {left}, item_id {right}, cosine double, lcs double, answer double"
     out = docs.sparkSession.createDataFrame([], schema)
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_body"))
     for items in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(rows: Iterator[tuple], shared=shared) -> Iterator[tuple]:
-            given = ((name, np.frombuffer(ids, np.uint16)) for name, ids in rows)
-            for batch in batches(given):
-                for d, i, *values in shared.value.found(batch):
-                    yield batch[d][0], shared.value.names[i], *values
+            for batch, found in in_batches(rows, 1, split=True):
+                some = [k for k, ids in enumerate(found) if len(ids)]
+                for d, i, *values in shared.value.found([(batch[k][1], found[k]) for k in some]) if some else ():
+                    yield batch[some[d]][0], shared.value.names[i], *values
 
-        out = out.unionByName(mapped(tokens, run, schema))
+        out = out.unionByName(mapped(given, run, schema))
     return out
 
 
@@ -431,7 +470,7 @@ def decontaminated(
         def run(rows: Iterator[tuple], shared=shared) -> Iterator[tuple]:
             for batch, found in in_batches(rows, body, split=True):
                 some = [k for k, ids in enumerate(found) if len(ids)]
-                hits = shared.value.found([(None, found[k]) for k in some]) if some else ()
+                hits = shared.value.found([(batch[k][body], found[k]) for k in some]) if some else ()
                 bad = {some[d] for d, *_ in hits}
                 yield from (row for k, row in enumerate(batch) if k not in bad)
 

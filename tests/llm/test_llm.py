@@ -289,6 +289,30 @@ def test_leaks_paraphrases_with_dropped_words(spark, sf, docs):
     assert len(want) > 30 and any(i == 1_000 for _, i in want) and want <= got
 
 
+def test_leaks_compare_words_not_ids(spark):
+    """Words that share an id by chance are no match, in short items and long ones; ``words_of`` follows the ids."""
+    made = [f"q{k}" for k in range(1_200_000)]
+    ids = leaks.word_ids([" ".join(made)], split=True)[0]
+
+    def twin(word):
+        return made[int(np.flatnonzero(ids == leaks.word_ids([word], split=True)[0][0])[0])]
+
+    item = "one stormy evening the old ferry captain counted seventeen lanterns along the northern harbour wall".split()
+    bench = spark.createDataFrame([(1, "photosynthesis"), (2, " ".join(item))], "item_id long, text string")
+    rows = [
+        (1, f"leaves live by {twin('photosynthesis')} mostly"), (2, "Leaves live by PHOTOSYNTHESIS, mostly"),
+        (3, " ".join(map(twin, item))), (4, "So " + " ".join(item) + "!"),
+        (5, " ".join([*item[:9], *map(twin, item[9:])])), (6, " ".join([*item[:4], twin(item[4]), *item[5:]])),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.lcs for r in leaks.contaminated(table, bench).collect()}
+    assert set(got) == {(2, 1), (4, 2), (6, 2)} and got[4, 2] == 1 and got[6, 2] == 14 / 15
+    assert {r.doc_id for r in leaks.decontaminated(table, bench).collect()} == {1, 3, 5}
+    texts = ["", "a-b_c \u00c9t\u00e9\u2014x", "\u6771\u4eac 2 \u0939\u093f\u0928\u094d\u0926\u0940", "\u0130I \u00b5m"]
+    for text, found in zip(texts, leaks.word_ids(texts, split=True)):
+        assert [leaks.word_ids([w.decode()])[0][0] for w in leaks.words_of(text)] == found.tolist()
+
+
 def test_leaks_weights_are_positive(spark):
     scan = leaks.tokenised(spark.createDataFrame([(k, f"the cat w{k}") for k in range(50)], "doc_id long, text string"), "doc_id", "text")
     df, idf = leaks.weighed(scan, 50)
