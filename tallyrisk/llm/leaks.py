@@ -6,25 +6,28 @@ longest common subsequence, and that with the item's closing words (its answer),
 are long enough, so paraphrases with changed, dropped or added words are found
 and passages that only share vocabulary are not.
 
-No passage that would stand this check is left out.  A match may miss a known
-number of the item's words; so of its rarest words, some more than that number,
-a known count must stand in the passage.  Places of these words are looked up
-in an index of the items, and passages with enough of them are checked.
-
 Document frequencies over all texts weight the terms (TF-IDF over 2 ** 14 term
 buckets, each with a weight above 0), and a distributed randomised SVD finds
 the leading right singular vectors: every task multiplies its passages with a
 random matrix and back, A'(A R); the sums, of fixed size, are added up block by
 block, and a single-pass (Nystroem) eigenvalue step on that small matrix gives
-the vectors.  The cosine in that space rates a match and decides nothing.  Items
-longer than a passage have a vector for each of their passages.
+the vectors.  A passage whose vector is a neighbour of an item's, by a cosine of
+``cosine`` at least, is checked.  Items longer than a passage have a vector for
+each of their passages.  The weights fall steeply (the cube of the usual
+logarithm), since with it alone passages of one language are all neighbours.
+
+A cosine cannot promise to miss nothing, so the pairs of document and item that
+are no neighbours get an exact look-up.  A match may miss a known number of the
+item's words; so of its rarest words, some more than that number, a known count
+must stand in the passage.  Places of these words are looked up in an index of
+the items, and passages with enough of them are checked likewise.
 
 Benchmark items come in blocks of fixed size, so the part that is sent to every
 task stays small whatever their number.
 
 Defined results: null and empty texts match nothing; an item of fewer than
 ``least`` words matches where its words stand side by side; several passages
-that match an item count once, with the best values; words are compared as words; repeated rows give repeated
+that match an item count once, with the best values among those found the same way; words are compared as words; repeated rows give repeated
 results; an empty benchmark or an empty table gives no rows.
 """
 
@@ -33,7 +36,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -51,6 +54,8 @@ BLOCK = 256  # terms per block of the summed matrix
 IN_WORD = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
 VALUES = np.random.default_rng(313).integers(0, 1 << 64, 256, dtype=np.uint64)
 BASE = 0xD1342543DE82EF95
+#: Cosine from which a passage is an item's neighbour.
+COSINE = 0.65
 
 
 @lru_cache(maxsize=2)
@@ -264,7 +269,7 @@ def passages(ids: np.ndarray, width: int) -> list[np.ndarray]:
 
 @dataclass
 class Items:
-    """A block of benchmark items as the tasks need it; without a ``space`` matches are not rated.
+    """A block of benchmark items as the tasks need it; without a ``space`` there are no neighbours and no ratings.
 
     ``spelled`` has the items' words themselves.  Ids find a match, the words confirm it:
     words that share an id by chance can only add matches, never hide one.
@@ -277,6 +282,7 @@ class Items:
     share: float
     least: int
     spelled: list[list[bytes]] | None = None
+    cosine: float = COSINE
 
     def __post_init__(self) -> None:
         self.masks, self.points, pairs = [], [], []
@@ -295,6 +301,14 @@ class Items:
         self.holders = np.array([i for _, i in pairs], np.uint16)
         self.first = np.searchsorted(np.array([w for w, _ in pairs]), np.arange((1 << 16) + 1))
         self.reach = np.array([2 * len(words) + 4 * RUN for words in self.words])
+        if self.space is not None:
+            self.padded = np.concatenate([self.space, np.zeros((1, self.space.shape[1]), np.float32)])
+            size = np.array([len(words) for words in self.words])
+            self.sides = []  # (runs of a window, vectors of the items it is compared with, which items these are)
+            for runs, fits in ((2, size <= 4 * RUN), (4, size > 2 * RUN)):
+                which = np.flatnonzero(fits)
+                if len(which):
+                    self.sides.append((runs, np.concatenate([self.points[i] for i in which]), np.repeat(which, [len(self.points[i]) for i in which])))
         if self.spelled is not None:
             self.exact = [(places(w), places(w[-max(1, len(w) // 3) :])) for w in self.spelled]
 
@@ -310,9 +324,22 @@ class Items:
 
         A document is its text and the ids of its words.
         """
+        for d, i, *values, _ in self.located(docs):
+            yield d, i, *values
+
+    def located(self, docs: list[tuple]) -> Iterator[tuple[int, int, float, float, float, bool]]:
+        """What ``found`` gives, and whether a neighbour in the latent space led to it: if not, the index of words did."""
+        ids = [x for _, x in docs]
+        near = self.confirmed(docs, self.neighbours(ids)) if self.space is not None else {}
+        rest = self.confirmed(docs, (c for c in self.candidates(ids) if (c[0], c[2]) not in near))
+        for (d, i), values in sorted([*near.items(), *rest.items()]):
+            yield d, i, *values, (d, i) in near
+
+    def confirmed(self, docs: list[tuple], candidates: Iterable[tuple[int, int, int]]) -> dict[tuple[int, int], tuple]:
+        """The candidates that stand the check, by document and item."""
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         spelled: tuple[int, list[bytes]] = (-1, [])
-        for d, at, i in self.candidates([ids for _, ids in docs]):
+        for d, at, i in candidates:
             if self.spelled is None:
                 self.check(docs, best, d, at, i)
             elif self.shares(docs[d][1], self.words[i], self.masks[i], at, i) is not None:
@@ -321,8 +348,32 @@ class Items:
                 exact = self.shares(spelled[1], self.spelled[i], self.exact[i], at, i)
                 if exact is not None:
                     self.rate(docs, best, d, at, i, exact)
-        for (d, i), values in sorted(best.items()):
-            yield d, i, *values
+        return best
+
+    def neighbours(self, docs: list[np.ndarray], most: int = 1 << 22) -> Iterator[tuple[int, int, int]]:
+        """(document, begin of a passage, item) wherever the vectors of passage and item are close; by document."""
+        terms, run_of, first = cut([(None, ids) for ids in docs], RUN)
+        runs = summed(self.padded, terms, run_of, first[-1])
+        owner = np.repeat(np.arange(len(docs)), np.diff(first))
+        windows = {1: runs}
+        for half in (1, 2):
+            both = windows[half].copy()
+            both[:-half] += windows[half][half:] * (owner[:-half] == owner[half:])[:, None]
+            windows[2 * half] = both
+        keys = []
+        for width, points, which in self.sides:
+            # Windows overlap by half.
+            begins = np.flatnonzero((np.arange(len(owner)) - first[owner]) % (width // 2) == 0)
+            step = max(1, most // len(points))
+            for some in np.split(begins, range(step, len(begins), step)):
+                rows = windows[width][some]
+                least = self.cosine * np.maximum(np.sqrt(np.einsum("ij,ij->i", rows, rows)), 1e-12)
+                p, k = np.nonzero(rows @ points.T >= least[:, None])
+                keys.append(some[p] * len(self.words) + which[k])
+        for key in np.unique(np.concatenate(keys)).tolist():
+            place, i = divmod(key, len(self.words))
+            d = int(owner[place])
+            yield d, (place - int(first[d])) * RUN, i
 
     def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
         """(document, begin of a passage, item) wherever enough of an item's rare words stand in reach of the passage."""
@@ -398,18 +449,19 @@ def weighed(scan: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     df = np.zeros(TERMS)
     for row in scan.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[row["term"]] = row["df"]  # at most one row per term bucket
-    return df, (np.log((size + 1) / (df + 1)) + 0.05).astype(np.float32)
+    return df, ((np.log((size + 1) / (df + 1)) + 0.05) ** 3).astype(np.float32)
 
 
 def blocks_of(
-    benchmark: DataFrame, item_id: str, item_text: str, df: np.ndarray, space: np.ndarray | None, share: float, least: int, block: int
+    benchmark: DataFrame, item_id: str, item_text: str, df: np.ndarray, space: np.ndarray, share: float, least: int, block: int,
+    cosine: float = COSINE,
 ) -> list[Items]:
-    """The benchmark in blocks."""
+    """The benchmark in blocks, each item with its vectors in the latent space."""
     out, names, bodies, spelled = [], [], [], []
 
     def close() -> None:
         if names:
-            out.append(Items(list(names), list(bodies), df, space, share, least, list(spelled)))
+            out.append(Items(list(names), list(bodies), df, space, share, least, list(spelled), cosine))
             names.clear(), bodies.clear(), spelled.clear()
 
     for row in benchmark.select(item_id, item_text).where(F.col(item_text).isNotNull()).toLocalIterator():
@@ -424,19 +476,30 @@ def blocks_of(
     return out
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", rank: int = 64, share: float = 0.7, least: int = 8, block: int = 4000,
-) -> DataFrame:
-    """Rows (doc_id, item_id, cosine, lcs, answer): documents that hold a benchmark item, and which."""
-    scan = stored(tokenised(docs, doc_id, text), "tokens")
+def prepared(
+    docs: DataFrame, text: str, benchmark: DataFrame, item_id: str, item_text: str, rank: int, share: float, least: int, block: int, cosine: float
+) -> list[Items]:
+    """The benchmark in blocks, with the latent space of the documents."""
+    scan = stored(tokenised(docs.select(F.lit(0).alias("doc_id"), F.col(text).alias("_t")), "doc_id", "_t"), "tokens")
     tokens = scan.where(F.col("ids").isNotNull()).select("doc_id", "ids")
     df, idf = weighed(scan, tokens.count())
     space = vectors(tokens, idf, rank) * idf[:, None]
-    blocks = blocks_of(benchmark, item_id, item_text, df, space, share, least, block)
-    left = tokens.schema["doc_id"].dataType.simpleString()
+    return blocks_of(benchmark, item_id, item_text, df, space, share, least, block, cosine)
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+    item_text: str = "text", rank: int = 64, share: float = 0.7, least: int = 8, block: int = 4000, cosine: float = COSINE,
+) -> DataFrame:
+    """Rows (doc_id, item_id, cosine, lcs, answer, latent): documents that hold a benchmark item, and which.
+
+    ``latent`` says whether a neighbour in the latent space led to the match, or
+    the index of words.
+    """
+    blocks = prepared(docs, text, benchmark, item_id, item_text, rank, share, least, block, cosine)
+    left = docs.schema[doc_id].dataType.simpleString()
     right = benchmark.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {left}, item_id {right}, cosine double, lcs double, answer double"
+    schema = f"doc_id {left}, item_id {right}, cosine double, lcs double, answer double, latent boolean"
     out = docs.sparkSession.createDataFrame([], schema)
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_body"))
     for items in blocks:
@@ -445,7 +508,7 @@ def contaminated(
         def run(rows: Iterator[tuple], shared=shared) -> Iterator[tuple]:
             for batch, found in in_batches(rows, 1, split=True):
                 some = [k for k, ids in enumerate(found) if len(ids)]
-                for d, i, *values in shared.value.found([(batch[k][1], found[k]) for k in some]) if some else ():
+                for d, i, *values in shared.value.located([(batch[k][1], found[k]) for k in some]) if some else ():
                     yield batch[some[d]][0], shared.value.names[i], *values
 
         out = out.unionByName(mapped(given, run, schema))
@@ -454,15 +517,13 @@ def contaminated(
 
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    share: float = 0.7, least: int = 8, block: int = 4000,
+    rank: int = 64, share: float = 0.7, least: int = 8, block: int = 4000, cosine: float = COSINE,
 ) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; all columns stay."""
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     body = docs.columns.index(text)
-    # Which words are rare only orders the search, and nothing is rated: one pass for the counts, no copy of the words.
-    df, _ = weighed(tokenised(docs, None, text), 0)
-    blocks = blocks_of(benchmark, item_id, item_text, df, None, share, least, block)
+    blocks = prepared(docs, text, benchmark, item_id, item_text, rank, share, least, block, cosine)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     for items in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(items)

@@ -313,6 +313,30 @@ def test_leaks_compare_words_not_ids(spark):
         assert [leaks.word_ids([w.decode()])[0][0] for w in leaks.words_of(text)] == found.tolist()
 
 
+def test_leaks_come_through_the_latent_space(spark, sf, docs):
+    """Neighbours in the space of the documents lead to nearly all matches, in the pipeline's stage too; the index of words to the rest."""
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    rows = leaks.contaminated(docs, bench).collect()
+    near = [r for r in rows if r.latent]
+    assert len(near) >= 0.9 * len(rows) > 0 and all(r.cosine >= leaks.COSINE - 1e-6 for r in near)
+    blocks = leaks.prepared(docs, "text", bench, "item_id", "text", 64, 0.7, 8, 4000, leaks.COSINE)
+    texts = [t for _, t in texts_of(docs) if t and t.split()][:150]
+    given = [(t, ids) for t, ids in zip(texts, leaks.word_ids(texts, split=True)) if len(ids)]
+    for items in blocks:
+        want = set()
+        for d, (_, ids) in enumerate(given):
+            for at in range(0, len(ids), leaks.RUN):
+                for i, points in enumerate(items.points):
+                    m = len(items.words[i])
+                    widths = [w for w, fits in ((2, m <= 4 * leaks.RUN), (4, m > 2 * leaks.RUN)) if fits]
+                    vectors = [items.space[ids[at : at + w * leaks.RUN] >> 2].sum(0) for w in widths if at % (w * leaks.RUN // 2) == 0]
+                    if max(((points @ v).max() / max(np.linalg.norm(v), 1e-12) for v in vectors), default=0) >= items.cosine + 1e-4:
+                        want.add((d, at, i))
+        got = list(items.neighbours([ids for _, ids in given]))
+        assert want and want <= set(got) and len(got) == len(set(got)) <= len(want) + 5
+        assert [d for d, *_ in got] == sorted(d for d, *_ in got)
+
+
 def test_leaks_weights_are_positive(spark):
     scan = leaks.tokenised(spark.createDataFrame([(k, f"the cat w{k}") for k in range(50)], "doc_id long, text string"), "doc_id", "text")
     df, idf = leaks.weighed(scan, 50)
