@@ -83,22 +83,24 @@ def signature(values: np.ndarray, count: int) -> np.ndarray:
     return best
 
 
+@lru_cache(maxsize=4)
 def least_matches(threshold: float, miss: float, batch: int, total: int) -> list[int]:
     """For each number of compared values (multiples of ``batch``), the matches below which a pair is dropped.
 
     One byte of each value is compared, so a match happens with probability
     s + (1 - s) / 256 at similarity s.  The posterior of that probability under
-    a flat prior is a Beta distribution, summed here on a grid.
+    a flat prior is a Beta distribution, summed here on a grid.  A worker keeps
+    the bounds, so that tasks with few pairs do not pay for them.
     """
     edge = threshold + (1 - threshold) / 256
     grid = (np.arange(4000) + 0.5) / 4000
-    out = []
+    same, other, above = np.log(grid), np.log(1 - grid), grid >= edge
+    out, keep = [], 0
     for n in range(batch, total + 1, batch):
-        keep = 0
-        for m in range(n + 1):
-            log = m * np.log(grid) + (n - m) * np.log(1 - grid)
+        for m in range(keep, n + 1):  # more values never need fewer matches
+            log = m * same + (n - m) * other
             mass = np.exp(log - log.max())
-            if mass[grid >= edge].sum() / mass.sum() >= miss:
+            if mass[above].sum() / mass.sum() >= miss:
                 keep = m
                 break
         out.append(keep)
@@ -314,7 +316,8 @@ def near_duplicates(
     second = links(
         likely_pairs(across, classes, threshold, batch, miss).unionByName(inside), classes, docs, size, threshold
     )
-    group = components(first.unionByName(second))
+    # The components so far are stars; only the new links have to be worked in.
+    group = components(group.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
     least = (
         classes.select(F.col("class").alias("node"), "head")
         .join(group, "node", "left")

@@ -121,12 +121,44 @@ def test_sequential_test_bounds():
     assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a in range(3) for b in (0, 2)}
 
 
+def test_pruning_bounds_are_made_once():
+    """Equal to the search from zero, and kept by the worker: many small tasks share them."""
+    grid = (np.arange(4000) + 0.5) / 4000
+    edge = 0.75 + 0.25 / 256
+    for n, least in zip((25, 50, 75, 100), minhash.least_matches(0.75, 1e-5, 25, 100)):
+        shares = []
+        for m in range(least + 1):
+            log = m * np.log(grid) + (n - m) * np.log(1 - grid)
+            mass = np.exp(log - log.max())
+            shares.append(mass[grid >= edge].sum() / mass.sum())
+        assert shares[-1] >= 1e-5 and all(s < 1e-5 for s in shares[:-1])
+    assert minhash.least_matches(0.75, 1e-5, 25, 100) is minhash.least_matches(0.75, 1e-5, 25, 100)
+
+
 def test_components_of_a_chain(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3)]
     got = graph.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_components_of_any_links(spark, monkeypatch):
+    """Against plain Python; stars around their smallest node, as the second run of near_duplicates gets them, need no round."""
+    rng, rounds, step = random.Random(8), [], graph._round
+    monkeypatch.setattr(graph, "_round", lambda edges: rounds.append(1) or step(edges))
+    links = [(rng.randrange(150), rng.randrange(150)) for _ in range(110)] + [(500 - k, 500) for k in range(60)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    least = {n: n for pair in links if pair[0] != pair[1] for n in pair}
+    for _ in least:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    assert got == least and 1 <= len(rounds) <= 6
+    rounds.clear()
+    stars = [(n, c) for n, c in least.items()]
+    assert {r.node: r.component for r in graph.components(spark.createDataFrame(stars, "a long, b long")).collect()} == {n: c for n, c in least.items() if n != c or c in [v for k, v in stars if k != v]}
+    assert not rounds
+
+
 # ---- quality classifier and rules
 
 
