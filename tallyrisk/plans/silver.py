@@ -16,6 +16,7 @@ from tallyrisk.operators.cleaning import (
     impute_median,
 )
 from tallyrisk.schemas import C_COLS, D_COLS, V_COLS
+from tallyrisk.session import shared_dir
 
 # Fill values of the card data set.
 COUNT_FILL = -999.0
@@ -55,8 +56,15 @@ def conform_cards(df: DataFrame, silver_ts: Column) -> DataFrame:
 def prepare_cards(
     tx: DataFrame, side: DataFrame, epoch: int = CARD_EPOCH, accuracy: int | None = MEDIAN_ACCURACY
 ) -> DataFrame:
-    """The wide card table: enriched, then imputed (before any deduplication), with decoded time."""
-    df = impute_cards(enrich(tx, side, "TransactionID", SIDE_COLS), accuracy)
+    """The wide card table: enriched, then imputed (before any deduplication), with decoded time.
+
+    The enriched table is written once to the shared folder: exact medians take
+    several passes and the sketches one, and each would join both tables again.
+    """
+    spark, path = tx.sparkSession, shared_dir(tx.sparkSession, "enriched")
+    enriched = enrich(tx, side, "TransactionID", SIDE_COLS)
+    enriched.write.parquet(path)
+    df = impute_cards(spark.read.schema(enriched.schema).parquet(path), accuracy)
     return df.withColumn("transaction_ts", from_offset_seconds(F.col("TransactionDT"), epoch))
 
 

@@ -125,3 +125,14 @@ def test_null_entities_and_empty_input(spark):
     assert [(r["merchant_id"], r["unique_customers_7d"], r["fraud_rate_30d"]) for r in shops] == [("m", 1, 0.5)]
     none = df.limit(0)
     assert transaction_features(none, at).count() == velocity(none).count() == merchant_features(none, at).count() == 0
+
+
+def test_prepare_cards_joins_once(spark):
+    """Medians are taken from the enriched table as written, so no pass joins again; copies of the side table count."""
+    rows = [(k, 100, None if k == 3 else float(k)) for k in range(5)]
+    tx = spark.createDataFrame(rows, "TransactionID long, TransactionDT long, V1 double")
+    side = spark.createDataFrame([(4, "a", "b"), (4, "c", "d"), (4, "e", "f")], "TransactionID long, DeviceType string, DeviceInfo string")
+    for accuracy in (None, 10_000):
+        out = prepare_cards(tx, side, accuracy=accuracy)
+        assert "Join" not in out._jdf.queryExecution().toString()
+        assert sorted((r.TransactionID, r.V1) for r in out.collect()) == [(0, 0), (1, 1), (2, 2), (3, 2), (4, 4), (4, 4), (4, 4)]
