@@ -2,15 +2,18 @@
 
 The stream is keyed before the sinks.  Each task first puts the payloads of one
 entity and second together, so state is read and written per second, not per
-row.  The state of an entity is the seconds of its longest window with their
+row.  Entities are dealt in a fixed number of places by hash, because a keyed call
+costs much more than the rows it brings; a place's entities are counted together.
+The state of a place is the seconds of its entities' longest windows with their
 counts.  Time is the events' own: what the watermark has passed by more than the
-longest window is dropped, and a timer clears an entity that stays silent that
+longest window is dropped, and a timer clears a place that stays silent that
 long.  A job that stood still for days finds its state as it left it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,8 @@ from tallyrisk.streaming.velocity import HOUR_S
 
 #: Keys for payloads without an entity or a time; they need no state, only a place.
 SPARE = 64
+#: Places of state.  Each micro-batch rewrites the places it has events for.
+PLACES = 256
 
 
 def per_second(keyed: DataFrame) -> DataFrame:
@@ -56,40 +61,59 @@ def per_second(keyed: DataFrame) -> DataFrame:
 
 
 class _EventTimeSeconds(StatefulProcessor):
-    """Counts of an entity's recent seconds, for rows that hold the payloads of one second."""
+    """Counts of recent seconds of a place's entities, for rows that hold the payloads of one entity and second."""
 
     def __init__(self, hours: Sequence[int]):
         self.hours, self.span = list(hours), max(hours) * HOUR_S
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        packed = StructType([StructField("seconds", BinaryType()), StructField("counts", BinaryType())])
+        packed = StructType([StructField(name, BinaryType()) for name in ("entities", "owners", "seconds", "counts")])
         self.handle = handle
         self.recent = handle.getValueState("recent", packed)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
-        out = pd.DataFrame({"payloads": batch["payloads"]})
-        if batch["second"].isna().any():
-            # Only the spare keys have no time.
-            yield out.assign(**{f"customer_tx_count_{h}h": 0 for h in self.hours})
-            return
-        second = batch["second"].to_numpy("int64")
-        seconds, counts = self._load()
-        merged, where = np.unique(np.concatenate([seconds, second]), return_inverse=True)
+        names = [f"customer_tx_count_{h}h" for h in self.hours]
+        timeless = batch["second"].isna()
+        if timeless.any():
+            # Only the spare entities have no time.
+            yield pd.DataFrame({"payloads": batch.loc[timeless, "payloads"]}).assign(**dict.fromkeys(names, 0))
+            batch = batch[~timeless].reset_index(drop=True)
+            if batch.empty:
+                return
+        known, owners, seconds, counts = self._load()
+        # A dictionary, because pandas ends a string at its first zero character.
+        place = {entity: k for k, entity in enumerate(known)}
+        codes = np.concatenate([owners, np.array([place.setdefault(e, len(place)) for e in batch["entity"]], "int64")])
+        entities = list(place)
+        old = len(seconds)
+        second = np.concatenate([seconds, batch["second"].to_numpy("int64")])
+        # Entity and second as one number, in the order of both: 2^62 holds 2^18 entities over all times there are.
+        low = second.min()
+        width = second.max() - low + 1
+        merged, where = np.unique(codes * width + (second - low), return_inverse=True)
         total = np.bincount(where, weights=np.concatenate([counts, batch["payloads"].map(len)])).astype("int64")
         upto = np.concatenate([[0], np.cumsum(total)])
-        last = np.searchsorted(merged, second, side="right")
-        for h in self.hours:
-            out[f"customer_tx_count_{h}h"] = upto[last] - upto[np.searchsorted(merged, second - h * HOUR_S, side="left")]
+        code, now = codes[old:], second[old:]
+        last = np.searchsorted(merged, code * width + (now - low), side="right")
+        out = pd.DataFrame({"payloads": batch["payloads"]})
+        for name, h in zip(names, self.hours):
+            since = code * width + (np.maximum(now - h * HOUR_S, low) - low)
+            out[name] = upto[last] - upto[np.searchsorted(merged, since, side="left")]
         # A row that may still come is at or after the watermark.
-        keep = merged >= timerValues.getCurrentWatermarkInMs() // 1000 - self.span
+        owner, second = merged // width, merged % width + low
+        keep = second >= timerValues.getCurrentWatermarkInMs() // 1000 - self.span
         if keep.any():
-            self.recent.update((merged[keep].tobytes(), total[keep].tobytes()))
-            self._clear_after(int(merged[-1]))
+            left, owner = np.unique(owner[keep], return_inverse=True)
+            listed = json.dumps([entities[k] for k in left]).encode()
+            self.recent.update((listed, owner.astype("int64").tobytes(), second[keep].tobytes(), total[keep].tobytes()))
+            self._clear_after(int(second[keep].max()))
+        elif self.recent.exists():
+            self.recent.clear()
         yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Forget an entity whose newest second no later row can see."""
+        """Forget a place whose newest second no later row can see."""
         self.recent.clear()
         yield from ()
 
@@ -100,11 +124,11 @@ class _EventTimeSeconds(StatefulProcessor):
                 self.handle.deleteTimer(old)
         self.handle.registerTimer(due)
 
-    def _load(self) -> tuple[np.ndarray, np.ndarray]:
+    def _load(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         if not self.recent.exists():
-            return np.empty(0, "int64"), np.empty(0, "int64")
-        seconds, counts = self.recent.get()
-        return np.frombuffer(bytes(seconds), "int64"), np.frombuffer(bytes(counts), "int64")
+            return [], *[np.empty(0, "int64")] * 3
+        listed, *numbers = self.recent.get()
+        return json.loads(bytes(listed)), *[np.frombuffer(bytes(x), "int64") for x in numbers]
 
     def close(self) -> None:
         pass
@@ -129,7 +153,7 @@ def live_counts(raw: DataFrame, hours: Sequence[int] = (1, 6, 24), late: str = "
         F.col("_payload").alias("value"),
     )
     counts = [f"customer_tx_count_{h}h" for h in hours]
-    rows = per_second(keyed).withWatermark("at", late).groupBy("entity")
+    rows = per_second(keyed).withColumn("place", F.pmod(F.xxhash64("entity"), F.lit(PLACES))).withWatermark("at", late).groupBy("place")
     counted = rows.transformWithStateInPandas(
         statefulProcessor=_EventTimeSeconds(hours),
         outputStructType="payloads array<string>, " + ", ".join(f"{c} long" for c in counts),

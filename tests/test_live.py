@@ -108,3 +108,49 @@ def test_a_busy_entity_is_put_together_before_the_state(spark, tmp_path, rows):
     # The state operator got a row for each second and task, not for each event.
     seen = sum(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"])
     assert seen <= 20
+
+
+def test_live_counts_deal_entities_in_places(monkeypatch):
+    """One keyed call counts many entities, apart from each other, over calls and after the watermark."""
+    import numpy as np
+    import pandas as pd
+
+    from tallyrisk.streaming import live
+
+    class Value:
+        now = None
+        exists = lambda self: self.now is not None
+        get = lambda self: self.now
+        update = lambda self, value: setattr(self, "now", value)
+        clear = lambda self: setattr(self, "now", None)
+
+    class Handle:
+        value, timers = Value(), []
+        getValueState = lambda self, *_: self.value
+        listTimers = lambda self: self.timers
+        deleteTimer = lambda self, t: self.timers.remove(t)
+        registerTimer = lambda self, t: self.timers.append(t)
+
+    class Times:
+        mark = 0
+        getCurrentWatermarkInMs = lambda self: self.mark
+
+    rng, seen, times = np.random.default_rng(4), [], Times()
+    counter = live._EventTimeSeconds((1, 6))
+    counter.init(Handle())
+    for call in range(4):
+        seconds = np.sort(rng.integers(call * 20_000, call * 20_000 + 30_000, 60))
+        rows = [(f"c\u00e9\x00{rng.integers(7)}", int(s)) for s in seconds]
+        rows = list(dict.fromkeys(rows))
+        given = pd.DataFrame([(e, s, [f"{e} {s} {j}" for j in range(1 + s % 3)]) for e, s in rows] + [("\x001", None, ["odd"])], columns=["entity", "second", "payloads"])
+        got = pd.concat(list(counter.handleInputRows((1,), iter([given[:20], given[20:]]), times)))
+        seen += [(e, s, 1 + s % 3) for e, s in rows]
+        by_payload = {p: (a, b) for p, a, b in zip(got["payloads"].map(tuple), got["customer_tx_count_1h"], got["customer_tx_count_6h"])}
+        assert by_payload.pop(("odd",)) == (0, 0) and len(by_payload) == len(rows)
+        for e, s, p in zip(given["entity"][:-1], given["second"][:-1].astype(int), given["payloads"][:-1].map(tuple)):
+            assert by_payload[p] == tuple(sum(n for x, at, n in seen if x == e and s - h * 3600 <= at <= s) for h in (1, 6))
+        times.mark = int(seconds[0]) * 1000
+    assert len(Handle.timers) == 1 and live.PLACES < 1000
+    times.mark = 10**12
+    list(counter.handleInputRows((1,), iter([given[:3]]), times))
+    assert not Handle.value.exists()
