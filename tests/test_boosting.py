@@ -1,6 +1,7 @@
 """Histogram boosting: against plain Python, against the library's trees, and the training job."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,81 @@ def test_same_model_for_any_partitions_and_storing(spark, points, tmp_path):
     assert len(top) == 2 and top[0]["importance"] >= top[1]["importance"]
 
 
+def _random_round(rng, sizes, depth, leaves=0.2):
+    now = boosting.Round(range(3), {**boosting.PARAMS, "depth": depth}, len(sizes))
+    for k in range(3):
+        for n in range(2**depth - 1):
+            if (n == 0 or now.feature[k, (n - 1) // 2] >= 0) and rng.random() > leaves:
+                now.feature[k, n] = f = rng.choice(now.columns[k])
+                now.cut[k, n] = rng.integers(0, sizes[f])
+    return now
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 6, 7, 9])
+def test_a_walk_ends_where_steps_from_the_root_end(depth):
+    rng, sizes = np.random.default_rng(depth), [2, 5, 64, 30, 3]
+    now, packed = _random_round(rng, sizes, depth), boosting.Packed(sizes)
+    assert sorted(f for g in packed.groups for f in g) == list(range(5)) and len(packed.groups) < 5
+    x = np.stack([rng.integers(0, s, 5000).astype(np.uint8) for s in sizes])
+    slots, leaves = boosting.Walk(now.feature, now.cut, depth, packed)(packed.codes(x)), boosting._leaves(now.feature, depth)
+    for k in range(3):
+        for row in range(0, 5000, 50):
+            n = 0
+            for _ in range(depth):
+                if now.feature[k, n] >= 0:
+                    n = 2 * n + 1 + int(x[now.feature[k, n], row] > now.cut[k, n])
+            assert leaves[k, slots[row, k]] == n
+
+
+def test_only_the_smaller_child_is_summed():
+    """And the other one's sums follow from its parent's: no level sums more than half of the rows again."""
+    rng, sizes, params = np.random.default_rng(5), [4, 9, 6], {**boosting.PARAMS, "depth": 2, "row_share": 1.0, "column_share": 1.0}
+    now, n = boosting.Round([0], params, 3), 4000
+    ids, label = rng.integers(0, 2**62, n), rng.integers(0, 2, n).astype(np.int8)
+    x, margin = np.stack([rng.integers(0, s, n).astype(np.uint8) for s in sizes]), rng.normal(size=n)
+    order = np.argsort(~boosting._probe(ids.astype(np.uint64)), kind="stable")
+    data = (ids[order], label[order], x[:, order], margin[order])
+    block = boosting._batch([[v.tobytes()] for v in data], ["id", "label", "bins", "margin"])
+    sums = lambda depth: [b for b in boosting._level_sums(now, depth, 16, sizes, 3.0)(iter([block]))]
+    split = lambda batches: {b["node"]: b for b in pa.Table.from_batches(boosting._best_splits(now.columns, 16, sizes, True)(iter(batches))).to_pylist()}
+    top = sums(0)
+    root = split(top)[0]
+    now.feature[0, 0], now.cut[0, 0] = 1, 1
+    went = x[1] > 1
+    now.small[0, 0] = int(went.mean() < 0.5)
+    below = sums(1)
+    assert [r["node"] for b in below for r in b.to_pylist()] == [1 + now.small[0, 0]] and root["feature"] >= 0
+    held = boosting._batch([[0], [0], [0], [root["sums"]]], ["tree", "parent", "node", "sums"]).cast(top[0].schema)
+    both = split([*below, held])
+    p = 1 / (1 + np.exp(-margin))
+    g, h = (np.rint(v * np.where(label == 1, 3.0, 1.0) / boosting.UNIT) * boosting.UNIT for v in (p - label, p * (1 - p)))
+    for node, at in ((1, ~went), (2, went)):
+        assert both[node]["value"] == -g[at].sum() / (h[at].sum() + 1)
+
+
+def test_scores_equal_a_plain_walk_also_on_thresholds(spark, points):
+    nodes = boosting.fit(points, COLS, params={"trees": 5, "depth": 7})
+    tree = {(r.tree, r.node): r for r in nodes.collect()}
+    cuts = [sorted({r.threshold for r in tree.values() if r.feature == f}) for f in range(3)]
+    rng = np.random.default_rng(2)
+    odd = [(k, *[float(rng.choice([*c, -np.inf, np.inf, 0.5])) for c in cuts], 0) for k in range(300)]
+    got = {r["transaction_id"]: r["score"] for r in boosting.score(spark.createDataFrame(odd, SCHEMA), nodes, COLS).collect()}
+    for k, *x, _ in odd:
+        total = 0.0
+        for t in range(5):
+            n = 0
+            while tree[t, n].feature >= 0:
+                n = 2 * n + 1 + (x[tree[t, n].feature] > tree[t, n].threshold)
+            total += tree[t, n].value
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+
+
+def test_blocks_are_filled_over_batches():
+    one = pa.RecordBatch.from_pydict({"_id": np.arange(100), "_label": np.zeros(100, np.int32), "_0": np.arange(100.0)})
+    got = list(boosting._blocks([np.array([9.0])])(iter([one] * 5)))
+    assert [len(b["bins"][0].as_py()) for b in got] == [500]
+
+
 def test_odd_rows(spark, points):
     empty = boosting.fit(points.where("false"), COLS)
     assert empty.count() == 0 and boosting.fit(points.where("is_fraud = 0"), COLS).count() == 0
