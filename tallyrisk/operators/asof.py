@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_S = 900
+#: Left rows for each task of a many-table join.
+TASK_ROWS = 100_000
 
 
 def asof_join(
@@ -102,7 +104,9 @@ class Side:
     tie: tuple[str, ...] = ()
 
 
-def asof_many(left: DataFrame, row_id: str, left_ts: str, sides: Sequence[Side], slice_s: int = SLICE_S) -> DataFrame:
+def asof_many(
+    left: DataFrame, row_id: str, left_ts: str, sides: Sequence[Side], slice_s: int = SLICE_S, tasks: int | None = None
+) -> DataFrame:
     """Every left row with one struct column per side: its newest row as of the left time, or null.
 
     Feature names are unique across sides by the struct they are in.  ``row_id``
@@ -110,16 +114,24 @@ def asof_many(left: DataFrame, row_id: str, left_ts: str, sides: Sequence[Side],
     features: tables with the same keys share one union and one window, and the
     wide left rows move once, to be joined by row id.  Left rows without a time
     or a key find nothing and take no part.
+
+    The left rows are counted first: with them grows the number of tasks, not what
+    one task sorts.  ``tasks`` sets that number, for features far longer than ``left``.
     """
+    if tasks is None:
+        tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-left.count() // TASK_ROWS))
     hits = None
     for by in dict.fromkeys(side.by for side in sides):
-        found = _hits(left, row_id, left_ts, by, [s for s in sides if s.by == by], slice_s)
+        found = _hits(left, row_id, left_ts, by, [s for s in sides if s.by == by], slice_s, tasks)
         hits = found if hits is None else hits.unionByName(found, allowMissingColumns=True)
-    merged = hits.groupBy("_id").agg(*[F.first(s.name, ignorenulls=True).alias(s.name) for s in sides])
-    return left.join(merged, F.col(row_id) == F.col("_id"), "left").drop("_id")
+    # Dealt before they are merged: a task that looks up would sort its hits once more for nothing.
+    merged = hits.repartition(tasks, "_id").groupBy("_id").agg(*[F.first(s.name, ignorenulls=True).alias(s.name) for s in sides])
+    return left.repartition(tasks, row_id).join(merged, F.col(row_id) == F.col("_id"), "left").drop("_id")
 
 
-def _hits(left: DataFrame, row_id: str, left_ts: str, by: Sequence[str], sides: Sequence[Side], slice_s: int) -> DataFrame:
+def _hits(
+    left: DataFrame, row_id: str, left_ts: str, by: Sequence[str], sides: Sequence[Side], slice_s: int, tasks: int
+) -> DataFrame:
     """_id and a struct per side, for left rows that have a key and a time and find something."""
     micros = lambda name: F.unix_micros(F.col(name).cast("timestamp"))
     keys = [f"_k{n}" for n in range(len(by))]
@@ -131,21 +143,21 @@ def _hits(left: DataFrame, row_id: str, left_ts: str, by: Sequence[str], sides:
         return df.select(*[F.col(c).alias(k) for k, c in zip(keys, by)], slices.alias("_slice"), micros(ts).alias("_at"), *more)
 
     rows = placed(left, left_ts, F.col(row_id).alias("_id"))
-    facts, ties = None, [f"_tie{n}" for n in range(len(sides))]
+    facts, ties = None, [[f"_tie{n}"] if side.tie else [] for n, side in enumerate(sides)]
     for side, tie in zip(sides, ties):
         fact = F.struct(micros(side.ts).alias("_at"), *side.features).alias(side.name)
-        rank = F.struct(*side.tie) if side.tie else F.struct(F.lit(0).alias("none"))
-        part = placed(side.table, side.ts, fact, rank.alias(tie))
+        part = placed(side.table, side.ts, fact, *[F.struct(*side.tie).alias(t) for t in tie])
         facts = part if facts is None else facts.unionByName(part, allowMissingColumns=True)
 
     names = [s.name for s in sides]
-    newest = facts.groupBy(*keys, "_slice").agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_at", t))).alias(n) for n, t in zip(names, ties)]
+    newest = facts.repartition(tasks, *keys, "_slice").groupBy(*keys, "_slice").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_at", *t))).alias(n) for n, t in zip(names, ties)]
     )
-    wanted = rows.select(*keys, "_slice").distinct().withColumn("_wanted", F.lit(True))
+    wanted = rows.select(*keys, "_slice").repartition(tasks, *keys, "_slice").distinct().withColumn("_wanted", F.lit(True))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
         newest.unionByName(wanted, allowMissingColumns=True)
+        .repartition(tasks, *keys)
         .select(*keys, "_slice", "_wanted", *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names])
         .filter(F.col("_wanted"))
         .drop("_wanted")
@@ -153,9 +165,10 @@ def _hits(left: DataFrame, row_id: str, left_ts: str, by: Sequence[str], sides:
 
     # What is carried has no time and sorts first; features sort before left rows of the same time.
     both = rows.unionByName(facts, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    both = both.repartition(tasks, *keys, "_slice")
     so_far = (
         Window.partitionBy(*keys, "_slice")
-        .orderBy(F.col("_at").asc_nulls_first(), F.col("_id").isNotNull(), *[F.col(t).asc_nulls_first() for t in ties])
+        .orderBy(F.col("_at").asc_nulls_first(), F.col("_id").isNotNull(), *[F.col(t).asc_nulls_first() for tie in ties for t in tie])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = both.select("_id", "_at", *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in names])

@@ -2,13 +2,14 @@
 
 import math
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyrisk.functions import events, risk, timestamps
-from tallyrisk.operators import cleaning, ordering, quality, ranking, reports, sampling
+from tallyrisk.operators import asof, cleaning, ordering, quality, ranking, reports, sampling
 from tallyrisk.operators.asof import Side, asof_join, asof_many
 from tallyrisk.plans import gold, scoring
 
@@ -218,6 +219,22 @@ def test_asof_of_many_tables_moves_wide_rows_once(spark):
     assert len(windows) == 2
 
 
+def test_asof_of_many_tables_deals_by_the_number_of_rows(spark, monkeypatch):
+    """More rows make more tasks, not larger ones, whatever the session's number of partitions."""
+    monkeypatch.setattr(asof, "TASK_ROWS", 10)
+    df = spark.range(10).selectExpr("'k' || id k", "'x' || id % 2 other", "timestamp_seconds(id) ts", "id v", "id rid")
+    left = spark.range(195).selectExpr("id", "'k' || id % 10 k", "'x' || id % 2 other", "timestamp_seconds(id) ts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = asof_many(left, "id", "ts", _many_sides(spark, [df, df, df], None))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = {int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan)}
+    assert dealt == {20}
+    assert found.where("first IS NOT NULL").count() == 195
+
+
 # --- global order ------------------------------------------------------------------
 
 
